@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, gif, langid, minhash, warc
+from brindle.llm import bpe, gif, langid, minhash, pack, suffix, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,12 +33,20 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.report(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.parse_records(warc.read_archive(*warc.write_archive(table(spark, sf_dir, "pages"))))
     refers = F.regexp_extract("refers_to_id", r"^<urn:page:(-?\d+)>$", 1)
     return records.select("page_id", F.length("payload").cast("long").alias("payload_bytes"), warc.base32_of_hex(F.sha1("payload")).alias("payload_digest"), "record_type", F.when(refers != "", refers.cast("long")).alias("refers_to"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif, op4_minhash, op5_language, op6_bpe, op10_warc)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif, op4_minhash, op5_language, op6_bpe, op8_pack, op9_suffix, op10_warc)}
 
 ORACLE_SQL: dict[str, str] = {}
