@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, gif, langid, minhash, pack, pii, suffix, warc
+from brindle.llm import bpe, gif, langid, licenses, minhash, pack, pii, suffix, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.store_texts(table(spark, sf_dir, "documents"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", F.length("payload").cast("long").alias("payload_bytes"), warc.base32_of_hex(F.sha1("payload")).alias("payload_digest"), "record_type", F.when(refers != "", refers.cast("long")).alias("refers_to"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif, op3_pii, op4_minhash, op5_language, op6_bpe, op8_pack, op9_suffix, op10_warc)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif, op2_licenses, op3_pii, op4_minhash, op5_language, op6_bpe, op8_pack, op9_suffix, op10_warc)}
 
 ORACLE_SQL: dict[str, str] = {}
