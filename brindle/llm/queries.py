@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, gif, langid, licenses, minhash, pack, pii, suffix, warc
+from brindle.llm import bpe, covertree, gif, langid, licenses, minhash, pack, pii, suffix, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.links(table(spark, sf_dir, "embeddings"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -55,6 +59,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", F.length("payload").cast("long").alias("payload_bytes"), warc.base32_of_hex(F.sha1("payload")).alias("payload_digest"), "record_type", F.when(refers != "", refers.cast("long")).alias("refers_to"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif, op2_licenses, op3_pii, op4_minhash, op5_language, op6_bpe, op8_pack, op9_suffix, op10_warc)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif, op2_licenses, op3_pii, op4_minhash, op5_language, op6_bpe, op7_cover_tree, op8_pack, op9_suffix, op10_warc)}
 
 ORACLE_SQL: dict[str, str] = {}
