@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -30,7 +31,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more, and let Spark's cleaner see which shuffles are done with."""
+    for df in tables:
+        if path := getattr(df, "staged_at", None):
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -80,9 +95,12 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
         # done when it is a forest of stars: one parent a node and no parent with a parent
         n = new.agg(F.count("*").alias("n"), F.count_distinct("u").alias("d")).first()
         done = n["n"] == n["d"] and new.select("u").join(new.select(F.col("v").alias("u")), "u", "left_semi").isEmpty()
+        drop(e)
         e = new
         if done:
             break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    out = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    out.staged_at = e.staged_at
+    return out

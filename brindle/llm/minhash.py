@@ -154,12 +154,12 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
     """Of pairs (a, b) of nodes, those linked by their full sets. Texts of the nodes in pairs alone are fetched."""
     pairs = common.staged(pairs, "minhash-pairs")
     nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    picks = common.staged(nodes.join(classes.select("node", "pick"), "node").select("node", "pick.doc_id", "pick.text_hash"), "minhash-picks")
+    named = picks = common.staged(nodes.join(classes.select("node", "pick"), "node").select("node", "pick.doc_id", "pick.text_hash"), "minhash-picks")
     if picks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         picks = F.broadcast(picks)
     texts = docs.withColumn("text_hash", F.xxhash64("text")).alias("d").join(picks.alias("p"), F.expr("d.text_hash = p.text_hash and d.doc_id <=> p.doc_id")).select("p.node", "d.text")
-    texts = common.staged(texts, "minhash-texts")
-    texts = texts.groupBy("node").agg(F.min("text").alias("text"))  # repeated rows
+    fetched = common.staged(texts, "minhash-texts")
+    texts = fetched.groupBy("node").agg(F.min("text").alias("text"))  # repeated rows
     full = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
@@ -168,7 +168,9 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
         keep = [i for i in range(len(a)) if linked(_lately(batch.column(2)[i].as_py()), shingles(batch.column(3)[i].as_py()))]
         return common.batch(schema, [[a[i] for i in keep], [b[i] for i in keep]])
 
-    return common.staged(common.map_batches(full, run, schema), "minhash-links")
+    links = common.staged(common.map_batches(full, run, schema), "minhash-links")
+    common.drop(pairs, named, fetched)
+    return links
 
 
 def groups(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -193,12 +195,15 @@ def groups(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
         labels = common.components(links, "minhash-components")
         open_ = shared.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
         unsettled = open_.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(salt)), "node", "component")).alias("best")).where("lo < hi")
-        shared = common.staged(open_.join(unsettled.select("band", "best"), "band"), "minhash-open")
+        before, shared = shared, common.staged(open_.join(unsettled.select("band", "best"), "band"), "minhash-open")
+        common.drop(before)
         size = shared.groupBy("band").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") * F.col("n")), F.lit(0)).alias("pairs"), F.coalesce(F.sum("n"), F.lit(0)).alias("members")).first()
         if size["pairs"] <= PAIRS_A_MEMBER * max(size["members"], 1000) or salt == HUB_ROUNDS:
             break
         tried = shared.where("component != best.component").select(F.least("node", "best.node").alias("a"), F.greatest("node", "best.node").alias("b")).distinct()
-        links = common.staged(links.unionAll(_confirmed(_filtered(tried, classes), classes, docs)), "minhash-links")
+        more = _confirmed(_filtered(tried, classes), classes, docs)
+        before, links = links, common.staged(links.unionAll(more), "minhash-links")
+        common.drop(before, more, labels)
     if size["members"]:
         side = shared.select("band", "node", "component").join(classes.select("node", "n", "sketch"), "node")
         a, b = side.alias("a"), side.alias("b")
