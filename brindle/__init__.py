@@ -1,0 +1 @@
+"""A Spark-native engine that standardises heterogeneous parts-change tables."""
