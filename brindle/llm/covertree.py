@@ -19,8 +19,10 @@ from brindle.llm import common
 COSINE = 0.98
 #: Points to a pivot, about, and the pivots at most. A cell with more than BLOCK points is dealt in blocks: its own
 #: points by blocks against all blocks of its points and visitors, each pair of blocks a task's unit.
-CELL_POINTS, MAX_PIVOTS, BLOCK = 400, 4096, 4000
-LEAF = 24
+CELL_POINTS, MAX_PIVOTS, BLOCK = 4000, 4096, 4000
+#: Points of a leaf, which is compared by one matrix product, and the least mean size of children worth a level: where
+#: a level would leave nearly every point a child of its own (far apart in many dimensions), leaves are cut as they come.
+LEAF, SPARSE = 128, 6
 #: Distances nearer to the threshold than this are decided by the cosine in double precision itself.
 SLACK = 1e-6
 
@@ -42,13 +44,25 @@ class Node:
             level -= 1
         reach = 2.0**level
         rest, c, dist = members, centre, d
+        covered: list[tuple[int, np.ndarray]] = []
         while len(rest):
             inside = dist <= reach
-            self.children.append(Node(x, c, rest[inside], level - 1))
+            covered.append((c, rest[inside]))
             rest = rest[~inside]
+            if len(covered) > 16 and len(members) - len(rest) < SPARSE * len(covered):
+                break
             if len(rest):
                 c = int(rest[0])
                 dist = distances(x, rest, x[c])
+        loose = [rest] if len(rest) else []
+        for c, some in covered:
+            if len(some) >= SPARSE or len(covered) <= 4:
+                self.children.append(Node(x, c, some, level - 1))
+            else:
+                loose.append(some)
+        if loose:
+            flat = np.concatenate(loose)
+            self.children += [Node(x, int(p[0]), p, -41) for p in np.array_split(flat, -(-len(flat) // LEAF))]
 
 
 def distances(x: np.ndarray, members: np.ndarray, to: np.ndarray) -> np.ndarray:
@@ -58,7 +72,7 @@ def distances(x: np.ndarray, members: np.ndarray, to: np.ndarray) -> np.ndarray:
 
 def cosines(raw: np.ndarray, norms: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosines of all pairs of rows a and b, as the plain double-precision sum of products over the norms."""
-    return np.einsum("id,jd->ij", raw[a], raw[b]) / (norms[a][:, None] * norms[b][None, :])
+    return (raw[a] @ raw[b].T) / (norms[a][:, None] * norms[b][None, :])
 
 
 def dual_join(raw: np.ndarray, own: np.ndarray, weight: np.ndarray, cosine: float = COSINE) -> tuple[np.ndarray, list[tuple[int, int]]]:
