@@ -61,15 +61,36 @@ def inverted(a: np.ndarray) -> np.ndarray:
     return work[:, m:]
 
 
+def first_basis(demand: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """A greedy packing as a basis: each pattern takes the largest sizes that still fit and is used until one of them is
+    exhausted; that size is its row. Later patterns hold no exhausted size, so the basis is triangular but for order."""
+    left, m = demand.astype(float), len(sizes)
+    columns, x = np.diag(capacity // sizes).astype(float), np.zeros(m)
+    open_ = left > 0
+    while open_.any():
+        pattern, room = np.zeros(m), capacity
+        for i in np.flatnonzero(open_)[::-1]:
+            if n := int(min(room // sizes[i], max(1, left[i]))):
+                pattern[i] = n
+                room -= n * int(sizes[i])
+        use = np.flatnonzero(pattern)
+        times = left[use] / pattern[use]
+        r = int(use[times.argmin()])
+        columns[:, r], x[r] = pattern, times.min()
+        left = np.maximum(left - pattern * times.min(), 0)
+        open_[r] = False
+        open_ &= left > 1e-9  # an exhausted size without a pattern of its own keeps the plain one, unused
+    return columns, x
+
+
 def generate(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap: float = 2e-3, rounds: int = 5000) -> list[tuple[np.ndarray, float]]:
     """Patterns (counts by size) and how often, of the cutting-stock relaxation, by revised simplex with pricing. Stops
     at the optimum, or where the bound by the best price, or by the tokens alone, proves it within ``gap``."""
     m = len(sizes)
     if not m:
         return []
-    columns = np.diag(capacity // sizes).astype(float)
-    inverse = np.diag(1 / np.diag(columns))
-    x = inverse.diagonal() * demand
+    columns, x = first_basis(demand, sizes, capacity)
+    inverse = inverted(columns)
     least = float(demand @ sizes) / capacity  # no packing has fewer sequences
     for k in range(rounds):
         if x.sum() <= least * (1 + gap):
