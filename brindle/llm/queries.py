@@ -61,4 +61,43 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif, op2_licenses, op3_pii, op4_minhash, op5_language, op6_bpe, op7_cover_tree, op8_pack, op9_suffix, op10_warc)}
 
-ORACLE_SQL: dict[str, str] = {}
+LOWER = f"translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
+REACH = """both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(id, c) AS (SELECT id, id FROM nodes UNION SELECT b, c FROM reach JOIN both_ways ON a = id)"""
+
+
+def _license_sql() -> str:
+    rows = ", ".join(f"('{label}', {tokens})" for label, tokens in licenses.template_tokens())
+    places = " || ".join(f"[struct_pack(label := '{label}', at := i - 1) FOR i IN generate_series(1, len(w)) IF {' AND '.join(f"w[i + {k}] = '{p}'" for k, p in enumerate(phrase))}]" for label, phrase in licenses.PHRASES.items())
+    return f"""WITH t(label, tokens) AS (VALUES {rows}),
+d AS (SELECT doc_id, {LOWER} AS low, regexp_extract_all({LOWER}, '{licenses.WORD}') AS w FROM documents),
+h AS (SELECT doc_id, low, len(w) AS n_words, {places} AS hits FROM d),
+b AS (SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(low, '([.!?])[\\x20\\t\\r]+', '\\1\n', 'g'), '\\n+')) AS block FROM d),
+bw AS (SELECT doc_id, row_number() OVER () AS k, list_distinct(regexp_extract_all(block, '{licenses.WORD}')) AS words FROM b),
+m AS (SELECT doc_id, k, label, len(list_intersect(words, tokens)) / len(tokens) AS c, len(list_intersect(words, tokens)) >= ceil({licenses.THRESHOLD} * len(tokens) - 1e-9) AS ok FROM bw, t),
+f AS (SELECT doc_id, list(DISTINCT label) AS found, max(c) AS c, count(DISTINCT k) AS n_blocks FROM m WHERE ok GROUP BY 1)
+SELECT h.doc_id, n_words, len(hits) AS n_base, list_min([x.at FOR x IN hits]) AS first_word, list_max([x.at FOR x IN hits]) AS last_word,
+  array_to_string(list_sort(list_distinct([x.label FOR x IN hits])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct([x.label FOR x IN hits] || coalesce(found, []))), ',') AS labels,
+  CASE WHEN len(hits) > 0 THEN 1.0::DOUBLE ELSE coalesce(f.c, 0)::DOUBLE END AS score, coalesce(n_blocks, 0) AS n_blocks
+FROM h LEFT JOIN f ON h.doc_id = f.doc_id"""
+
+
+#: The rest has no SQL: code streams, trained models, byte pairs, linear programs and removed bytes are tested otherwise.
+ORACLE_SQL: dict[str, str] = {
+    "op2_licenses": _license_sql(),
+    "op4_minhash": f"""WITH RECURSIVE w AS (SELECT doc_id, [x FOR x IN regexp_split_to_array({LOWER}, '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN generate_series(1, len(w) - 4)]) END AS s FROM w),
+e AS (SELECT doc_id, unnest(s) AS g, len(s) AS n FROM s),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+nodes AS (SELECT doc_id AS id FROM documents), {REACH}
+SELECT doc_id, len(s) AS n_shingles, c AS component_id, doc_id = c AS kept FROM s JOIN (SELECT id, min(c) AS c FROM reach GROUP BY id) ON id = doc_id""",
+    "op7_cover_tree": f"""WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_sum([abs(x) FOR x IN embedding]) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id AND list_cosine_similarity(a.e, b.e) >= {covertree.COSINE}),
+nodes AS (SELECT vec_id AS id FROM embeddings), {REACH}
+SELECT id AS vec_id, (SELECT count(*) FROM both_ways WHERE a = id) AS n_links, min(c) AS component_id, id = min(c) AS kept FROM reach GROUP BY id""",
+    "op10_warc": f"""WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY h, n) AS best FROM p)
+SELECT page_id, n AS payload_bytes, array_to_string([substr('{warc.BASE32}', 1 + CAST((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) // [32768, 1024, 32, 1][1 + i % 4]) % 32 AS INTEGER), 1) FOR i IN generate_series(0, 31)], '') AS payload_digest,
+  CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> best THEN best END AS refers_to FROM m""",
+}
