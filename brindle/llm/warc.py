@@ -69,11 +69,11 @@ def write_archive(df: DataFrame, payload_col: str = "html", id_col: str = "page_
     ]
     header = F.encode(F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF * 2)), "UTF-8")
     headers = joined.select("page_id", "sha256", F.pmod(F.xxhash64("pick"), F.col("salts")).cast("int").alias("salt"), header.alias("header"))
-    # the payload of the response row, taken from the rows by an equal digest
-    best = store.select("sha256", F.col("pick.page_id").alias("page_id"), F.col("pick.u").alias("u"), "n_refs", "salts")
-    payloads = rows.select("sha256", "page_id", F.col("pick.u").alias("u"), "payload", F.sha1("payload").alias("sha1"))
-    payloads = payloads.join(best, [payloads.sha256 == best.sha256, payloads.page_id.eqNullSafe(best.page_id), payloads.u == best.u]).select(payloads.sha256, "sha1", "payload", "n_refs", "salts")
-    payloads = payloads.groupBy("sha256").agg(F.first("sha1").alias("sha1"), F.first("payload").alias("payload"), F.first("n_refs").alias("n_refs"), F.first("salts").alias("salts"))
+    # the payload of the response row; repeated rows of it meet in the partitions that the join has made
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit("null")).alias("page")
+    best = store.select("sha256", "pick.page_id", F.col("pick.u").alias("u"), "n_refs", "salts").select("sha256", key, "u", "n_refs", "salts")
+    payloads = rows.select("sha256", key, F.col("pick.u").alias("u"), "payload", F.sha1("payload").alias("sha1"))
+    payloads = payloads.join(best, ["sha256", "page", "u"]).groupBy("sha256", "page", "u").agg(F.first("sha1").alias("sha1"), F.first("payload").alias("payload"), F.first("n_refs").alias("n_refs"), F.first("salts").alias("salts")).drop("page", "u")
     return common.staged(payloads, "warc-payloads"), common.staged(headers, "warc-headers")
 
 
