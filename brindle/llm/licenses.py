@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,6 +72,12 @@ def template_tokens() -> list[tuple[str, list[str]]]:
     return [(label, sorted(set(re.findall(WORD, text.lower())))) for label, text in TEMPLATES]
 
 
+def _table(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
+    """Literal rows; lists become arrays."""
+    value = lambda v: F.array(*map(F.lit, v)) if isinstance(v, list) else F.lit(v)
+    return spark.range(1).select(F.inline(F.array(*(F.struct(*(value(v).alias(n) for n, v in zip(names, r))) for r in rows))))
+
+
 def scan(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """Rows (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks), one for each row.
 
@@ -111,8 +117,8 @@ def scan(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", threshol
     block = block.select("row", "block", ranks.alias("ranks"))
     smallest = min(s[4] for s in sets)
     block = block.where(F.size("ranks") >= smallest)
-    prefix = spark.createDataFrame(prefixes, "rank int, template int, at int, size int, need int")
-    whole = spark.createDataFrame(sets, "template int, label string, tokens array<int>, size int, need int")
+    prefix = _table(spark, prefixes, ("rank", "template", "at", "size", "need"))
+    whole = _table(spark, sets, ("template", "label", "tokens", "size", "need"))
     probe = block.select("row", "block", "ranks", F.posexplode("ranks").alias("pos", "rank"))
     # both tables have as many rows as the templates have tokens: broadcast whatever the corpus
     pairs = probe.join(F.broadcast(prefix), "rank").where((F.size("ranks") >= F.col("need")) & (F.least(F.col("size") - F.col("at"), F.size("ranks") - F.col("pos")) >= F.col("need")))
