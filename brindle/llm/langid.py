@@ -165,7 +165,7 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", id_col: str =
     return common.map_batches(common.ids_and_texts(df, id_col, text_col), run, schema)
 
 
-def keep_identified(df: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.3) -> DataFrame:
+def keep_identified(df: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.2) -> DataFrame:
     """The rows whose text has a language: not und, and scored at least ``min_score``. All columns stay as they are."""
     schema = df.schema
 
