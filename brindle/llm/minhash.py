@@ -28,7 +28,7 @@ SKETCH_BITS, SKETCH_LIMIT = 512, 162
 #: Rows that are broadcast at most, of two longs each; more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 #: New hubs are tried while pairs in unsettled buckets are over so many times their members, at most so many rounds.
-PAIRS_A_MEMBER, HUB_ROUNDS = 8, 8
+PAIRS_A_MEMBER, HUB_ROUNDS = 32, 3
 
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
