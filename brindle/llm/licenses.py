@@ -1,5 +1,7 @@
 """License scan: exact containment join of text blocks with license templates, in DataFrame functions only.
 
+A block is a line, a sentence, or a sentence that is wrapped over neighbouring lines.
+
 Tokens are ordered by their frequency over the whole corpus, rarest first. A block that holds a share t of a template's
 distinct tokens holds one of the template's first |T| - ceil(t |T|) + 1, so only blocks with such a token are joined;
 the length filter and the positional filter leave few to verify, and verification counts the intersection.
@@ -47,8 +49,15 @@ def words(text: Column) -> Column:
 
 
 def blocks(text: Column) -> Column:
-    """Lines and sentences of a text, A-Z lower-cased."""
-    return F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), r"\n+|(?<=[.!?])[\x20\t\r]+")
+    """Sentences of a text, A-Z lower-cased. They go on over single line ends, as notices are wrapped, and end at blank lines."""
+    return F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), r"\n[\x20\t\r\n]*\n|(?<=[.!?])[\x20\t\r\n]+")
+
+
+def parts(block: Column) -> Column:
+    """(part, text) of a block: the whole is part -1, its lines follow; a block of one line is part 0 only."""
+    lines = F.transform(F.split(block, r"\n+"), lambda x, i: F.struct(i.alias("part"), x.alias("text")))
+    whole = F.array(F.struct(F.lit(-1).alias("part"), block.alias("text")))
+    return F.when(F.contains(block, F.lit("\n")), F.concat(whole, lines)).otherwise(lines)
 
 
 def base_hits(w: Column) -> Column:
@@ -81,7 +90,8 @@ def _table(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> Da
 def scan(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """Rows (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks), one for each row.
 
-    n_blocks counts the blocks that reach the threshold for a template. score is the largest containment, 1 where a
+    n_blocks counts the lines and sentences of a line that reach the threshold for a template, and the sentences of
+    several lines that reach it for a template that none of their lines does. score is the largest containment, 1 where a
     base phrase stands, 0 where nothing is found. Null and empty texts have no words and no labels; repeated rows each
     have their own result; null ids stay null.
     """
@@ -114,19 +124,23 @@ def scan(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", threshol
     to_rank = F.create_map(*(x for t, r in rank.items() for x in (F.lit(t), F.lit(r))))
     block = rows.select("row", F.posexplode("blocks").alias("block", "text"))
     ranks = F.array_sort(F.transform(F.array_intersect(words(F.col("text")), known), lambda t: F.element_at(to_rank, t)))
-    block = block.select("row", "block", ranks.alias("ranks"))
     smallest = min(s[4] for s in sets)
-    block = block.where(F.size("ranks") >= smallest)
+    # no part has more than its block: only blocks with enough tokens are split
+    block = block.where(F.size(ranks) >= smallest).select("row", "block", F.inline(parts(F.col("text"))))
+    block = block.select("row", "block", "part", ranks.alias("ranks")).where(F.size("ranks") >= smallest)
     prefix = _table(spark, prefixes, ("rank", "template", "at", "size", "need"))
     whole = _table(spark, sets, ("template", "label", "tokens", "size", "need"))
-    probe = block.select("row", "block", "ranks", F.posexplode("ranks").alias("pos", "rank"))
+    probe = block.select("row", "block", "part", "ranks", F.posexplode("ranks").alias("pos", "rank"))
     # both tables have as many rows as the templates have tokens: broadcast whatever the corpus
     pairs = probe.join(F.broadcast(prefix), "rank").where((F.size("ranks") >= F.col("need")) & (F.least(F.col("size") - F.col("at"), F.size("ranks") - F.col("pos")) >= F.col("need")))
     # a pair passes at most once a prefix token: the first common token stands for it
     first = F.array_min(F.array_intersect("ranks", "tokens")) == F.col("rank")
     both = F.size(F.array_intersect("ranks", "tokens"))
-    verified = pairs.select("row", "block", "ranks", "rank", "template").join(F.broadcast(whole), "template").where(first & (both >= F.col("need")))
-    found = verified.groupBy("row").agg(F.collect_set("label").alias("found"), F.max(both / F.col("size")).alias("containment"), F.count_distinct("block").alias("n_blocks"))
+    verified = pairs.select("row", "block", "part", "ranks", "rank", "template").join(F.broadcast(whole), "template").where(first & (both >= F.col("need")))
+    reached = verified.groupBy("row", "block", "template", "label").agg(F.max(both / F.col("size")).alias("containment"), F.collect_set(F.when(F.col("part") >= 0, F.struct("block", "part"))).alias("lines"))
+    wrapped = F.count_distinct(F.when(F.size("lines") == 0, F.col("block")))
+    n_blocks = F.size(F.array_distinct(F.flatten(F.collect_list("lines")))) + wrapped
+    found = reached.groupBy("row").agg(F.collect_set("label").alias("found"), F.max("containment").alias("containment"), n_blocks.alias("n_blocks"))
 
     out = rows.select("row", "doc_id", "n_words", "hits").join(found, "row", "left")
     starts, base = F.transform("hits", lambda h: h["start"]), F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["label"])))
