@@ -289,9 +289,8 @@ TRIGRAMS = "list_distinct(flatten([[substring('  ' || w || ' ', i, 3) FOR i IN g
 s AS (SELECT doc_id, len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))) AS v FROM x)
 SELECT doc_id, round(v, 6) AS lexical FROM s WHERE v >= 0.1 ORDER BY v DESC, doc_id LIMIT 50""")
 def lexical_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trigrams of the first 200 characters: the text field that is searched."""
-    d = read(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 200).alias("title"))
-    out = search.lexical(d, "title", "the thing and other words of that", "doc_id", least=0.1)
+    """Trigrams of the whole text."""
+    out = search.lexical(read(spark, sf_dir, "documents"), "text", "the thing and other words of that", "doc_id", least=0.1)
     return out.select("doc_id", F.round("lexical", 6).alias("lexical"))
 
 
@@ -300,9 +299,9 @@ l AS (SELECT doc_id, len(list_intersect(a, b)) / (len(a) + len(b) - len(list_int
 s AS ({SEMANTIC_SQL.replace("FROM embeddings e,", "FROM (SELECT embeddings.* FROM embeddings JOIN documents ON doc_id = vec_id) e,")})
 SELECT coalesce(l.doc_id, s.vec_id) AS doc_id, round(0.7 * coalesce(s.s, 0) + 0.3 * coalesce(l.v, 0), 6) AS score FROM l FULL JOIN s ON l.doc_id = s.vec_id ORDER BY 0.7 * coalesce(s.s, 0) + 0.3 * coalesce(l.v, 0) DESC, 1 LIMIT 10""")
 def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 200).alias("title"))
+    d = read(spark, sf_dir, "documents").select("doc_id", "text")
     both = d.join(read(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id"), "doc_id")
-    out = search.hybrid(both, "the thing and other words of that in the", _vector(spark, sf_dir), "doc_id", "title", "embedding")
+    out = search.hybrid(both, "the thing and other words of that in the", _vector(spark, sf_dir), "doc_id", "text", "embedding")
     return out.select("doc_id", F.round("score", 6).alias("score"))
 
 

@@ -2,6 +2,7 @@
 
 import io
 import random
+import re
 import zipfile
 from xml.sax.saxutils import escape
 
@@ -192,6 +193,29 @@ def test_search(spark):
     assert [r.event_id for r in got] == [1, 2] and got[0].score > got[1].score
 
 
+def test_search_whole_texts(spark, tmp_path):
+    from brindle import queries
+
+    def grams(text):
+        return {f"  {w} "[i : i + 3] for w in re.findall(r"[^\W_]+", text.lower()) for i in range(len(w) + 1)}
+
+    def alike(text, query):
+        a, b = grams(text), grams(query)
+        return len(a & b) / len(a | b)
+
+    lexical, hybrid = "the thing and other words of that", "the thing and other words of that in the"
+    texts = ["z " * 150 + lexical, "the thing " + "z " * 150, lexical + " " + "z " * 100 + "many more that come behind", "q " * 120 + "other words of that in the thing and", "none", "the " * 90 + "words"]
+    vectors = [[1.0, 0.0], [0.9, 0.1], [0.5, 0.5], [0.1, 0.9], [1.0, 1.0], [0.3, 0.4]]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r.doc_id: r.lexical for r in queries.lexical_top50(spark, str(tmp_path)).collect()}
+    assert got == {i: round(v, 6) for i, t in enumerate(texts) if (v := alike(t, lexical)) >= 0.1} and got[0] > 0.9
+    got = {r.doc_id: r.score for r in queries.hybrid_search(spark, str(tmp_path)).collect()}
+    cosine = lambda v: v[0] / (v[0] ** 2 + v[1] ** 2) ** 0.5
+    want = {i: 0.7 * cosine(v) + 0.3 * (s if (s := alike(t, hybrid)) >= 0.3 else 0) for i, (t, v) in enumerate(zip(texts, vectors))}
+    assert got == {i: pytest.approx(v, abs=2e-6) for i, v in want.items()} and got[0] > 0.9
+
+
 def test_gate(spark):
     row = ("AB1234567", "AB1234568", "Bracket", 2, "단품", "Change", "p", None, 1.0, "WSED7667M.ABMQEUR", None)
     schema = "base_part_no string, new_part_no string, part_name string, bom_level int, part_type string, change_type string, change_point string, change_reason string, qty double, model_code string, _quarantine_reason string"
