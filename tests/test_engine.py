@@ -94,6 +94,16 @@ def test_clusters(spark):
     assert got == resolve.cluster(names, 0.85) and len(set(got.values())) == 2
 
 
+def test_clusters_across_letters(spark):
+    rng = random.Random(3)
+    names = ["old anvil", "cold anvil", "Cold  Anvil", "bold anvil", "a", "b", "A", "ab", *("".join(rng.choice("abc ") for _ in range(rng.randint(1, 9))) + "x" for _ in range(120))]
+    df = spark.createDataFrame([(n,) for n in names], "s string").repartition(3)
+    for threshold in (0.85, 0.7):
+        got = {r.value: r.canonical for r in resolve.resolve_suppliers(df, "s", threshold).collect()}
+        assert got == resolve.cluster(names, threshold)
+    assert resolve.resolve_suppliers(spark.createDataFrame([("old anvil",), ("cold anvil",)], "s string"), "s", 0.85).select("canonical").distinct().count() == 1
+
+
 def test_indel():
     def plain(a, b):
         row = [0] * (len(b) + 1)
