@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -30,7 +31,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", 1 << 24).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
@@ -52,8 +53,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bound_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Arrow batches hold ``limit`` bytes, about, however long the texts: both ends of the pipe hold a few of them."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)([kmg]?)b?", spark.conf.get(key, "64m").lower())
+    if not now or int(now[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[now[2]] > limit:
+        spark.conf.set(key, f"{limit}b")
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: T.StructType) -> DataFrame:
     """``mapInArrow`` with a function of one batch; empty results are left out."""
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

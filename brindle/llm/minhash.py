@@ -1,10 +1,15 @@
 """Near-duplicate documents: MinHash bands for candidates, odd sketches to verify them, full sets to confirm.
 
 A document is the set of its distinct five-word shingles. Documents with equal sets form a class, and only classes are
-compared. In each bucket of a band every class meets the bucket's hub; confirmed links make components, and a bucket
-whose classes are all of one component needs nothing more. So a group of n near copies costs about n comparisons, not
-n squared. New hubs are tried while large buckets are unsettled; then all pairs of a bucket that are of different
-components meet, behind the length filter and the odd-sketch filter, so no pair of a bucket is left out.
+compared. Candidates are pairs of a bucket of a band that pass the length and the odd-sketch filter:
+
+1. In buckets of up to ``SMALL`` classes all pairs meet, so a class has fewer than ``SMALL`` partners in each.
+2. In a larger bucket every class meets the bucket's hub, the class that shares most with others (the largest sum of
+   bucket sizes); a hub of a group of near copies is near its centre and links nearly all of them. Confirmed links make
+   components, and a bucket whose classes are all of one component needs nothing more.
+3. The classes of the other large buckets meet in a set-similarity join over all of them, by their rarest shingles
+   (prefix, length and positional filters), where components differ. That join loses no pair at the threshold, so step 2
+   only saves work, and its rows grow with the prefixes and not with the square of a bucket.
 """
 
 from __future__ import annotations
@@ -25,10 +30,12 @@ BANDS, ROWS = 50, 5
 #: Odd sketch of the 250 samples in 512 bits. At similarity 0.75 the XOR has 99 bits set on average, with a standard
 #: deviation of 10.5; the filter lets six deviations more pass.
 SKETCH_BITS, SKETCH_LIMIT = 512, 162
-#: Rows that are broadcast at most, of two longs each; more are joined by a shuffle.
-BROADCAST_ROWS = 100_000
-#: New hubs are tried while pairs in unsettled buckets are over so many times their members, at most so many rounds.
-PAIRS_A_MEMBER, HUB_ROUNDS = 32, 3
+#: Rows that are broadcast at most, of a few longs each; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+#: Classes of a bucket of which all pairs meet; larger buckets have a hub.
+SMALL = 8
+#: Parts that a hub's partners are dealt to.
+SALTS = 64
 
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -112,65 +119,103 @@ def sketched_similarity(xor_bits: float, samples: int = BANDS * ROWS, bits: int
     return 1 - np.log(full) / np.log(1 - 2 / bits) / (2 * samples)
 
 
-@functools.lru_cache(maxsize=16)
-def _lately(text: str) -> np.ndarray:
-    return shingles(text)
+def set_name(hashes: np.ndarray) -> tuple[int, int]:
+    """128-bit name of a set, as two longs."""
+    digest = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-def node_of(hashes: np.ndarray) -> int:
-    """64-bit name of a set. Two of n sets share one with a probability of about n * n / 2**65."""
-    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
-
-
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    num, den = SIMILARITY
-    if min(len(a), len(b)) * den < num * max(len(a), len(b)) or not len(a):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return den * both >= num * (len(a) + len(b) - both)
+def _with_text_names(docs: DataFrame) -> DataFrame:
+    """Two 64-bit hashes of the text that together name it; those of a null text are of their own."""
+    return docs.withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit(1), F.col("text").isNull(), "text")})
 
 
 def signatures(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Rows (doc_id, text_hash, node, n_shingles, bands, sketch), one for each row; no bands without shingles."""
-    longs = T.ArrayType(T.LongType())
-    schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType), T.StructField("text_hash", T.LongType()), T.StructField("node", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("bands", longs), T.StructField("sketch", longs)])
+    """Rows (doc_id, t1, t2, s1, s2, n_shingles, bands, sketch), one for each row: the names of text and set, the
+    set's size, its band keys and its odd sketch; without shingles all but the names of the text and the size are null."""
+    longs, long = T.ArrayType(T.LongType()), T.LongType()
+    schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType), *(T.StructField(c, long) for c in ("t1", "t2", "s1", "s2", "n_shingles")), T.StructField("bands", longs), T.StructField("sketch", longs)])
 
     def run(batch):
-        nodes, sizes, keys, sketches = [], [], [], []
+        first, second, sizes, keys, sketches = [], [], [], [], []
         for text in batch.column(1):
             s = shingles(text.as_py())
-            nodes.append(node_of(s) if len(s) else None)
+            a, b = set_name(s) if len(s) else (None, None)
+            first.append(a)
+            second.append(b)
             sizes.append(len(s))
             samples = minhash(s) if len(s) else None
             keys.append(bands(samples) if len(s) else None)
             sketches.append(odd_sketch(samples) if len(s) else None)
-        return common.batch(schema, [batch.column(0), batch.column(2), nodes, sizes, keys, sketches])
+        return common.batch(schema, [batch.column(0), batch.column(2), batch.column(3), first, second, sizes, keys, sketches])
+
+    return common.map_batches(_with_text_names(common.ids_and_texts(df, id_col, text_col)), run, schema)
 
-    rows = common.ids_and_texts(df, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    return common.map_batches(rows, run, schema)
 
+def _few(df: DataFrame) -> DataFrame:
+    """``df``, a written table, to be broadcast where its count is bounded."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of pairs (a, b) of nodes, those linked by their full sets. Texts of the nodes in pairs alone are fetched."""
-    pairs = common.staged(pairs, "minhash-pairs")
-    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    named = picks = common.staged(nodes.join(classes.select("node", "pick"), "node").select("node", "pick.doc_id", "pick.text_hash"), "minhash-picks")
-    if picks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        picks = F.broadcast(picks)
-    texts = docs.withColumn("text_hash", F.xxhash64("text")).alias("d").join(picks.alias("p"), F.expr("d.text_hash = p.text_hash and d.doc_id <=> p.doc_id")).select("p.node", "d.text")
-    fetched = common.staged(texts, "minhash-texts")
-    texts = fetched.groupBy("node").agg(F.min("text").alias("text"))  # repeated rows
-    full = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+def _sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Written rows (node, shingles) with the full sets of the nodes; only their texts are fetched."""
+    picks = common.staged(nodes.join(classes.select("node", "pick"), "node").select("node", F.col("pick.doc_id").alias("doc_id"), F.col("pick.t1").alias("t1"), F.col("pick.t2").alias("t2")), "minhash-picks")
+    texts = _with_text_names(docs).alias("d").join(_few(picks).alias("p"), F.expr("d.t1 = p.t1 and d.t2 = p.t2 and d.doc_id <=> p.doc_id")).select("p.node", "d.text")
+    texts = texts.groupBy("node").agg(F.first("text").alias("text"))  # repeated rows
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
 
     def run(batch):
-        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()  # a hub's rows come one after another
-        keep = [i for i in range(len(a)) if linked(_lately(batch.column(2)[i].as_py()), shingles(batch.column(3)[i].as_py()))]
-        return common.batch(schema, [[a[i] for i in keep], [b[i] for i in keep]])
+        return common.batch(schema, [batch.column(0), [shingles(t.as_py()).view(np.int64) for t in batch.column(1)]])
+
+    out = common.staged(common.map_batches(texts, run, schema), "minhash-sets")
+    common.drop(picks)
+    return out
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of pairs (a, b) of nodes, those linked by their full sets, written. A node that is ``a`` of very many pairs is
+    dealt to parts by its partners."""
+    num, den = SIMILARITY
+    dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    left = dealt.select("a", "salt").distinct().join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
+    right = dealt.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    links = right.join(left, ["a", "salt"]).where(both * (den + num) >= (F.size("set_a") + F.size("set_b")) * num)
+    return common.staged(links.select("a", "b"), "minhash-links")
+
+
+def _plausible(a: str, b: str):
+    """Sizes n and odd sketches of two prefixes of column names that a similarity of 0.75 allows."""
+    num, den = SIMILARITY
+    n, m, x, y = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.sketch"), F.col(f"{b}.sketch")
+    bits = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    return (F.least(n, m) * den >= F.greatest(n, m) * num) & (bits <= SKETCH_LIMIT)
 
-    links = common.staged(common.map_batches(full, run, schema), "minhash-links")
-    common.drop(pairs, named, fetched)
-    return links
+
+def _prefix_pairs(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of (node, component, n, sketch): all plausible pairs of nodes of different components whose sets can reach the
+    threshold, by the shingles of their prefixes in order of frequency.
+
+    The larger set of a pair holds its first common shingle in its first n - ceil(0.75 n) + 1, the smaller one in its
+    first n - ceil(6/7 n) + 1, as its overlap must be 3/7 of both sizes. Shingles that only one node has come first and
+    are counted, not joined.
+    """
+    num, den = SIMILARITY
+    tokens = sets.select("node", F.explode("shingles").alias("token"))
+    shared = common.staged(tokens.groupBy("token").agg(F.count("*").alias("f")).where("f > 1"), "minhash-tokens")
+    listed = tokens.join(shared, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("list"))  # no more than a text's words
+    alone = F.col("n") - F.size("list")
+    reach = F.col("n") - F.ceil(F.col("n") * num / den) + 1
+    rows = listed.join(open_, "node").withColumn("alone", alone).withColumn("reach", reach).where("alone < reach")
+    rows = rows.select("node", "component", "n", "sketch", "alone", F.posexplode(F.slice("list", F.lit(1), (F.col("reach") - F.col("alone")).cast("int"))).alias("k", "e"))
+    rows = rows.select(F.col("e.token").alias("token"), "node", "component", "n", "sketch", (F.col("alone") + F.col("k")).alias("at"))
+    rows = common.staged(rows, "minhash-prefixes")
+    small = rows.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * (2 * num) / (num + den)))
+    met = F.expr("a.token = b.token and a.component != b.component and (a.n < b.n or (a.n = b.n and a.node < b.node))")
+    needed = F.ceil((F.col("a.n") + F.col("b.n")) * num / (num + den))
+    left = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    pairs = small.alias("a").join(rows.alias("b"), met & (left >= needed) & _plausible("a", "b"))
+    return common.staged(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "minhash-pairs")
 
 
 def groups(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -178,71 +223,71 @@ def groups(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
 
     Documents are linked at a similarity of 0.75 or more of their full shingle sets; component_id is the least id that
     can be reached. A null or empty text has no shingles, is linked with nothing and stays. Null ids take part; the
-    component has the least id that is not null, and a null id is kept only where its text is linked with nothing
-    else. Repeated rows of the id that stays all stay.
+    component has the least id that is not null, and a null id is kept only where its text is linked with no id.
+    Repeated rows of the id that stays all stay, and so do rows of that id in the component with another text. Extra
+    columns of any name are not read; an empty table gives no rows.
     """
+    return _grouped(df, text_col, id_col).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _grouped(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """Rows of ``groups`` with the names (t1, t2) of their texts."""
     docs = common.ids_and_texts(df, id_col, text_col)
     rows = common.staged(signatures(docs), "minhash-rows")
-    classes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("id"), F.min(F.struct("doc_id", "text_hash")).alias("pick"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    classes = common.staged(classes, "minhash-classes")
-    members = classes.select("node", F.explode("bands").alias("band"))
+    classes = rows.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("pick"), F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = common.staged(classes.withColumn("node", F.monotonically_increasing_id()), "minhash-classes")
 
-    # the first hubs, for all buckets
-    hubs = members.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    shared = common.staged(members.join(hubs.select("band", "hub"), "band"), "minhash-shared")
-    links = _confirmed(_filtered(shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), classes), classes, docs)
-    for salt in range(1, HUB_ROUNDS + 1):
-        labels = common.components(links, "minhash-components")
-        open_ = shared.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-        unsettled = open_.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(salt)), "node", "component")).alias("best")).where("lo < hi")
-        before, shared = shared, common.staged(open_.join(unsettled.select("band", "best"), "band"), "minhash-open")
-        common.drop(before)
-        size = shared.groupBy("band").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") * F.col("n")), F.lit(0)).alias("pairs"), F.coalesce(F.sum("n"), F.lit(0)).alias("members")).first()
-        if size["pairs"] <= PAIRS_A_MEMBER * max(size["members"], 1000) or salt == HUB_ROUNDS:
-            break
-        tried = shared.where("component != best.component").select(F.least("node", "best.node").alias("a"), F.greatest("node", "best.node").alias("b")).distinct()
-        more = _confirmed(_filtered(tried, classes), classes, docs)
-        before, links = links, common.staged(links.unionAll(more), "minhash-links")
-        common.drop(before, more, labels)
-    if size["members"]:
-        side = shared.select("band", "node", "component").join(classes.select("node", "n", "sketch"), "node")
-        a, b = side.alias("a"), side.alias("b")
-        links = links.unionAll(_confirmed(_pairs(a, b).distinct(), classes, docs))
-        labels = common.components(links, "minhash-components")
-
-    named = classes.select("node", "id").join(labels, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
-    named = common.staged(named, "minhash-named")
-    least = named.groupBy("component").agg(F.min("id").alias("component_id"), F.count("*").alias("n_classes"))
-    named = named.join(least, "component").select("node", "component_id")
-    out = rows.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    members = classes.select("node", F.explode("bands").alias("band"))
+    buckets = common.staged(members.groupBy("band").agg(F.count("*").alias("size"), F.min("node").alias("a"), F.max("node").alias("b")).where("size > 1"), "minhash-buckets")
+    two = buckets.where("size = 2").select("a", "b").distinct()  # both members are known
+    wanted = common.staged(buckets.where("size > 2").select("band", "size"), "minhash-wanted")
+    listed = common.staged(members.join(_few(wanted), "band"), "minhash-listed")
+    score = listed.groupBy("node").agg(F.sum("size").alias("score"))
+    of_node = common.staged(score.join(classes.select("node", "n", "sketch"), "node"), "minhash-scores")
+    shared = common.staged(listed.join(of_node, "node"), "minhash-members")
+    hubs = common.staged(shared.where(F.col("size") > SMALL).groupBy("band").agg(F.max(F.struct("score", "node", "n", "sketch")).alias("hub")), "minhash-hubs")
+    small, large = shared.where(F.col("size") <= SMALL), shared.where(F.col("size") > SMALL)
+    within = small.alias("a").join(small.alias("b"), F.expr("a.band = b.band and a.node < b.node") & _plausible("a", "b")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    starred = large.alias("b").join(hubs.alias("h"), F.expr("b.band = h.band and b.node != h.hub.node") & _plausible("h.hub", "b")).select(F.col("h.hub.node").alias("a"), F.col("b.node").alias("b"))
+    pairs = common.staged(_filtered(two, classes).unionAll(within).unionAll(starred).distinct(), "minhash-pairs")
+    sets = _sets(pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct(), classes, docs)
+    links = _confirmed(pairs, sets)
+    common.drop(pairs, sets, hubs, wanted, buckets, listed, of_node)
+    labels = common.components(links, "minhash-components")
+
+    # large buckets of more than one component
+    open_ = common.staged(large.join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"), "n", "sketch"), "minhash-open")
+    unsettled = common.staged(open_.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band"), "minhash-unsettled")
+    left = common.staged(open_.join(_few(unsettled), "band", "left_semi").groupBy("node").agg(F.first("component").alias("component"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "minhash-left")
+    common.drop(open_, unsettled, shared)
+    if not left.isEmpty():
+        sets = _sets(left.select("node"), classes, docs)
+        pairs = _prefix_pairs(left, sets)
+        more = _confirmed(pairs, sets)
+        common.drop(pairs, sets, labels)
+        labels = common.components(links.unionAll(more), "minhash-components")
+
+    named = classes.select("node", "s1", "s2", "id").join(labels, "node", "left").select("s1", "s2", "id", F.coalesce("component", "node").alias("component"))
+    least = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    named = common.staged(named.join(least, "component").select("s1", "s2", "component_id"), "minhash-named")
+    out = rows.select("doc_id", "t1", "t2", "n_shingles", "s1", "s2").join(named, ["s1", "s2"], "left")
     component = F.coalesce("component_id", "doc_id")
     kept = F.when(F.col("n_shingles") == 0, True).otherwise(F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
-
-
-def _plausible():
-    """Of aliases a and b with n and sketch: sizes and odd sketches that a similarity of 0.75 allows."""
-    num, den = SIMILARITY
-    bits = sum((F.bit_count(F.col("a.sketch")[i].bitwiseXOR(F.col("b.sketch")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    return (F.least("a.n", "b.n") * den >= F.greatest("a.n", "b.n") * num) & (bits <= SKETCH_LIMIT)
-
-
-def _pairs(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Pairs of a bucket that are of different components and plausible; nothing else leaves the join."""
-    return a.join(b, F.expr("a.band = b.band and a.node < b.node and a.component != b.component") & _plausible()).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    return out.select("doc_id", "t1", "t2", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
 def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Of pairs (a, b) of nodes, the plausible ones."""
     c = classes.select("node", "n", "sketch")
     with_a = pairs.alias("p").join(c.alias("a"), F.expr("p.a = a.node"))
-    return with_a.join(c.alias("b"), F.expr("p.b = b.node")).where(_plausible()).select(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
+    return with_a.join(c.alias("b"), F.expr("p.b = b.node")).where(_plausible("a", "b")).select(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
 
 
 def deduplicated(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` that ``groups`` keeps, with all their columns."""
-    gone = groups(df, text_col, id_col).where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
-    gone = common.staged(gone, "minhash-gone")
-    if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    return df.alias("d").join(gone.alias("g"), F.col(f"d.{id_col}") == F.col(f"g.{id_col}"), "left_anti")
+    """The rows of ``df`` that ``groups`` keeps, with all their columns, whatever their names. Rows are told apart by id
+    and text: of rows that share an id, each goes or stays by its own text; null ids and null texts are values too."""
+    gone = _grouped(df, text_col, id_col).where("not kept").select("doc_id", "t1", "t2").distinct()
+    gone = _few(common.staged(gone, "minhash-gone"))
+    text = F.col(f"d.`{text_col}`").cast("string")
+    same = (F.col(f"d.`{id_col}`").eqNullSafe(F.col("g.doc_id"))) & (F.xxhash64(text) == F.col("g.t1")) & (F.xxhash64(F.lit(1), text.isNull(), text) == F.col("g.t2"))
+    return df.alias("d").join(gone.alias("g"), same, "left_anti")

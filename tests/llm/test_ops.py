@@ -112,6 +112,10 @@ def test_pii(docs, rows, empty):
 
 
 def plain_groups(rows):
+    return Counter(plain_list(rows))
+
+
+def plain_list(rows):
     sets = []
     for _, t, *_ in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
@@ -130,7 +134,7 @@ def plain_groups(rows):
     for i, (k, *_) in enumerate(rows):
         ids = [rows[j][0] for j in range(len(rows)) if find(j) == find(i) and rows[j][0] is not None]
         out.append((k, len(sets[i]), min(ids, default=None)))
-    return Counter(out)
+    return out
 
 
 def test_minhash(docs, rows, empty):
@@ -138,16 +142,27 @@ def test_minhash(docs, rows, empty):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_groups(rows)
     assert minhash.groups(empty).count() == 0
     kept = minhash.deduplicated(docs)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= {0, 1, 2, 4, 6}
+    found = Counter((r.doc_id, r.text) for r in kept.collect())
+    stays = [n == 0 or c is None or i == c for i, n, c in plain_list(rows)]
+    assert kept.columns == docs.columns and found == Counter((i, t) for (i, t, *_), s in zip(rows, stays) if s)
+
+
+def test_minhash_deduplicated_by_row(spark):
+    base, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(1, base, "x"), (None, base, "x"), (5, base, "y"), (5, other, "z"), (6, other, "x"), (None, "alone", "x"), (7, None, "x"), (7, None, "x"), (1, base, "again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, t1 string")
+    assert Counter(tuple(r) for r in minhash.deduplicated(df).collect()) == Counter([(1, base, "x"), (1, base, "again"), (5, other, "z"), (None, "alone", "x"), (7, None, "x"), (7, None, "x")])
 
 
-def test_minhash_large_group(spark):
+@pytest.mark.parametrize("edits,small", [((0, 1, 1, 2, 3), minhash.SMALL), ((2, 3, 4, 5), 2)])
+def test_minhash_large_group(spark, monkeypatch, edits, small):
+    monkeypatch.setattr(minhash, "SMALL", small)
     rng = random.Random(8)
     base = [f"w{i}" for i in range(60)]
     rows = []
     for i in range(400):
         w = list(base)
-        for k in rng.sample(range(60), rng.choice([0, 1, 1, 2, 3])):
+        for k in rng.sample(range(60), rng.choice(edits)):
             w[k] = f"z{rng.randint(0, 5)}"
         rows.append((i, " ".join(w)))
     got = minhash.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
