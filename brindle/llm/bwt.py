@@ -36,21 +36,22 @@ class Column:
         self.values = new
 
 
-def build(strings: list[bytes], cap: int = 1 << 30, spill_bytes: int = 1 << 28) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(bwt, lcp, owner, start): sorted suffixes of all strings, with the symbol before each (0 to 255, 256 at a
-    string's start), the common prefix with the one before (at most ``cap``), its string and where it starts.
+def joined(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings as one array of symbols and their lengths."""
+    return np.frombuffer(b"".join(strings), np.uint8), np.fromiter(map(len, strings), np.int64, len(strings))
 
-    Ends differ from every symbol and rank below; equal suffixes are in the strings' order.
+
+def build(raw: np.ndarray, lengths: np.ndarray, cap: int = 1 << 30, spill_bytes: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bwt, lcp, owner, start): sorted suffixes of all strings, with the symbol before each (one more than the largest
+    at a string's start), the common prefix with the one before (at most ``cap``), its string and where it starts.
+
+    ``raw`` holds the strings one after another, as integers. Ends differ from every symbol and rank below; equal
+    suffixes are in the strings' order.
     """
-    m = len(strings)
-    lengths = np.fromiter(map(len, strings), np.int64, m)
-    raw = np.frombuffer(b"".join(strings), np.uint8)
-    letters = np.flatnonzero(np.bincount(raw, minlength=256))
-    small = len(letters) < 256  # one byte a symbol, with the string's start as the last symbol
-    start = len(letters)
-    rank = np.zeros(256, np.uint8)
-    rank[letters] = np.arange(start)
-    flat = rank[raw].astype(np.uint8 if small else np.uint16)
+    m = len(lengths)
+    letters, flat = np.unique(raw, return_inverse=True)
+    start = len(letters)  # the symbol of a string's start
+    flat = flat.astype(np.uint8 if start < 1 << 8 else np.uint16 if start < 1 << 16 else np.uint32)
     base = np.cumsum(lengths) - lengths
     bwt, lcp = Column(flat.dtype, spill_bytes), Column(np.int16 if cap < 1 << 15 else np.int32, spill_bytes)
     # round 0: the empty suffixes
@@ -67,12 +68,9 @@ def build(strings: list[bytes], cap: int = 1 << 30, spill_bytes: int = 1 << 28)
         done += 1
         order = np.argsort(bwt.values, kind="stable")  # positions by symbol: the last-first mapping, in sequence
         edges = np.concatenate([[0], np.cumsum(np.bincount(bwt.values, minlength=start + 1))])
-        spot = np.empty(len(live), np.int64)  # place in ``order``
-        by_symbol = np.argsort(symbols, kind="stable")
-        cut = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=start))])
-        for k in np.flatnonzero(np.diff(cut)).tolist():
-            mine = by_symbol[cut[k] : cut[k + 1]]
-            spot[mine] = edges[k] + np.searchsorted(order[edges[k] : edges[k + 1]], places[mine])
+        n = len(order)
+        by_symbol = bwt.values[order].astype(np.int64) * n + order
+        spot = np.searchsorted(by_symbol, symbols.astype(np.int64) * n + places)  # place in ``order``
         sort = np.argsort(spot)
         spot, live, symbols = spot[sort], live[sort], symbols[sort]
         after = spot + 1 < edges[symbols + 1]
@@ -95,7 +93,7 @@ def build(strings: list[bytes], cap: int = 1 << 30, spill_bytes: int = 1 << 28)
         owner[at], first[at] = who, lengths[who] - j
         more = lengths[who] > j
         who, at = who[more], forward[at[more]] + m
-    return np.append(letters, 256)[bwt.values], lcp.values, owner, first
+    return np.append(letters, letters[-1] + 1 if start else 0)[bwt.values], lcp.values, owner, first
 
 
 def _common(lcp: np.ndarray, order: np.ndarray, spot: np.ndarray, inside: np.ndarray, cap: int) -> np.ndarray:
@@ -111,14 +109,14 @@ def _common(lcp: np.ndarray, order: np.ndarray, spot: np.ndarray, inside: np.nda
     return out
 
 
-def repeated(strings: list[bytes], length: int) -> list[np.ndarray]:
+def repeated(raw: np.ndarray, lengths: np.ndarray, length: int, spill_bytes: int = 1 << 20) -> list[np.ndarray]:
     """For each string, whether its substring of ``length`` at each start is also at another start or in another string."""
-    _, lcp, who, start = build(strings, cap=length)
+    _, lcp, who, start = build(raw, lengths, length, spill_bytes)
     hit = lcp >= length
     hit |= np.append(hit[1:], False)
-    sizes = np.fromiter((max(0, len(s) - length + 1) for s in strings), np.int64, len(strings))
+    sizes = np.maximum(0, lengths - length + 1)
     base = np.cumsum(sizes) - sizes
     flags = np.zeros(int(sizes.sum()), bool)
-    some = hit & (start <= np.array([len(s) for s in strings], np.int64)[who] - length) if len(strings) else hit
+    some = hit & (start <= lengths[who] - length) if len(lengths) else hit
     flags[base[who[some]] + start[some]] = True
-    return np.split(flags, base[1:]) if len(strings) else []
+    return np.split(flags, base[1:]) if len(lengths) else []

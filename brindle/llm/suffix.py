@@ -5,59 +5,77 @@ sorted is narrowed first, exactly:
 
 1. Of equal texts one takes part; where a text of 400 bytes or more has a copy, all of it goes.
 2. The leftmost of the least 100-byte hashes of a 400-byte window is its anchor. Equal windows have equal anchors at
-   equal offsets, so only windows whose anchor's hash is found twice can repeat.
-3. A window's offset from its anchor falls into a cell of 32. All windows of a cell lie in its outer string (431 bytes)
-   and share its inner string (369 bytes). If the outer string is found twice, all of them repeat; if the inner string
-   is found once, none does.
-4. The rest, around the ends of repeated passages, are sorted: groups by inner string, many to a collection. An inner
-   string that very many outer strings share (a passage in thousands of documents) is not put into one collection; its
-   windows are counted by their own hashes, which gives the same answer without a large group.
-
-Strings are compared by 64-bit hashes in steps 1 to 3 and by the counts in 4; two of n differing strings share a hash with
-a probability of about n * n / 2**65. Sorting compares bytes.
+   equal offsets, so only windows whose anchor's hash is found twice can repeat. Where all that an anchor's windows
+   cover is found twice, at the same offsets, all of them repeat; one of these stands for the others in what follows.
+3. The windows of other anchors, around the ends of repeated passages, fall into cells of 32 by their offset. All windows
+   of a cell hold its inner string of 369 bytes; cells with an inner string of their own do not repeat.
+4. The rest is sorted, groups of equal inner strings, many to a collection. In what is sorted the inner string is one
+   symbol, so that 400 bytes are 32 symbols and a string has 63 at most. A group of over ``HOT`` strings (a passage with
+   thousands of surroundings) is cut again into cells of 2: there a string is the inner symbol with one byte on either
+   side, so no group has over 66,048 strings, however often the passage is found, and it is sorted in the same way.
+
+Strings of steps 1 and 2 are compared by two independent 64-bit hashes (128 bits), inner strings by one: for an error two
+of them would have to share it and the other 31 bytes of a window, too.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brindle.llm import bwt, common
-from brindle.llm.minhash import _powers, mixed
+from brindle.llm.minhash import mixed
 
-LENGTH, GRAM, CELL = 400, 100, 32
-#: Outer strings to an inner string up to which their windows are sorted; beyond, they are counted.
-HOT = 256
-#: Bytes that are sorted together, about.
-COLLECTION = 300_000
-#: Rows that are broadcast at most (four longs each); more are joined by a shuffle.
-BROADCAST_ROWS = 300_000
+LENGTH, GRAM, CELL, FINE = 400, 100, 32, 2
+#: Strings of a group up to which it is sorted as it is; larger groups are cut into cells of ``FINE`` windows first.
+HOT = 4096
+#: Symbols that are sorted together, about, and the bytes of an array from which on it lives in a file.
+COLLECTION, SPILL = 500_000, 1 << 19
+#: Rows that are broadcast at most (a few longs each); more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+#: Names of 64 bits that more than one text has, at most; expected are n * n / 2**65.
+CLASHES = 10_000
 
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
-def _sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(max(16, len(raw).bit_length()))
-    sums = np.empty(len(raw) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
-    return sums, down
 
+@functools.cache
+def _powers(bits: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base modulo 2**64 and of its inverse, 2**bits of each."""
+    n = 1 << bits
+    with np.errstate(over="ignore"):
+        up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        return np.cumprod(up), np.cumprod(down)
 
-def _hashes(sums: np.ndarray, down: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mixed((sums[end] - sums[start]) * down[start])
 
+class Sums:
+    """Running sums of a text's bytes: hashes of any of its substrings, by the first or the second base."""
 
-def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, position, first window, last window) of the anchors of a text's bytes."""
+    def __init__(self, raw: np.ndarray, which: int):
+        self.up, self.down = _powers(max(16, len(raw).bit_length()), _BASES[which])
+        self.sums = np.empty(len(raw) + 1, np.uint64)
+        self.sums[0] = 0
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.up[: len(raw)], out=self.sums[1:])
+
+    def hashes(self, start: np.ndarray, end: np.ndarray, salt: np.ndarray | int = 0) -> np.ndarray:
+        return mixed((self.sums[end] - self.sums[start]) * self.down[start] + np.uint64(0xD6E8FEB86659FD93) * np.asarray(salt, np.int64).view(np.uint64))
+
+
+def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(hash, two hashes of all that its windows cover, position, first window, last window) of the anchors of a text's bytes."""
     n, w = len(raw), length - gram + 1
     if n < length:
         none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), none, none, none
-    sums, down = _sums(raw)
-    grams = mixed((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
+        return none, none, none, none, none, none
+    one, two = Sums(raw, 0), Sums(raw, 1)
+    grams = mixed((one.sums[gram:] - one.sums[:-gram]) * one.down[: n - gram + 1])
     value = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     blocks = -(-len(value) // w)
     padded = np.full(blocks * w, np.iinfo(np.uint64).max)
@@ -71,23 +89,24 @@ def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np
     first = np.concatenate([[0], np.flatnonzero(np.diff(position)) + 1])
     last = np.append(first[1:] - 1, count - 1)
     at = position[first]
-    return grams[at], at, first, last
+    salt = (at - first) << 20 | last - first
+    covered = (s.hashes(first, last + length, salt).view(np.int64) for s in (one, two))
+    return grams[at].view(np.int64), *covered, at, first, last
 
 
 def cells(raw: np.ndarray, position: np.ndarray, first: np.ndarray, last: np.ndarray, length: int = LENGTH, cell: int = CELL) -> tuple[np.ndarray, ...]:
-    """(inner hash, outer hash, whether the outer string lies in the text, first window, last window) of the anchors' cells."""
-    sums, down = _sums(raw)
+    """(anchor, inner hash, two hashes of what its windows cover, first window, last window, start of the inner string)
+    of the anchors' cells."""
+    one, two = Sums(raw, 0), Sums(raw, 1)
     low, high = (position - last) // cell, (position - first) // cell
     n = high - low + 1
     which = np.repeat(np.arange(len(position)), n)
     g = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + low[which]
-    at = position[which]
-    end, start = at - g * cell, at - g * cell - cell + 1  # latest and earliest window
-    salt = g.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    inner = mixed(_hashes(sums, down, end, start + length) + salt)
-    whole = (start >= 0) & (end + length <= len(raw))
-    outer = mixed(_hashes(sums, down, np.maximum(start, 0), np.minimum(end + length, len(raw))) + salt + np.uint64(1))
-    return inner, outer, whole, np.maximum(start, first[which]), np.minimum(end, last[which])
+    end = position[which] - g * cell  # the latest window, where the inner string starts; the earliest is cell - 1 before
+    a, b = np.maximum(end - cell + 1, first[which]), np.minimum(end, last[which])
+    inner = one.hashes(end, end + length - cell + 1, g)
+    salt = g << 12 | (end - a) << 6 | end - b
+    return which, inner.view(np.int64), *(s.hashes(a, b + length, salt).view(np.int64) for s in (one, two)), a, b, end
 
 
 LONG = T.LongType()
@@ -97,17 +116,26 @@ def _fields(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, LONG) for n in names])
 
 
+#: A cell: what it is compared by, its text and windows, whether they are still open, and the bytes on both sides of
+#: its inner string.
+PIECE = T.StructType([*_fields("inner", "o1", "o2", "d", "a", "b", "e", "open"), T.StructField("sides", T.BinaryType())])
+
+
 def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """``df``, a written table, to be broadcast where its count is bounded."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def _with_lists(texts: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
     """(d, text, lists of the columns): texts joined with the rows of their d. A text has fewer rows than bytes."""
     rows = common.staged(rows, "suffix-rows")
+    lists = rows.groupBy("d").agg(F.collect_list(F.struct(*columns)).alias("rows"))
     if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        lists = F.broadcast(rows.groupBy("d").agg(F.collect_list(F.struct(*columns)).alias("rows")))
-    else:
-        lists = rows.groupBy("d").agg(F.collect_list(F.struct(*columns)).alias("rows"))
+        lists = F.broadcast(lists)
     return texts.join(lists, "d").select("d", "text", *(F.col("rows")[c].alias(c) for c in columns))
 
 
@@ -118,91 +146,120 @@ def _lists(batch, k: int) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(offsets, offsets[1:])]
 
 
-def windows(texts: DataFrame) -> DataFrame:
-    """Of distinct texts (d, text): rows (d, a, b), runs of starts of windows that also start elsewhere."""
-
-    def find_anchors(batch):
-        out = [[], [], [], [], []]
-        for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            h, at, first, last = anchors(_bytes(text.as_py()))
-            for c, v in zip(out, (np.full(len(h), d, np.int64), h.view(np.int64), at, first, last)):
+def _find_anchors(batch):
+    out: list[list] = [[] for _ in range(7)]
+    for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        found = anchors(_bytes(text.as_py()))
+        for c, v in zip(out, (np.full(len(found[0]), d, np.int64), *found)):
+            c.append(v)
+    return common.batch(_fields("d", "key", "w1", "w2", "at", "first", "last"), [np.concatenate(c) for c in out])
+
+
+def _find_cells(batch):
+    numbers: list[list] = [[] for _ in range(8)]
+    sides: list[bytes] = []
+    for d, text, at, first, last, open_ in zip(batch.column(0).to_pylist(), batch.column(1), *(_lists(batch, k) for k in (2, 3, 4, 5))):
+        raw = _bytes(text.as_py())
+        which, inner, o1, o2, a, b, e = cells(raw, at, first, last)
+        for c, v in zip(numbers, (inner, o1, o2, np.full(len(a), d, np.int64), a, b, e, open_[which])):
+            c.append(v)
+        whole = raw.tobytes()
+        sides += [whole[x:z] + whole[z + LENGTH - CELL + 1 : y + LENGTH] for x, y, z in zip(a.tolist(), b.tolist(), e.tolist())]
+    return common.batch(PIECE, [*(np.concatenate(c) for c in numbers), sides])
+
+
+def _cut_again(batch):
+    """Cells of FINE windows out of cells of CELL. What they hold in common is told by the inner string's hash and bytes
+    of the sides."""
+    out: list[list] = [[] for _ in PIECE]
+    long = lambda digest: int.from_bytes(digest, "little", signed=True)
+    for inner, d, a, b, e, open_, sides in zip(*(batch.column(PIECE.names.index(c)).to_pylist() for c in ("inner", "d", "a", "b", "e", "open", "sides"))):
+        left, right = sides[: e - a], sides[e - a :]
+        for k in range((e - b) // FINE, (e - a) // FINE + 1):
+            at = e - k * FINE  # the latest window
+            x, y = max(a, at - FINE + 1), min(b, at)
+            middle = left[at - a :], right[: at + CELL - FINE - e]
+            name = hashlib.blake2b(b"%d %d %d " % (inner, k, len(middle[0])) + middle[0] + middle[1], digest_size=8).digest()
+            some = left[x - a : at - a] + right[at + CELL - FINE - e : y + CELL - 1 - e]
+            own = hashlib.blake2b(name + b"%d %d " % (at - x, at - y) + some, digest_size=16).digest()
+            for c, v in zip(out, (long(name), long(own[:8]), long(own[8:]), d, x, y, at, open_, some)):
                 c.append(v)
-        return common.batch(_fields("d", "key", "at", "first", "last"), [np.concatenate(c) for c in out])
+    return common.batch(PIECE, out)
 
-    found = common.staged(common.map_batches(texts.where("octet_length(text) >= %d" % LENGTH), find_anchors, _fields("d", "key", "at", "first", "last")), "suffix-anchors")
-    twice = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    shared = found.join(twice, "key").select("d", "at", "first", "last")
 
-    names = ("d", "inner", "outer", "whole", "a", "b")
+def _decided(split: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of written cells: runs (d, a, b) of those found twice, and cells (PIECE and group, the number in the group) that
+    have to be sorted, written: one of each kind, where a group has others and an open one."""
+    names = ["inner", "o1", "o2"]
+    kinds = split.groupBy(*names).agg(F.count("*").alias("n"), F.max("open").alias("open"), *(F.first(c).alias(c) for c in ("d", "a", "b", "e", "sides")))
+    kinds = common.staged(kinds, "suffix-kinds")
+    twice = kinds.where("n > 1 and open = 1").select(*names)
+    doubled = split.where("open = 1").join(_few(common.staged(twice, "suffix-twice")), names).select("d", "a", "b")
+    kinds = kinds.withColumn("open", F.when((F.col("open") == 1) & (F.col("n") == 1), 1).otherwise(0).cast("long"))
+    groups = common.staged(kinds.groupBy("inner").agg(F.count("*").alias("group"), F.sum("open").alias("some")).where("group > 1 and some > 0").select("inner", "group"), "suffix-groups")
+    return doubled, common.staged(kinds.join(_few(groups), "inner").select(*PIECE.names, "group"), "suffix-pieces")
 
-    def find_cells(batch):
-        out = [[] for _ in names]
-        for d, text, at, first, last in zip(batch.column(0).to_pylist(), batch.column(1), *(_lists(batch, k) for k in (2, 3, 4))):
-            inner, outer, whole, a, b = cells(_bytes(text.as_py()), at, first, last)
-            for c, v in zip(out, (np.full(len(a), d, np.int64), inner.view(np.int64), outer.view(np.int64), whole.astype(np.int64), a, b)):
-                c.append(v)
-        return common.batch(_fields(*names), [np.concatenate(c) for c in out])
-
-    split = common.staged(common.map_batches(_with_lists(texts, shared, ["at", "first", "last"]), find_cells, _fields(*names)), "suffix-cells")
-    outer = split.where("whole = 1").groupBy("inner", "outer").agg(F.count("*").alias("n"), F.min(F.struct("d", "a", "b")).alias("one"))
-    # per inner string: the outer strings, those of cells that reach over a text's end singly
-    open_cells = split.where("whole = 0").select("inner", "d", "a", "b")
-    single = outer.where("n = 1").select("inner", "one.*")
-    double = common.staged(outer.where("n > 1"), "suffix-double")
-    undecided = common.staged(open_cells.unionAll(single), "suffix-single")
-    sizes = undecided.select("inner", F.lit(1).alias("open")).unionAll(double.select("inner", F.lit(0))).groupBy("inner").agg(F.count("*").alias("n"), F.sum("open").alias("open")).where("n > 1 and open > 0").select("inner", "n")
-    sources = undecided.select("inner", "d", "a", "b").unionAll(double.select("inner", "one.*"))
-    sources = sources.join(sizes, "inner").select("d", "inner", "n", "a", "b")
-
-    def cut(batch):
-        out = [[], [], [], [], []]
-        for d, text, inner, n, a, b in zip(batch.column(0).to_pylist(), batch.column(1), *(_lists(batch, k) for k in (2, 3, 4, 5))):
-            raw = _bytes(text.as_py())
-            sums = None
-            for i, m, x, y in zip(inner.tolist(), n.tolist(), a.tolist(), b.tolist()):
-                if m <= HOT:
-                    pieces = [(i, x, raw[x : y + LENGTH].tobytes(), None)]
-                else:
-                    if sums is None:
-                        sums, down = _sums(raw)
-                    at = np.arange(x, y + 1)
-                    pieces = [(i, p, None, h) for p, h in zip(at.tolist(), _hashes(sums, down, at, at + LENGTH).view(np.int64).tolist())]
-                for c, v in zip(out, ([d] * len(pieces), *zip(*pieces))):
-                    c.extend(v)
-        return common.batch(piece_schema, out)
-
-    piece_schema = T.StructType([T.StructField("d", LONG), T.StructField("inner", LONG), T.StructField("a", LONG), T.StructField("piece", T.BinaryType()), T.StructField("hash", LONG)])
-    pieces = common.staged(common.map_batches(_with_lists(texts, sources, ["inner", "n", "a", "b"]), cut, piece_schema), "suffix-pieces")
+
+def _sorted(pieces: DataFrame, cell: int) -> DataFrame:
+    """Runs (d, a, b) of windows of open pieces that are found elsewhere in their group, by sorting."""
+    collection, spill = COLLECTION, SPILL
 
     def sort(batches):
-        """Collections of whole groups: rows come by inner string. A group has at most HOT pieces."""
+        """Collections of whole groups: rows come by inner string."""
         rows: list[tuple] = []
         size, last = 0, None
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                if size >= COLLECTION and row[1] != last:
+            for row in zip(*(batch.column(k).to_pylist() for k in range(6))):
+                if size >= collection and row[0] != last:
                     yield from judged(rows)
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[3])
-                last = row[1]
+                size += len(row[5]) + 1
+                last = row[0]
         yield from judged(rows)
 
     def judged(rows):
-        out = []
-        for (d, _, a, _), flags in zip(rows, bwt.repeated([r[3] for r in rows], LENGTH)):
-            edge = np.flatnonzero(np.diff(flags.astype(np.int8), prepend=0, append=0))
-            out += [(d, a + x, a + y - 1) for x, y in zip(edge[::2].tolist(), edge[1::2].tolist())]
-        if out:
-            yield common.batch(_fields("d", "a", "b"), list(map(list, zip(*out))))
-
-    grouped = pieces.where("piece is not null").select("d", "inner", "a", "piece").repartition(common.shuffle_partitions(texts.sparkSession), "inner").sortWithinPartitions("inner")
-    sorted_ = grouped.mapInArrow(sort, _fields("d", "a", "b"))
-    single_windows = pieces.where("hash is not null").select("hash", "d", "a")
-    counted = single_windows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    counted = single_windows.join(counted, "hash").select("d", "a", F.col("a").alias("b"))
-    doubled = split.where("whole = 1").join(double.select("inner", "outer"), ["inner", "outer"]).select("d", "a", "b")
-    return doubled.unionAll(sorted_).unionAll(counted)
+        if not rows:
+            return
+        inner, d, a, e, open_, sides = zip(*rows)
+        before = np.array(e, np.int64) - np.array(a, np.int64)
+        lengths = np.fromiter(map(len, sides), np.int64, len(sides)) + 1
+        raw = np.frombuffer(b"".join(s[:k] + b"\0" + s[k:] for s, k in zip(sides, before.tolist())), np.uint8).astype(np.uint32)
+        raw[np.cumsum(lengths) - lengths + before] = 256 + np.unique(np.array(inner, np.int64), return_inverse=True)[1]
+        out: list[list[int]] = [[], [], []]
+        for i, flags in enumerate(bwt.repeated(raw, lengths, cell, spill)):
+            if open_[i] and flags.any():
+                edge = np.flatnonzero(np.diff(flags.astype(np.int8), prepend=0, append=0))
+                out[0] += [d[i]] * (len(edge) // 2)
+                out[1] += (a[i] + edge[::2]).tolist()
+                out[2] += (a[i] + edge[1::2] - 1).tolist()
+        if out[0]:
+            yield common.batch(_fields("d", "a", "b"), out)
+
+    common.bound_batches(pieces.sparkSession)
+    grouped = pieces.select("inner", "d", "a", "e", "open", "sides").repartition(common.shuffle_partitions(pieces.sparkSession), "inner").sortWithinPartitions("inner")
+    return grouped.mapInArrow(sort, _fields("d", "a", "b"))
+
+
+def windows(texts: DataFrame) -> DataFrame:
+    """Of distinct texts (d, text): rows (d, a, b), runs of starts of windows that also start elsewhere."""
+    found = common.staged(common.map_batches(texts.where(F.octet_length("text") >= LENGTH), _find_anchors, _fields("d", "key", "w1", "w2", "at", "first", "last")), "suffix-anchors")
+    twice = common.staged(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "suffix-keys")
+    shared = common.staged(found.join(_few(twice), "key"), "suffix-shared")
+    common.drop(found, twice)
+    names = ["key", "w1", "w2"]
+    kinds = common.staged(shared.groupBy(*names).agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("d", "at", "first", "last"))), "suffix-ranges")
+    settled = shared.join(_few(common.staged(kinds.where("n > 1").select(*names), "suffix-settled")), names).select("d", F.col("first").alias("a"), F.col("last").alias("b"))
+    keys = common.staged(kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("open")).where("kinds > 1 and open > 0").select("key"), "suffix-open")
+    sources = kinds.join(_few(keys), "key").select("d", "at", "first", "last", (F.col("n") == 1).cast("long").alias("open"))
+    split = common.staged(common.map_batches(_with_lists(texts, sources, ["at", "first", "last", "open"]), _find_cells, PIECE), "suffix-cells")
+    doubled, pieces = _decided(split)
+    runs = settled.unionAll(doubled).unionAll(_sorted(pieces.where(F.col("group") <= HOT), CELL))
+    hot = pieces.where(F.col("group") > HOT)
+    if not hot.isEmpty():
+        again, fine = _decided(common.staged(common.map_batches(hot.select(*PIECE.names), _cut_again, PIECE), "suffix-fine"))
+        runs = runs.unionAll(again).unionAll(_sorted(fine, FINE))
+    return runs
 
 
 def _spans(a: np.ndarray, b: np.ndarray, length: int = LENGTH) -> list[tuple[int, int]]:
@@ -216,16 +273,32 @@ def _spans(a: np.ndarray, b: np.ndarray, length: int = LENGTH) -> list[tuple[int
     return [(x, y) for x, y in out]
 
 
-def removals(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", whole_characters: bool = False) -> tuple[DataFrame, DataFrame]:
+def _named(texts: DataFrame) -> tuple[DataFrame, Callable[[Column, Column], Column]]:
+    """Written rows (t1, t2, copies, one): distinct texts by two 64-bit hashes; and the expression that names a text by
+    one of them, the second where the first is shared with another text."""
+    names = common.staged(texts.groupBy("t1", "t2").agg(F.count("*").alias("copies"), F.min("doc_id").alias("one")), "suffix-names")
+    clashes = [r["t1"] for r in names.groupBy("t1").agg(F.count("*").alias("n")).where("n > 1").select("t1").limit(CLASHES + 1).collect()]
+    if len(clashes) > CLASHES:
+        raise RuntimeError(f"more than {CLASHES} texts share a 64-bit name")
+    return names, lambda t1, t2: F.when(t1.isin(clashes), t2).otherwise(t1) if clashes else t1
+
+
+def _hashes(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
+def removals(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", whole_characters: bool = False) -> tuple[DataFrame, DataFrame, Callable[[Column], Column]]:
     """Two tables: rows (doc_id, d, n_bytes, sha256, copies) of all rows, and (d, n_removed, spans, kept) of the texts
-    without a copy that lose bytes; kept is what is left, as bytes, with ``whole_characters`` without characters that a passage's end cuts. d names a
-    text by a 64-bit hash."""
-    texts = common.ids_and_texts(df, id_col, text_col).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("d", F.xxhash64("text"))
-    slim = common.staged(texts.select("doc_id", "d", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256")), "suffix-slim")
-    many = common.staged(slim.groupBy("d").agg(F.count("*").alias("copies"), F.min("doc_id").alias("one")).where("copies > 1"), "suffix-copies")
-    if many.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        many = F.broadcast(many)
-    distinct = texts.join(many, "d", "left").where(F.col("copies").isNull() | F.col("doc_id").eqNullSafe(F.col("one"))).select("d", "text")
+    without a copy that lose bytes; kept is what is left, as bytes, with ``whole_characters`` without characters that a
+    passage's end cuts. Third, a function from a text to its name d."""
+    texts = common.ids_and_texts(df, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
+    texts = texts.withColumns(dict(zip(("t1", "t2"), _hashes(F.col("text")))))
+    slim = common.staged(texts.select("doc_id", "t1", "t2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256")), "suffix-slim")
+    names, name = _named(slim)
+    d = name(F.col("t1"), F.col("t2"))
+    many = common.staged(names.where("copies > 1").select(d.alias("d"), "copies", "one"), "suffix-copies")
+    texts = texts.withColumn("d", d)
+    distinct = texts.join(_few(many), "d", "left").where(F.col("copies").isNull() | F.col("doc_id").eqNullSafe(F.col("one"))).select("d", "text")
     runs = windows(distinct)
     schema = T.StructType([T.StructField("d", LONG), T.StructField("n_removed", LONG), T.StructField("spans", T.ArrayType(T.ArrayType(LONG))), T.StructField("kept", T.BinaryType())])
 
@@ -246,19 +319,20 @@ def removals(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", whol
                 c.append(v)
         return common.batch(schema, out)
 
-    lone = texts.join(many, "d", "left_anti").select("d", "text")
+    lone = texts.join(_few(many), "d", "left_anti").select("d", "text")
     changed = common.map_batches(_with_lists(lone, runs, ["a", "b"]), remove, schema)
-    rows = slim.join(many.select("d", "copies"), "d", "left")
-    return rows, common.staged(changed, "suffix-changed")
+    rows = slim.withColumn("d", d).drop("t1", "t2").join(many.select("d", "copies"), "d", "left")
+    return rows, common.staged(changed, "suffix-changed"), lambda text: name(*_hashes(F.coalesce(text.cast("string"), F.lit(""))))
 
 
 def report(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one for each row of ``df``.
 
     Texts are UTF-8; a null text is empty, and empty or short texts lose nothing. Repeated rows are copies of one
-    another and lose everything if they have 400 bytes. Null ids stay null.
+    another and lose everything if they have 400 bytes. Null ids stay null. Extra columns of any name are not read; an
+    empty table gives no rows.
     """
-    rows, changed = removals(df, text_col, id_col)
+    rows, changed, _ = removals(df, text_col, id_col)
     out = rows.join(changed.select("d", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")), "d", "left")
     whole = (F.coalesce(F.col("copies"), F.lit(1)) > 1) & (F.col("n_bytes") >= LENGTH)
     return out.select(
@@ -272,23 +346,24 @@ def report(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
 
 def cleaned(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", length_col: str = "n_chars") -> DataFrame:
     """``df`` with repeated passages taken out of the texts. A text of which nothing is left becomes empty, and its row
-    stays; a character that is cut by a passage's end goes whole. ``length_col``, where there is one, follows."""
-    _, changed = removals(df, text_col, id_col, whole_characters=True)
-    d = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    many = common.staged(df.groupBy(d.alias("_d")).agg(F.count("*").alias("_copies")).where("_copies > 1").select("_d"), "suffix-many")
-    changed = common.staged(changed.select(F.col("d").alias("_d"), F.col("kept").alias("_kept")).unionAll(many.select("_d", F.lit(b"").alias("_kept"))), "suffix-kept")
-    if changed.agg(F.coalesce(F.sum(F.length("_kept") + 16), F.lit(0))).first()[0] <= 1 << 24:
+    stays; a character that is cut by a passage's end goes whole. ``length_col``, where there is one, follows. Null
+    texts stay null; other columns, whatever their names, and the order of columns stay."""
+    rows, changed, d = removals(df, text_col, id_col, whole_characters=True)
+    gone = rows.where(F.col("copies") > 1).select("d").distinct().select("d", F.lit(b"").alias("kept"))
+    changed = common.staged(changed.select("d", "kept").unionAll(gone), "suffix-kept")
+    if changed.agg(F.coalesce(F.sum(F.length("kept") + 16), F.lit(0))).first()[0] <= 1 << 24:
         changed = F.broadcast(changed)
-    out = df.withColumn("_d", d).join(changed, "_d", "left")
-    long_ = F.octet_length(F.col(text_col).cast("string")) >= LENGTH
-    text = F.when(F.col("_kept").isNotNull() & long_, F.decode("_kept", "UTF-8")).otherwise(F.col(text_col))
-    out = out.withColumn("_text", text)
+    text = F.col(f"x.`{text_col}`").cast("string")
+    out = df.alias("x").join(changed.alias("c"), d(text) == F.col("c.d"), "left")
+    hit = F.col("c.kept").isNotNull() & (F.octet_length(text) >= LENGTH)
+    left = F.decode(F.col("c.kept"), "UTF-8")
     columns = []
     for c in df.columns:
+        own = F.col(f"x.`{c}`")
         if c == text_col:
-            columns.append(F.col("_text").alias(c))
+            columns.append(F.when(hit, left).otherwise(own).alias(c))
         elif c == length_col:
-            columns.append(F.when(F.col("_kept").isNotNull() & long_, F.length("_text")).otherwise(F.col(c)).cast(df.schema[c].dataType).alias(c))
+            columns.append(F.when(hit, F.length(left)).otherwise(own).cast(df.schema[c].dataType).alias(c))
         else:
-            columns.append(F.col(c))
+            columns.append(own)
     return out.select(*columns)

@@ -288,7 +288,7 @@ def test_bwt():
     rng = random.Random(5)
     for _ in range(60):
         some = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 12))) for _ in range(rng.randint(1, 7))]
-        _, lcp, who, start = bwt.build(some, spill_bytes=rng.choice([0, 1 << 20]))
+        _, lcp, who, start = bwt.build(*bwt.joined(some), spill_bytes=rng.choice([0, 1 << 20]))
         order = [some[i][j:] for i, j in zip(who, start)]
         assert order == sorted(order) and len(order) == sum(len(s) + 1 for s in some)
         common_ = [0] + [next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))) for a, b in itertools.pairwise(order)]
@@ -309,17 +309,42 @@ def plain_removals(rows):
     return out
 
 
-@pytest.mark.parametrize("hot", [suffix.HOT, 0])
-def test_suffix(docs, rows, empty, hot):
-    before, suffix.HOT = suffix.HOT, hot
-    try:
-        got = suffix.report(docs).collect()
-    finally:
-        suffix.HOT = before
+@pytest.mark.parametrize("hot,spill", [(suffix.HOT, suffix.SPILL), (1, 16)])
+def test_suffix(docs, rows, empty, hot, spill, monkeypatch):
+    monkeypatch.setattr(suffix, "HOT", hot)
+    monkeypatch.setattr(suffix, "SPILL", spill)
+    got = suffix.report(docs).collect()
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == plain_removals(rows)
     assert suffix.report(empty).count() == 0
-    cleaned = suffix.cleaned(docs)
-    assert cleaned.columns == docs.columns and cleaned.count() == len(rows)
+    names = ["d", "c", "kept", "_d", "x"]
+    clash = docs.drop("d", "node").selectExpr("*", *(f"'{n}' AS {n}" for n in names))
+    cleaned = suffix.cleaned(clash).collect()
+    assert list(cleaned[0].asDict()) == clash.columns and len(cleaned) == len(rows) and {tuple(r[n] for n in names) for r in cleaned} == {tuple(names)}
+    texts = {i: t for i, t, *_ in rows}
+    assert all(r.text == texts[r.doc_id] for r in cleaned if r.doc_id in (0, 1, 2, 4, 9, 14, 15, 16))
+
+
+@pytest.mark.parametrize("hot", [suffix.HOT, 3])
+def test_suffix_planted(spark, hot, monkeypatch):
+    """Passages of 300 to 500 bytes in many surroundings, near one another, at texts' ends and broken by single bytes."""
+    monkeypatch.setattr(suffix, "HOT", hot)
+    rng = random.Random(11)
+    passages = [words(rng, 140)[:n] for n in (300, 390, 399, 400, 401, 415, 431, 433, 470, 500)]
+    texts = []
+    for k in range(120):
+        some = rng.sample(passages, rng.randint(0, 3))
+        parts = [p if rng.random() < 0.8 else p[:200] + "#" + p[201:] for p in some]
+        texts.append("".join(x for p in parts for x in (words(rng, rng.randint(0, 6)), p)) + (words(rng, rng.randint(0, 3)) if k % 3 else ""))
+    texts += [passages[-1][i:] + str(i) for i in range(60)] + ["ab" * 300 + str(i % 7) for i in range(12)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = suffix.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == plain_removals(rows)
+
+
+def test_suffix_names(spark):
+    names, name = suffix._named(spark.createDataFrame([(1, 5, 1), (2, 5, 2), (3, 6, 1), (4, 6, 1)], "doc_id long, t1 long, t2 long"))
+    got = names.select("t1", "t2", "copies", name(names["t1"], names["t2"])).collect()
+    assert sorted(map(tuple, got)) == [(5, 1, 1, 1), (5, 2, 1, 2), (6, 1, 2, 6)]
 
 
 def test_warc(spark):
