@@ -67,20 +67,29 @@ reach(id, c) AS (SELECT id, id FROM nodes UNION SELECT b, c FROM reach JOIN both
 
 
 def _license_sql() -> str:
-    rows = ", ".join(f"('{label}', {tokens})" for label, tokens in licenses.template_tokens())
+    """Blocks as the operator defines them, by other means: sentence ends become blank lines, and both wholes and lines
+    of the blocks between blank lines are compared with every template."""
+    rows = ", ".join(f"('{label}', {k}, {tokens}, {licenses.needed(len(tokens))})" for k, (label, tokens) in enumerate(licenses.template_tokens()))
     places = " || ".join(f"[struct_pack(label := '{label}', at := i - 1) FOR i IN generate_series(1, len(w)) IF {' AND '.join(f"w[i + {k}] = '{p}'" for k, p in enumerate(phrase))}]" for label, phrase in licenses.PHRASES.items())
-    return f"""WITH t(label, tokens) AS (VALUES {rows}),
-d AS (SELECT doc_id, {LOWER} AS low, regexp_extract_all({LOWER}, '{licenses.WORD}') AS w FROM documents),
-h AS (SELECT doc_id, low, len(w) AS n_words, {places} AS hits FROM d),
-b AS (SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(low, '([.!?])[\\x20\\t\\r]+', '\\1\n', 'g'), '\\n+')) AS block FROM d),
-bw AS (SELECT doc_id, row_number() OVER () AS k, list_distinct(regexp_extract_all(block, '{licenses.WORD}')) AS words FROM b),
-m AS (SELECT doc_id, k, label, len(list_intersect(words, tokens)) / len(tokens) AS c, len(list_intersect(words, tokens)) >= ceil({licenses.THRESHOLD} * len(tokens) - 1e-9) AS ok FROM bw, t),
-f AS (SELECT doc_id, list(DISTINCT label) AS found, max(c) AS c, count(DISTINCT k) AS n_blocks FROM m WHERE ok GROUP BY 1)
+    return f"""WITH t(label, template, tokens, need) AS (VALUES {rows}),
+d AS (SELECT row_number() OVER () AS id, doc_id, {LOWER} AS low, regexp_extract_all({LOWER}, '{licenses.WORD}') AS w FROM documents),
+h AS (SELECT id, doc_id, len(w) AS n_words, {places} AS hits FROM d),
+s AS (SELECT id, regexp_split_to_array(regexp_replace(low, '([.!?])[\x20\t\r\n]+', '\1
+
+', 'g'), '\n[\x20\t\r\n]*\n') AS s FROM d),
+b AS (SELECT id, unnest(generate_series(1, len(s))) AS block, unnest(s) AS whole FROM s),
+l AS (SELECT id, block, whole, regexp_split_to_array(whole, '\n+') AS lines FROM b),
+p AS (SELECT id, block, -1 AS part, whole AS part_text FROM l WHERE len(lines) > 1 UNION ALL SELECT id, block, unnest(generate_series(1, len(lines))), unnest(lines) FROM l),
+w AS (SELECT id, block, part, list_distinct(regexp_extract_all(part_text, '{licenses.WORD}')) AS words FROM p),
+m AS (SELECT id, block, part, label, template, len(list_intersect(words, tokens)) / len(tokens) AS c FROM w, t WHERE len(words) >= need AND len(list_intersect(words, tokens)) >= need),
+g AS (SELECT id, block, template, count(*) FILTER (part >= 0) AS lines FROM m GROUP BY ALL),
+n AS (SELECT id, count(DISTINCT block) AS n FROM g WHERE lines = 0 GROUP BY 1),
+f AS (SELECT id, list(DISTINCT label) AS found, max(c) AS c, count(DISTINCT (block, part)) FILTER (part >= 0) AS n FROM m GROUP BY 1)
 SELECT h.doc_id, n_words, len(hits) AS n_base, list_min([x.at FOR x IN hits]) AS first_word, list_max([x.at FOR x IN hits]) AS last_word,
   array_to_string(list_sort(list_distinct([x.label FOR x IN hits])), ',') AS base_labels,
   array_to_string(list_sort(list_distinct([x.label FOR x IN hits] || coalesce(found, []))), ',') AS labels,
-  CASE WHEN len(hits) > 0 THEN 1.0::DOUBLE ELSE coalesce(f.c, 0)::DOUBLE END AS score, coalesce(n_blocks, 0) AS n_blocks
-FROM h LEFT JOIN f ON h.doc_id = f.doc_id"""
+  CASE WHEN len(hits) > 0 THEN 1.0::DOUBLE ELSE coalesce(f.c, 0)::DOUBLE END AS score, coalesce(f.n, 0) + coalesce(n.n, 0) AS n_blocks
+FROM h LEFT JOIN f ON h.id = f.id LEFT JOIN n ON h.id = n.id"""
 
 
 #: The rest has no SQL: code streams, trained models, byte pairs, linear programs and removed bytes are tested otherwise.

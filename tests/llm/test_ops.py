@@ -86,9 +86,12 @@ def test_licenses_wrapped(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction"
     bsd = " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions are met:\n *"
     isc = "Permission to use, copy, modify, and/or distribute this software for any\r\npurpose with or without fee is hereby granted, provided that"
-    texts = {1: f"One line.\n\n{mit}.\n\nThe end.", 2: bsd, 3: isc, 4: mit.replace("\n", "\n\n"), 5: f"{mit}\n\n{bsd}\n{bsd}", 6: "All rights reserved.\nall rights reserved\nof them all", 7: "all\nrights.\nreserved"}
+    by, nc = "Licensed under CC BY 4.0.", "Licensed under CC BY-NC 4.0."
+    gpl = "This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation"
+    more = {8: (by, ("cc-by", 1)), 9: (nc, ("cc-by,cc-by-nc", 1)), 10: (gpl, ("gpl", 1)), 11: ("MIT Li\u212aense \u0130 mit license", ("mit", 0))}
+    texts = {k: t for k, (t, _) in more.items()} | {1: f"One line.\n\n{mit}.\n\nThe end.", 2: bsd, 3: isc, 4: mit.replace("\n", "\n\n"), 5: f"{mit}\n\n{bsd}\n{bsd}", 6: "All rights reserved.\nall rights reserved\nof them all", 7: "all\nrights.\nreserved"}
     got = {r.doc_id: (r.labels, r.n_blocks) for r in licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
-    assert got == {1: ("mit", 1), 2: ("bsd", 1), 3: ("isc", 1), 4: ("", 0), 5: ("bsd,mit", 2), 6: ("proprietary", 2), 7: ("", 0)}
+    assert got == {1: ("mit", 1), 2: ("bsd", 1), 3: ("isc", 1), 4: ("", 0), 5: ("bsd,mit", 2), 6: ("proprietary", 2), 7: ("", 0)} | {k: v for k, (_, v) in more.items()}
 
 
 def test_pii_base():
