@@ -15,6 +15,7 @@ import functools
 import hashlib
 import heapq
 import json
+import re
 import sys
 import unicodedata
 
@@ -219,6 +220,7 @@ class Merges(dict):
         super().__init__()
         self.ranks, self.pairs, self.limit = ranks, pairs, limit
         self.tokens = {i: b for b, i in ranks.items()}
+        self.added: dict[str, bytes] = {}  # tokens that are found before anything else, with their ids' bytes
         if pairs is None:
             halves = ((t[:i], t[i:], r) for t, r in ranks.items() for i in range(1, len(t)))
             table = {(ranks[a], ranks[b]): (r, r) for a, b, r in halves if a in ranks and b in ranks}
@@ -326,7 +328,16 @@ class Merges(dict):
         return [x for x in parts if x is not None]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text."""
+        """Ids of each text. Added tokens, where the vocabulary has any, are found first, leftmost and longest, and what
+        is between them is encoded piece by piece, as a text of its own."""
+        if not self.added or not any(a in t for t in texts for a in self.added):
+            return self._encode_plain(texts)
+        split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+        bits = [split.split(t) for t in texts]
+        plain = iter(self._encode_plain([b for some in bits for b in some[::2]]))
+        return [b"".join(self.added[b] if k % 2 else next(plain) for k, b in enumerate(some)) for some in bits]
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
         raw, offsets, firsts = boundaries(texts)
         at = offsets.tolist()
         pieces = [raw[a:b] for a, b in zip(at, at[1:])]
@@ -359,12 +370,19 @@ def load(path: str) -> Merges:
     """Ranks of a ``.tiktoken`` file, or vocabulary and merges of a byte-level ``.json`` file. Once a worker."""
     if path.endswith(".json"):
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            whole = json.load(f)
+        model, added = whole["model"], whole.get("added_tokens") or []
+        if odd := [t["content"] for t in added if t.get("lstrip") or t.get("rstrip") or t.get("single_word")]:
+            raise ValueError(f"added tokens that take blanks or whole words are not known: {odd}")
         letters = byte_letters()
         to_bytes = lambda s: bytes(letters[c] for c in s)
         ranks = {to_bytes(k): v for k, v in model["vocab"].items() if all(c in letters for c in k)}
         merges = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        return Merges(ranks, {(to_bytes(a), to_bytes(b)): i for i, (a, b) in enumerate(merges)})
+        out = Merges(ranks, {(to_bytes(a), to_bytes(b)): i for i, (a, b) in enumerate(merges)})
+        for t in added:
+            out.added[t["content"]] = int(t["id"]).to_bytes(4, "little")
+            out.tokens[t["id"]] = t["content"].encode()
+        return out
     with open(path, "rb") as f:
         return Merges({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
 

@@ -20,6 +20,9 @@ from brindle.llm import bpe, common
 CAPACITY, BIN, END_ID = 2048, 8, 1
 #: Documents to a bucket, about; ranks are counted within buckets and offset by the buckets before.
 BUCKET = 50_000
+#: Buckets at most, so that what is summed over them in one place and broadcast has a bound; documents to a bucket are
+#: more beyond 200 million, and are sorted on disk where memory ends.
+MAX_BUCKETS = 4096
 
 
 def price(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -170,11 +173,13 @@ def packed(df: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Full pieces are sequences of their own; remainders share sequences by the plan. Sequence ids count from 0 without
-    gaps but for planned sequences that stay empty. Repeated rows, also of one id, are documents of their own.
+    gaps but for planned sequences that stay empty. Repeated rows, also of one id, are documents of their own. A null or
+    empty text has the end id alone, a null id stays null, extra columns are not read, an empty table gives no rows.
+    Ids are those of the library with ``add_special_tokens=False``: added tokens in a text have ids of their own.
     """
     docs = common.staged(tokenised(df, path, text_col, id_col, capacity), "pack-docs")
     total = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.floor(F.col("doc_tokens") / capacity)), F.lit(0)).cast("long").alias("full")).first()
-    buckets = max(8, -(-total["n"] // BUCKET))
+    buckets = min(MAX_BUCKETS, max(8, -(-total["n"] // BUCKET)))
     rest = F.col("doc_tokens") % capacity
     order = F.struct("doc_id", "doc_tokens", "crcs")
     docs = docs.withColumn("rest", rest).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "crcs"), F.lit(buckets)))

@@ -257,18 +257,20 @@ def test_cover_tree(spark):
     assert covertree.links(df.limit(0)).count() == 0
 
 
-def test_pack(docs, rows, empty):
+def test_pack(spark, docs, rows, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    want = Counter((i, len(t.encode(x or "", add_special_tokens=False).ids) + 1) for i, x, *_ in rows)
+    rows = rows + [(100 + k, x, None, None, None, "", "") for k, x in enumerate(["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftext|", " <|endoftext|>'s", "x <|endoftext|>\n" * 900])]
+    docs = docs.unionAll(spark.createDataFrame(rows[-5:], SCHEMA))
+    want = Counter()
+    for i, x, *_ in rows:
+        ids = np.array([*t.encode(x or "", add_special_tokens=False).ids, 1], "<u4")
+        for k in range(0, len(ids), 2048):
+            want[i, k, len(ids[k : k + 2048]), zlib.crc32(ids[k : k + 2048].tobytes()), len(ids)] += 1
     got = pack.packed(docs, path).collect()
-    total = Counter()
-    for r in got:
-        total[r.doc_id, r.doc_tokens] += r.length
-    assert total == Counter({k: k[1] * n for k, n in want.items()})
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got) == want
     sequences = {}
     for r in got:
         sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
