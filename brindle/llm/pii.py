@@ -9,6 +9,7 @@ the base kinds always stay.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from dataclasses import dataclass
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 from brindle.llm import common
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "secret", "ssn", "iban")
+KINDS = (*BASE_KINDS, "secret", "ssn", "iban", "account", "person", "address")
 #: Gazetteers and trigger words.
 TLDS = set("com org net edu gov mil int info biz io ai co uk de fr es it nl be ch at pl pt se no fi dk ie us ca au nz jp cn in br mx ru eu example test".split())
 CALLING = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "55", "61", "62", "64", "65", "81", "82", "86", "90", "91", "351", "352", "353", "358", "380", "420", "421")
@@ -34,7 +35,12 @@ TRIGGERS = {
     "secret": "key secret token access aws credential password".split(),
     "ssn": "ssn social security".split(),
     "iban": "iban account bank konto".split(),
+    "account": "card account number credit debit payment konto compte cuenta no nr".split(),
+    "person": "dear from to by name signed contact author patient client".split(),
+    "address": "at address live lives home office street visit mail".split(),
 }
+GIVEN = set("anna anne maria john mary james peter paul david michael thomas robert william sarah laura julia emma sophie marie jean pierre luc hans karl klaus uwe jose juan carlos luis ana carmen elena lucia marta".split())
+STREETS = "street|st|avenue|ave|road|rd|lane|ln|drive|dr|boulevard|blvd|court|square|way"
 AGAINST = set("version ver isbn doi v release section chapter build order serial".split())
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -46,10 +52,19 @@ _DIGIT = re.compile("[0-9]")
 _WIDE = {
     "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,63}){1,4}", re.I),
     "phone": re.compile(r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9])"),
-    "secret": re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
+    "secret": re.compile(
+        r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,200}|sk-[A-Za-z0-9_-]{20,200})(?![A-Za-z0-9])"
+        r"|(?<![A-Za-z0-9])(?i:token|secret|passw(?:or)?d|pwd|[a-z0-9_-]{0,20}key|credential|authorization)[\x22']?[\x20\t]{0,3}[:=][\x20\t]{0,3}[\x22']?(?P<value>(?=[A-Za-z_./+-]{0,200}[0-9])[A-Za-z0-9_./+=-]{8,512})"
+        r"|(?<![A-Za-z0-9])[0-9a-fA-F]{32,128}(?![A-Za-z0-9])"
+    ),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+    "account": re.compile(r"(?<![A-Za-z0-9.])[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}(?![A-Za-z0-9]|\.[0-9])"),
+    "person": re.compile(r"(?<!\w)(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señora?)\.? [^\W\d_a-zß-ÿ][^\W\d_]{1,30}(?: [^\W\d_a-zß-ÿ][^\W\d_]{1,30})?"),
+    "address": re.compile(rf"(?<![\w.,-])[0-9]{{1,5}} (?:[A-Z][A-Za-z]{{1,30}} ){{1,3}}(?i:{STREETS})(?![A-Za-z])"),
 }
+#: What a text must hold, in lower case, for the wide patterns to be tried.
+_SIGNS = {"email": ("at)", "at]"), "person": ("mr", "ms", "dr", "prof", "herr", "frau", "monsieur", "madame", "señor")}
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -98,23 +113,23 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str) -> list[dict]:
-    """Base spans, and what the wide patterns find beside them, each with votes (-1, 0, 1) and a shape."""
+    """Base spans, and what the wide patterns find beside them, each with votes (-1, 0, 1) and a shape. Of spans that
+    overlap the first found stays: base spans, then kinds in order."""
     base = base_spans(text)
     found = [(k, a, b, True) for k, a, b in base]
     has_digit = bool(_DIGIT.search(text))
+    low = text.lower()
     taken = sorted((a, b) for _, a, b in base)
     for kind, pattern in _WIDE.items():
-        if kind == "email":
-            if "at)" not in text and "at]" not in text and "AT)" not in text and "AT]" not in text:
-                continue
-        elif not has_digit and kind != "secret":
-            continue
-        elif kind == "secret" and "AKIA" not in text and "ASIA" not in text:
+        signs = _SIGNS.get(kind)
+        if not (has_digit if signs is None else any(x in low for x in signs)):
             continue
         for m in pattern.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, b in taken):
-                found.append((kind, m.start(), m.end(), False))
-                taken.append((m.start(), m.end()))
+            a, b = m.span("value") if kind == "secret" and m["value"] else m.span()
+            at = bisect.bisect_left(taken, (a, a))
+            if not (at and taken[at - 1][1] > a or at < len(taken) and taken[at][0] < b):
+                found.append((kind, a, b, False))
+                taken.insert(at, (a, b))
     kinds = {k for k, *_ in found}
     return [{"kind": k, "start": a, "end": b, "base": strict, "votes": votes(text, k, a, b, strict, len(kinds)), "shape": min(7, (b - a) // 5)} for k, a, b, strict in found]
 
@@ -136,12 +151,20 @@ def votes(text: str, kind: str, start: int, end: int, strict: bool, kinds: int)
     elif kind == "iban":
         plain = re.sub(" ", "", span)
         known = int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
-    else:
-        known = True
+    elif kind == "account":
+        known = len(digits) in (14, 15, 16) or digits.startswith(ISSUERS)
+    elif kind == "person":
+        known = bool(GIVEN & set(span.lower().split()))
+    elif kind == "address":
+        known = span[0] != "0"
+    else:  # not a word or a number alone
+        known = len(set(span)) > 5 and not span.isalpha() and (len(span) >= 16 or not span.isdigit())
     words = re.findall(r"[^\W\d_]+(?:-[^\W\d_]+)*", text[max(0, start - 40) : start].lower())[-5:]
+    if kind == "secret":
+        words += [w for x in words for w in re.split("[_-]", x)]
     context = "+" if set(words) & set(TRIGGERS[kind]) else "-" if set(words) & AGAINST else "0"
     inside = (start and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum())
-    return ("+" if strict or kind in ("secret", "ssn") else "0") + ("+" if known else "-") + context + ("+" if kinds > 1 else "0") + ("-" if inside else "+")
+    return ("+" if strict or kind in ("secret", "ssn") or kind == "account" and len(digits) == 16 else "0") + ("+" if known else "-") + context + ("+" if kinds > 1 else "0") + ("-" if inside else "+")
 
 
 ROW = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("base", T.BooleanType()), T.StructField("votes", T.StringType()), T.StructField("shape", T.LongType())])
@@ -237,22 +260,26 @@ def _joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 def report(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Rows (doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans), one for each row, repeated rows included.
+    """Rows (doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans, n_added), one for each row, repeated
+    rows included.
 
-    Offsets are code points. A null or empty text has no spans. Null ids stay null.
+    Offsets are code points. n_spans counts all spans, n_added those that the method adds to the base ones: obfuscated
+    e-mail, phone numbers without +, keys and tokens, social security numbers, IBANs, long numbers that fail the check
+    digit, persons and addresses, where the classifier accepts them. A null or empty text has no spans. Null ids stay
+    null; extra columns are not read; an empty table gives no rows.
     """
     rows = common.staged(labelled(df, text_col, id_col), "pii-labelled")
     model = train(rows)
     long, string = T.LongType(), T.StringType()
-    schema = T.StructType([rows.schema["doc_id"], *(T.StructField(f"n_{k}", long) for k in BASE_KINDS), T.StructField("base_sha256", string), T.StructField("spans", string)])
+    schema = T.StructType([rows.schema["doc_id"], *(T.StructField(f"n_{k}", long) for k in BASE_KINDS), T.StructField("base_sha256", string), T.StructField("spans", string), T.StructField("n_spans", long), T.StructField("n_added", long)])
 
     def run(batch):
-        out: list[list] = [[] for _ in range(6)]
+        out: list[list] = [[] for _ in range(8)]
         for found in batch.column(1).to_pylist():
             base = [(s["kind"], s["start"], s["end"]) for s in found if s["base"]]
             spans = [(s["kind"], s["start"], s["end"]) for s in found if model.accepts(s["kind"], s["votes"], s["shape"], s["base"])]
             kinds = [k for k, *_ in base]
-            for c, v in zip(out, (*(kinds.count(k) for k in BASE_KINDS), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(spans))):
+            for c, v in zip(out, (*(kinds.count(k) for k in BASE_KINDS), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(spans), len(spans), len(spans) - len(base))):
                 c.append(v)
         return common.batch(schema, [batch.column(0), *out])
 

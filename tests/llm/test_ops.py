@@ -104,6 +104,52 @@ def test_pii_base():
     assert pii.base_spans("9" * 200_000 + "a" * 200_000 + "@") == []  # long runs are read once
 
 
+def plain_base(text):
+    """The four base kinds by their patterns, left to right, and checks written out."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append(("email", *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if max(map(int, m[0].split("."))) <= 255:
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in m[0] if c not in " -"]
+        if 13 <= len(d) <= 19 and sum(sum(divmod(2 * x, 10)) if k % 2 else x for k, x in enumerate(d[::-1])) % 10 == 0:
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+def test_pii_brute_force(spark):
+    rng = random.Random(12)
+    bits = ["a.b@c.de", "@", "x@y", "10.0.0.1", "1.2.3.4.5", "999.1.1.1", "0010.2.3.4", "4111111111111111", "4111 1111-1111 1111", "1234567890123", "+1 (269) 555-3296", "+49.30.123456", "+1", " ", " ", ".", "-", "é", "word", "7", "😀", "٣", "+12345678901234567890"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(1500)]
+    assert [pii.base_spans(t) for t in texts] == [plain_base(t) for t in texts]
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], "doc_id long, text string, spans string, found string")
+    for r in pii.report(df).collect():
+        base = plain_base(texts[r.doc_id])
+        kinds = Counter(k for k, *_ in base)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(kinds[k] for k in pii.BASE_KINDS)
+        said = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest()
+        assert set(said.split(",")) - {""} <= set(r.spans.split(",")) and r.n_spans - r.n_added == len(base)
+
+
+def test_pii_adds(spark):
+    rng = random.Random(3)
+    hexes = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    rows = [(i, f"{words(rng, 30)} token = \"{hexes()}\" {words(rng, 5)}") for i in range(40)]
+    rows += [(100 + i, f"{words(rng, 20)} {rng.randint(10**15, 10**16 - 1)} {words(rng, 5)}") for i in range(40)]
+    rows += [(200 + i, words(rng, 60)) for i in range(40)] + [(300, "chapter 12, version 3.1, in 2024 and 1999; key = value; token: none"), (301, "x@ y (at) z")]
+    rows += [(400, "api_key: 'sk-abcDEF0123456789abcDEF01'"), (401, "call +1 (826) 555-4081 190.137.223.20 now")]
+    got = {r.doc_id: r for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].spans.startswith("secret:") for i in range(40)) and all(got[100 + i].n_spans == 1 for i in range(40))
+    assert all(got[i].n_spans == 0 for i in [*range(200, 240), 300])
+    assert got[400].spans.startswith("secret:10:") and got[401].n_added >= 1
+
+
 def test_pii(docs, rows, empty):
     got = pii.report(docs).collect()
     assert len(got) == len(rows) and pii.report(empty).count() == 0
