@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import struct
 import zlib
 
@@ -237,17 +238,16 @@ FRAME_SCHEMA = T.ArrayType(
 
 def media_frames(df: DataFrame, media_col: str = "media", id_col: str = "doc_id") -> DataFrame:
     """Rows (doc_id, error, frame, start_cs, delay_cs, left, top, width, height, disposal, histogram), a row for each
-    timed frame, in order. A null or broken file gives one row with an error and null frame columns."""
+    timed frame, in order. A null or broken file gives one row with an error and null frame columns. Repeated rows and
+    equal files have rows of their own; a null id stays null, extra columns are not read, an empty table gives no rows."""
     schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType), T.StructField("error", T.StringType()), T.StructField("frames", FRAME_SCHEMA)])
 
     def run(batch):
         errors, found = [], []
         for media in batch.column(1):
-            rows, start, error = [], 0, None
+            rows, error = [], None
             try:
-                for i, f in enumerate(frames(media.as_py() or b"")["frames"]):
-                    rows.append({"frame": i, "start_cs": start, "histogram": histogram(f["canvas"]).tolist()} | {k: f[k] for k in ("delay_cs", "left", "top", "width", "height", "disposal")})
-                    start += f["delay_cs"]
+                rows, _ = timed(media.as_py() or b"")
             except ValueError as e:
                 error = str(e)
             errors.append(error)
@@ -258,28 +258,41 @@ def media_frames(df: DataFrame, media_col: str = "media", id_col: str = "doc_id"
     return rows.select("doc_id", "error", F.explode_outer("frames").alias("f")).select("doc_id", "error", "f.*")
 
 
-def store_texts(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def timed(media: bytes) -> tuple[list[dict], list[np.ndarray]]:
+    """The timed frames of a GIF, as rows of ``FRAME_SCHEMA``, and their canvases."""
+    rows, canvases, start = [], [], 0
+    for i, f in enumerate(frames(media)["frames"]):
+        rows.append({"frame": i, "start_cs": start, "histogram": histogram(f["canvas"]).tolist()} | {k: f[k] for k in ("delay_cs", "left", "top", "width", "height", "disposal")})
+        canvases.append(f["canvas"])
+        start += f["delay_cs"]
+    return rows, canvases
+
+
+def store_texts(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", rows: int = ROWS) -> DataFrame:
     """Store each text as a GIF, read it back, and describe it: doc_id, n_bytes, payload_bytes, payload_sha256,
-    tail_crc32, media_bytes, media_sha256, feature, n_frames, duration_cs.
+    tail_crc32, media_bytes, media_sha256, feature, n_frames, duration_cs, frames.
 
     The payload is the text's UTF-8 (a null text is empty) with zero bytes up to a positive multiple of 64; pixels
-    are its bytes, in rows of 64. All digests of the payload are of what the decoder gives back. The feature is the
-    frames' summed colour histogram over grey levels in 16 cells. A row for each row, repeated rows included.
+    are its bytes, in rows of 64, ``rows`` of them a frame. The file is decoded and every frame is rendered; all digests of the payload are of
+    the rendered pixels. frames holds the timed frames with their colour histograms as JSON, in the fields of
+    ``media_frames``; the feature is the sum of the histograms, as cell=count of the cells that are not empty. A row for
+    each row, repeated rows included; a null id stays null, extra columns are not read, an empty table gives no rows.
     """
     long, string = T.LongType(), T.StringType()
-    schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType), T.StructField("n_bytes", long), T.StructField("payload_bytes", long), T.StructField("payload_sha256", string), T.StructField("tail_crc32", long), T.StructField("media_bytes", long), T.StructField("media_sha256", string), T.StructField("feature", string), T.StructField("n_frames", long), T.StructField("duration_cs", long)])
+    schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType), *(T.StructField(n, k) for n, k in (("n_bytes", long), ("payload_bytes", long), ("payload_sha256", string), ("tail_crc32", long), ("media_bytes", long), ("media_sha256", string), ("feature", string), ("n_frames", long), ("duration_cs", long), ("frames", string)))])
 
     def run(batch):
-        cols: list[list] = [[] for _ in range(9)]
+        cols: list[list] = [[] for _ in range(10)]
         for text in batch.column(1):
             raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
             payload = raw + b"\0" * (-len(raw) % WIDTH or (0 if raw else WIDTH))
-            media = encode_samples(payload)
-            parsed = frames(media, compose=False)["frames"]
-            # grey palette and frames that fill the canvas from the top: a frame's pixels are its colours
-            back = b"".join(f["palette"][f["indices"].ravel(), 0].tobytes() for f in parsed)
-            levels = np.bincount(np.frombuffer(back, np.uint8) >> 4, minlength=16)
-            for c, v in zip(cols, (len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), f"grey16:{','.join(map(str, levels.tolist()))}", len(parsed), sum(f["delay_cs"] for f in parsed))):
+            media = encode_samples(payload, rows=rows)
+            found, canvases = timed(media)
+            # a grey palette: a pixel's red is its byte; a frame shows what it has drawn at its place
+            back = b"".join(c[f["top"] : f["top"] + f["height"], f["left"] : f["left"] + f["width"], 0].tobytes() for f, c in zip(found, canvases))
+            total = np.sum([f["histogram"] for f in found], axis=0)
+            feature = "rgb64:" + ",".join(f"{k}={total[k]}" for k in np.flatnonzero(total))
+            for c, v in zip(cols, (len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature, len(found), sum(f["delay_cs"] for f in found), json.dumps(found, separators=(",", ":")))):
                 c.append(v)
         return common.batch(schema, [batch.column(0), *cols])
 

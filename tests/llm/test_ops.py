@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import json
 import random
 import re
 import zlib
@@ -61,15 +62,60 @@ def test_gif_compose():
     assert found[3]["canvas"][0, :, 3].tolist() == [0, 0] and found[3]["canvas"][1, 0, 1] == 255  # cleared, then drawn
 
 
+def plain_gif(media):
+    """An independent reader, a bit at a time, for files with one palette: (delay, top, rows of pixels' colours)."""
+    at = 13 + 3 * 2 ** ((media[10] & 7) + 1)
+    palette = [tuple(media[13 + 3 * i : 16 + 3 * i]) for i in range((at - 13) // 3)]
+    delay, out = 0, []
+    while media[at] != 0x3B:
+        if media[at] == 0x21:
+            delay, at = int.from_bytes(media[at + 4 : at + 6], "little"), at + 8
+            continue
+        left, top, w, h = (int.from_bytes(media[at + k : at + k + 2], "little") for k in (1, 3, 5, 7))
+        size, at, data = media[at + 10], at + 11, b""
+        while media[at]:
+            data, at = data + media[at + 1 : at + 1 + media[at]], at + 1 + media[at]
+        at += 1
+        bits, pos = int.from_bytes(data, "little"), 0
+        table, width, old, pixels = {}, size + 1, None, []
+        while True:
+            code, bits, pos = bits & (1 << width) - 1, bits >> width, pos + width
+            if code == 1 << size:
+                table, width, old = {i: [i] for i in range(1 << size)}, size + 1, None
+                continue
+            if code == (1 << size) + 1:
+                break
+            new = table[code] if code in table else old + old[:1]
+            pixels += new
+            if old is not None and len(table) + 2 < 4096:
+                table[len(table) + 2] = old + new[:1]
+                if len(table) + 2 == 1 << width and width < 12:
+                    width += 1
+            old = new
+        assert len(pixels) == w * h and left == 0
+        out.append((delay, top, [palette[p] for p in pixels]))
+    return out
+
+
 def test_gif_store(docs, rows, empty):
-    got = gif.store_texts(docs).collect()
+    got = gif.store_texts(docs, rows=40).collect()  # several frames
     assert len(got) == len(rows) and gif.store_texts(empty).count() == 0
     want = Counter()
     for i, t, *_ in rows:
         raw = (t or "").encode()
         payload = raw.ljust(max(64, -(-len(raw) // 64) * 64), b"\0")
-        want[i, len(raw), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:])] += 1
-    assert Counter((r.doc_id, r.n_bytes, r.payload_sha256, r.tail_crc32) for r in got) == want
+        media = gif.encode_samples(payload, rows=40)
+        read = plain_gif(media)
+        assert bytes(p[0] for _, _, pixels in read for p in pixels) == payload
+        # what a frame shows: its rows, and below them those of the frame before
+        shown, total = [], Counter()
+        for _, _, pixels in read:
+            shown = pixels + shown[len(pixels) :]
+            total.update(16 * (r // 64) + 4 * (g // 64) + b // 64 for r, g, b in shown)
+        feature = "rgb64:" + ",".join(f"{k}={n}" for k, n in sorted(total.items()))
+        want[i, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature, len(read), sum(d for d, *_ in read)] += 1
+    assert Counter(tuple(r)[:10] for r in got) == want
+    assert all([f["start_cs"] for f in json.loads(r.frames)] == [4 * k for k in range(r.n_frames)] for r in got)
     broken = docs.sparkSession.createDataFrame([(1, b"no gif"), (2, None), (3, gif.encode_samples(b"ab" * 32))], "doc_id long, media binary")
     assert {(r.doc_id, r.error is None, r.frame) for r in gif.media_frames(broken).collect()} == {(1, False, None), (2, False, None), (3, True, 0)}
 
