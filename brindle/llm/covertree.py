@@ -75,18 +75,44 @@ def cosines(raw: np.ndarray, norms: np.ndarray, a: np.ndarray, b: np.ndarray) ->
     return (raw[a] @ raw[b].T) / (norms[a][:, None] * norms[b][None, :])
 
 
-def dual_join(raw: np.ndarray, own: np.ndarray, weight: np.ndarray, cosine: float = COSINE) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """For rows of which ``own`` are the cell's: the weights of partners of each own row, itself left out, and links
-    (own row, row) enough to connect all that are linked."""
+class Forest:
+    """Classes of linked rows, joined by arrays of links; of the links only a spanning forest is kept."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+
+    def roots(self, rows: np.ndarray) -> np.ndarray:
+        found = self.parent[rows]
+        while len(moved := np.flatnonzero((up := self.parent[found]) != found)):
+            found[moved] = up[moved]
+        self.parent[rows] = found
+        return found
+
+    def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        while len(a):
+            x, y = self.roots(a), self.roots(b)
+            apart = x != y
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            # of several links of one root the last counts in this round; the others come again
+            self.parent[np.maximum(x, y)] = np.minimum(x, y)
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.flatnonzero(self.parent != np.arange(len(self.parent)))
+        return rows, self.roots(rows)
+
+
+def dual_join(raw: np.ndarray, own: np.ndarray, weight: np.ndarray, cosine: float = COSINE) -> tuple[np.ndarray, Forest]:
+    """For rows of which ``own`` are the cell's: the weights of partners of each own row, itself left out, and the
+    classes of rows that own rows link. Memory follows the rows and not the pairs."""
     n = len(raw)
     norms = np.sqrt((raw * raw).sum(1))
     x = raw / norms[:, None]
     limit = np.sqrt(2 - 2 * cosine)
     mine = np.flatnonzero(own)
     total = np.zeros(n, np.int64)
-    links: list[tuple[int, int]] = []
+    forest = Forest(n)
     if not len(mine):
-        return total, links
+        return total, forest
     everyone = np.arange(n)
     top = int(np.ceil(np.log2(2.0))) + 1
     left, right = Node(x, int(mine[0]), mine, top), Node(x, 0, everyone, top)
@@ -98,7 +124,8 @@ def dual_join(raw: np.ndarray, own: np.ndarray, weight: np.ndarray, cosine: floa
             continue
         if d + p.radius + q.radius < limit - SLACK:  # all pairs: a star joins them
             total[p.members] += int(weight[q.members].sum())
-            links += [(int(p.centre), int(j)) for j in q.members.tolist()] + [(int(i), int(q.centre)) for i in p.members.tolist()]
+            forest.link(q.members, np.full(len(q.members), p.centre))
+            forest.link(p.members, np.full(len(p.members), q.centre))
             continue
         if p.children and (p.radius >= q.radius or not q.children):
             todo += [(c, q) for c in p.children]
@@ -107,11 +134,12 @@ def dual_join(raw: np.ndarray, own: np.ndarray, weight: np.ndarray, cosine: floa
         else:
             near = cosines(raw, norms, p.members, q.members) >= cosine
             total[p.members] += near @ weight[q.members]
+            near &= forest.roots(p.members)[:, None] != forest.roots(q.members)[None, :]
             i, j = np.nonzero(near)
-            links += list(zip(p.members[i].tolist(), q.members[j].tolist()))
+            forest.link(p.members[i], q.members[j])
     # every own row has met itself, once: its cosine is 1, or so near that it is taken as linked
     total[mine] -= weight[mine]
-    return total, [(a, b) for a, b in links if a != b]
+    return total, forest
 
 
 def points(df: DataFrame, vector_col: str, id_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
@@ -167,9 +195,11 @@ def links(df: DataFrame, vector_col: str = "embedding", id_col: str = "vec_id",
             if pivot is None:
                 cells, home = [0], 0
             else:
-                d = np.sqrt(np.maximum(0, 2 - 2 * (pivot * (v / np.sqrt((v * v).sum()))).sum(1)))
-                home = int(d.argmin())
-                cells = np.flatnonzero(d <= d[home] + 2 * reach + SLACK).tolist()
+                squares = np.maximum(0, 2 - 2 * (pivot @ (v / np.sqrt((v * v).sum()))))
+                home = int(squares.argmin())
+                # a partner whose home is c lies beyond the plane halfway between the pivots: how far is it to there?
+                apart = np.sqrt(np.maximum(0, 2 - 2 * (pivot @ pivot[home])))
+                cells = np.flatnonzero(squares - squares[home] <= 2 * apart * (reach + SLACK) + SLACK).tolist()
             for c in cells:
                 for column, value in zip(out, (label, len(v) * 1_000_000 + c, c == home, batch.column(0)[i].as_py(), vectors[i].as_py(), batch.column(3)[i].as_py())):
                     column.append(value)
@@ -203,26 +233,12 @@ def links(df: DataFrame, vector_col: str = "embedding", id_col: str = "vec_id",
         present = np.zeros(len(unique), bool)
         present[place[give]] = True
         weight = np.where(present, copies[at], 0)
-        total, pairs = dual_join(raw[at], own_, weight, cosine)
+        total, forest = dual_join(raw[at], own_, weight, cosine)
         some = np.flatnonzero(own_)
         total = total[some] + np.where(present[some], 0, weight[some])
-        # links only to points of this unit; a spanning forest is enough
-        parent = list(range(len(unique)))
-
-        def find(k: int) -> int:
-            while parent[k] != k:
-                parent[k] = parent[parent[k]]
-                k = parent[k]
-            return k
-
-        a, b = [], []
-        for p, q in pairs:
-            x, y = find(p), find(q)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-                a.append(int(unique[p]))
-                b.append(int(unique[q]))
-        return pa.table([pa.array([*unique[some].tolist(), *a], pa.int64()), pa.array([*[None] * len(some), *b], pa.int64()), pa.array([*total.tolist(), *[0] * len(a)], pa.int64())], names=["a", "b", "n"])
+        a, b = forest.edges()
+        asked, linked = unique[some], unique[a]
+        return pa.table([pa.array(np.concatenate([asked, linked])), pa.concat_arrays([pa.nulls(len(asked), pa.int64()), pa.array(unique[b])]), pa.array(np.concatenate([total, np.zeros(len(a), np.int64)]))], names=["a", "b", "n"])
 
     found = common.staged(units.groupBy("label", "cell", "i", "j").applyInArrow(join, found_schema), "cover-found")
     partners = found.where("b is null").groupBy(F.col("a").alias("point")).agg(F.sum("n").alias("partners"))
