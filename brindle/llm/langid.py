@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,8 @@ FAMILIES = {
     "celtic": "br cy ga gd".split(),
 }
 BUCKETS = 1 << 12
+#: Hash values of letter triples that a model remembers as seen, a bit each.
+SEEN = 1 << 18
 UND = "und"
 
 
@@ -31,8 +34,8 @@ def family(lang: str) -> str:
     return next((k for k, v in FAMILIES.items() if code in v), f"lang:{code}")
 
 
-def features(text: str) -> np.ndarray | None:
-    """Unit vector of square roots of counts of hashed letter pairs and triples of the whole text, None without a letter.
+def _grams(text: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """Hashes of the whole text's letter pairs and of its triples around a letter, None without a letter.
 
     Letters are lower-cased; anything else is one blank, so that signs and digits do not count.
     """
@@ -42,13 +45,22 @@ def features(text: str) -> np.ndarray | None:
         return None
     pair = c[:-1] * np.uint32(2654435761) ^ c[1:] * np.uint32(2246822519)
     triple = pair[:-1] * np.uint32(3266489917) ^ c[2:] * np.uint32(668265263)
-    shift = np.uint32(32 - 12)
     pair, triple = pair[(c[:-1] != 32) | (c[1:] != 32)], triple[c[1:-1] != 32]
-    counts = np.bincount((pair * np.uint32(374761393)) >> shift, minlength=BUCKETS) + np.bincount((triple * np.uint32(374761393)) >> shift, minlength=BUCKETS)
-    x = np.sqrt(counts, dtype=np.float32)
+    return pair * np.uint32(374761393), triple * np.uint32(374761393)
+
+
+def _vector(pair: np.ndarray, triple: np.ndarray) -> np.ndarray:
+    shift = np.uint32(32 - 12)
+    x = np.sqrt(np.bincount(pair >> shift, minlength=BUCKETS) + np.bincount(triple >> shift, minlength=BUCKETS), dtype=np.float32)
     return x / np.linalg.norm(x)
 
 
+def features(text: str) -> np.ndarray | None:
+    """Unit vector of square roots of counts of hashed letter pairs and triples of the whole text, None without a letter."""
+    found = _grams(text)
+    return None if found is None else _vector(*found)
+
+
 _LETTERS: list[np.ndarray] = []
 
 
@@ -67,9 +79,12 @@ def linear_svm(x: np.ndarray, sign: np.ndarray, c: float = 10.0, rounds: int = 2
     weight = np.where(sign > 0, 0.5 / max(1, (sign > 0).sum()), 0.5 / max(1, (sign < 0).sum())) * c
     w = np.zeros(d + 1)
     y, t = w.copy(), 1.0
+    sign = sign.astype(x.dtype)
+    weight = weight.astype(x.dtype)  # one type, so that no round copies x
     step = 1 / (1 + 4 * c)  # rows and bias have unit norm
     for _ in range(rounds):
-        slack = np.maximum(0, 1 - sign * (x @ y[:d] + y[d]))
+        z = y.astype(x.dtype)
+        slack = np.maximum(0, 1 - sign * (x @ z[:d] + z[d]))
         g = -2 * weight * slack * sign
         grad = np.append(g @ x, g.sum()) + np.append(y[:d], 0)
         new = y - step * grad
@@ -86,11 +101,23 @@ class Model:
     families: dict[str, list[str]]
     top: np.ndarray  # a row a family, in the order of ``families``
     pairs: dict[tuple[str, str], np.ndarray]
+    seen: np.ndarray  # whether a triple was there in training, by hash
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        x = features(text) if text else None
-        if x is None or not self.families:
-            return UND, 0.0
+        found = _grams(text) if text else None
+        return (UND, 0.0) if found is None or not self.families else self._decide(_vector(*found))
+
+    def known(self, text: str | None, share: float) -> bool:
+        """Whether the text is in a language like those of the training: at most ``share`` of its letter triples were
+        not there, with an allowance for short texts of the square root of their number."""
+        found = _grams(text) if text else None
+        if found is None or not self.families:
+            return False
+        triple = found[1]
+        new = len(triple) - int(np.count_nonzero(self.seen[triple >> np.uint32(32 - 18)]))
+        return new <= share * len(triple) + np.sqrt(len(triple))
+
+    def _decide(self, x: np.ndarray) -> tuple[str, float]:
         names = list(self.families)
         margins = self.top[:, :-1] @ x + self.top[:, -1]
         best = int(np.argmax(margins))
@@ -113,25 +140,40 @@ def _softmax(margins: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
-def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = 1200, max_langs: int = 200) -> Model:
-    """Fit on a bounded sample of labelled rows: about ``per_lang`` rows (in expectation; all, where there are fewer)
-    of each of the ``max_langs`` most frequent languages, picked by a hash of the text, so the same rows each time.
+def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = 1200, max_langs: int = 200, max_rows: int = 16_000) -> Model:
+    """Fit on a bounded sample of labelled texts: of each of the ``max_langs`` most frequent languages about ``per_lang``
+    distinct texts (all, where there are fewer; fewer where the languages are many), picked by a hash of the text, so
+    the same each time, and no more than twice ``max_rows`` in all reach the driver.
 
-    Rows with a null language or a text without letters are left out. An empty table gives a model that predicts und.
+    Rows with a null language or a text without letters are left out, and copies of a text count once. An empty table
+    gives a model that predicts und.
     """
     rows = df.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
     if not counts:
-        return Model({}, np.zeros((0, BUCKETS + 1), np.float32), {})
-    threshold = F.coalesce(*(F.when(F.col("lang") == k, F.lit(int(min(1.0, per_lang / n) * 2**31))) for k, n in counts.items()), F.lit(0))
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(2**31)) < threshold)
+        return Model({}, np.zeros((0, BUCKETS + 1), np.float32), {}, np.zeros(SEEN, bool))
+    each = min(per_lang, max_rows // len(counts))
+    threshold = F.coalesce(*(F.when(F.col("lang") == k, F.lit(int(min(1.0, each / max(n, 1)) * 2**31))) for k, n in counts.items()), F.lit(0))
+    sample = rows.withColumn("name", F.xxhash64("text")).where(F.pmod("name", F.lit(2**31)) < threshold)
+    sample = sample.groupBy("lang", "name").agg(F.first("text").alias("text")).select("text", "lang")  # copies count once
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("x", T.BinaryType())])
 
     def run(batch):
-        found = [(lang, x) for lang, text in zip(batch.column(1).to_pylist(), batch.column(0)) if (x := features(text.as_py())) is not None]
-        return common.batch(schema, [[lang for lang, _ in found], [x.astype(np.float16).tobytes() for _, x in found]])
-
-    data = common.map_batches(sample, run, schema).collect()
+        """A vector a text, and the triples that the batch has, without a language."""
+        langs, vectors, seen = [], [], np.zeros(SEEN, bool)
+        for lang, text in zip(batch.column(1).to_pylist(), batch.column(0)):
+            if (found := _grams(text.as_py())) is not None:
+                langs.append(lang)
+                vectors.append(_vector(*found).astype(np.float16).tobytes())
+                seen[found[1] >> np.uint32(32 - 18)] = True
+        return common.batch(schema, [[*langs, None], [*vectors, np.packbits(seen).tobytes()]])
+
+    data = common.map_batches(sample, run, schema).limit(2 * max_rows).collect()
+    seen = np.zeros(SEEN, bool)
+    for r in data:
+        if r["lang"] is None:
+            seen |= np.unpackbits(np.frombuffer(r["x"], np.uint8)).astype(bool)
+    data = sorted((r for r in data if r["lang"] is not None), key=lambda r: (r["lang"], bytes(r["x"])))
     langs = sorted({r["lang"] for r in data})
     y = np.array([r["lang"] for r in data])
     x = np.frombuffer(b"".join(r["x"] for r in data), np.float16).reshape(-1, BUCKETS).astype(np.float32)
@@ -146,7 +188,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lan
         for a, b in ((a, b) for i, a in enumerate(some) for b in some[i + 1 :]):
             m = (y == a) | (y == b)
             pairs[a, b] = linear_svm(x[m], np.where(y[m] == a, 1.0, -1.0)).astype(np.float32)
-    return Model(groups, top, pairs)
+    return Model(groups, top, pairs, seen)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -165,17 +207,18 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", id_col: str =
     return common.map_batches(common.ids_and_texts(df, id_col, text_col), run, schema)
 
 
-def keep_identified(df: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.2) -> DataFrame:
-    """The rows whose text has a language: not und, and scored at least ``min_score``. All columns stay as they are."""
-    schema = df.schema
+def keep_identified(df: DataFrame, model: Model, text_col: str = "text", max_new: float = 0.4) -> DataFrame:
+    """The rows whose text has a language, all columns as they are: it has a letter, and no more than ``max_new`` of its
+    letter triples (and an allowance for short texts) were absent from the training texts of all languages. So a text in
+    a language that was not learned, or letters without sense, goes however many languages there are.
 
-    def run(batches):
-        import pyarrow as pa
+    Null texts and texts without a letter go; repeated rows stay or go alike; ids are not read. An empty table, and any
+    table with a model of no language, gives no rows. Only texts travel to Python, and a flag back.
+    """
+    common.bound_batches(df.sparkSession)
 
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col))
-            keep = [(p := model.predict(t.as_py()))[0] != UND and p[1] >= min_score for t in texts]
-            if any(keep):
-                yield batch.filter(pa.array(keep))
+    @F.arrow_udf(T.BooleanType())
+    def known(texts: pa.Array) -> pa.Array:
+        return pa.array([model.known(t.as_py(), max_new) for t in texts], pa.bool_())
 
-    return df.mapInArrow(run, schema)
+    return df.where(known(F.col(f"`{text_col}`").cast("string")))

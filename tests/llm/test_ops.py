@@ -291,6 +291,26 @@ def test_language(spark, docs, rows, empty):
     assert langid.identify(docs, langid.train(empty)).where("lang_pred = 'und'").count() == len(rows)
 
 
+def test_language_kept(spark):
+    rng = random.Random(1)
+    syllables = {"en": ["th", "ing", "er", "wh"], "de": ["sch", "ung", "ü", "ei"], "es": ["ción", "ñ", "os", "ll"], "fr": ["eau", "é", "oi", "ç"]}
+    text = lambda k, n: " ".join("".join(rng.choice(syllables[k]) for _ in range(3)) for _ in range(n))
+    rows = [(i, text(k, 40), k, "x") for i, k in enumerate(sorted(syllables) * 40)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string, known string"))
+    new = [(1, text("en", 30), "kept"), (2, text("fr", 1), "kept"), (3, text("de", 3).upper(), "kept"), (3, text("es", 300), "kept"), (4, "to jest zdanie w języku polskim, którego model nie zna wcale", "gone"), (5, "это предложение", "gone"), (6, "xq zkj vbw qqx jjk zxv kqp wvx", "gone"), (7, None, "gone"), (8, "12 !", "gone"), (9, "", "gone"), (None, text("en", 5), "kept"), (None, text("en", 5), "kept")]
+    df = spark.createDataFrame(new, "doc_id long, text string, known string")
+    kept = langid.keep_identified(df, model)
+    assert kept.columns == df.columns and Counter(map(tuple, kept.collect())) == Counter(r for r in new if r[2] == "kept")
+    assert langid.keep_identified(df.limit(0), model).count() == 0
+
+
+def test_language_sample_is_bounded(spark):
+    """Copies of one text count once, and the rows that reach the driver are bounded whatever the table."""
+    rows = [(i, "boilerplate text", "en") for i in range(3000)] + [(i, f"ein satz {chr(97 + i % 26)}{i}", "de") for i in range(300)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_rows=40)
+    assert model.predict("boilerplate text")[0] == "en" and model.predict("ein satz b")[0] == "de"
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_multi_50k.tiktoken"])
 def test_bpe_like_the_library(name):
     import tiktoken
