@@ -39,6 +39,8 @@ HOT = 4096
 COLLECTION, SPILL = 500_000, 1 << 19
 #: Rows that are broadcast at most (a few longs each); more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
+#: The same for lists by text: nearly every text has some, so the bound is one that only small tables are below.
+LIST_ROWS = 20_000
 #: Names of 64 bits that more than one text has, at most; expected are n * n / 2**65.
 CLASHES = 10_000
 
@@ -134,7 +136,7 @@ def _with_lists(texts: DataFrame, rows: DataFrame, columns: list[str]) -> DataFr
     """(d, text, lists of the columns): texts joined with the rows of their d. A text has fewer rows than bytes."""
     rows = common.staged(rows, "suffix-rows")
     lists = rows.groupBy("d").agg(F.collect_list(F.struct(*columns)).alias("rows"))
-    if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if rows.limit(LIST_ROWS + 1).count() <= LIST_ROWS:
         lists = F.broadcast(lists)
     return texts.join(lists, "d").select("d", "text", *(F.col("rows")[c].alias(c) for c in columns))
 
