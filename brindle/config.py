@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Any
 
+#: The canonical fields.
 FIELDS = ("base_part_no", "new_part_no", "part_name", "bom_level", "part_type", "change_type", "change_point", "change_reason", "qty", "model_code")
 #: The three null vocabularies' tokens, vocabularies with aliases, ranges and value patterns.
 NULL_TOKENS = ("", "n/a", "na", "null", "none", "-", "—")
@@ -13,6 +14,7 @@ CHANGE_ALIASES = {"신규": "New", "N": "New", "변경": "Change", "C": "Change"
 GRADES = ("Best-1", "Best-2", "Better-1", "Better-2", "Good-1", "Good-2", "Good-1 BK", "Good-2 BK")
 GRADE_ALIASES = {"Best1": "Best-1", "B1": "Best-1", "Best2": "Best-2", "B2": "Best-2", "Better1": "Better-1", "Better2": "Better-2", "Good1": "Good-1", "Good2": "Good-2"}
 REGIONS = ("EUR", "EUE", "EAP", "SJ", "SA", "AU")
+HINT_REGIONS = ("EUR", "EUE", "EAP", "SJ", "SA")
 STAGES = ("CP", "PP", "DV", "PV", "PQ")
 PART_NO = r"^[A-Z]{2,3}[0-9]{7,8}\z"
 MODEL_CODE = r"^[A-Z][A-Z0-9]{3,14}(\.[A-Z0-9.]+)?\z"
@@ -20,6 +22,7 @@ MODEL_PARTS = r"^([A-Z]{2,5}[0-9]{3,5}[A-Z]?)(?:\.([A-Z0-9]+))?\z"
 BOM_LEVEL, QTY = (0, 10), (0, 9999)
 VOCABULARIES = {"change_type": (CHANGE_TYPES, CHANGE_ALIASES), "grade": (GRADES, GRADE_ALIASES)}
 
+#: Fields that a row must have, those it may have, and the gate's bounds.
 REQUIRED = ("base_part_no", "part_name", "bom_level", "part_type", "change_type", "change_point", "model_code")
 OPTIONAL = ("new_part_no", "change_reason", "qty")
 THRESHOLDS = {
@@ -73,6 +76,35 @@ def load_rule(path: str) -> MappingRule:
         return rule_from(yaml.safe_load(f))
 
 
+def load_normalization(path: str) -> dict[str, dict[str, Any]]:
+    """Rules by name from ``fields``: steps, post_validate, on_fail."""
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        fields = yaml.safe_load(f)["fields"]
+    return {name: {k: v for k, v in {"steps": [step(s) for s in rule.get("steps", ())], "post_validate": rule.get("post_validate"), "on_fail": rule.get("on_fail", "quarantine")}.items() if v is not None} for name, rule in fields.items()}
+
+
+def load_signatures(path: str) -> tuple[dict[str, list[tuple[str, Any, float]]], dict[str, float]]:
+    """(signals by form, thresholds by form) from ``versions``, in the file's order, which decides ties."""
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        versions = yaml.safe_load(f)["versions"]
+    what = {"sheet_exists": lambda s: s["name"], "sheet_name_contains": lambda s: list(s["keywords"]), "col_count_range": lambda s: tuple(s["range"]), "header_text_contains": lambda s: list(s["keywords"]), "marker_cell": lambda s: s["value"], "stage_row": lambda s: list(s["markers"])}
+    signals = {name: [(s["type"], what[s["type"]](s), float(s["weight"])) for s in form.get("signals", ())] for name, form in versions.items()}
+    return signals, {name: float(form.get("threshold", FORM_THRESHOLD)) for name, form in versions.items()}
+
+
+def load_axioms(path: str) -> dict[str, Any]:
+    """Value rules by key: ``pattern``, or ``allowed`` with ``aliases``, or ``min`` and ``max``."""
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        found = yaml.safe_load(f)
+    return {k: {n: tuple(v) if isinstance(v, list) else v for n, v in rule.items() if n in ("pattern", "allowed", "aliases", "min", "max", "regions")} for k, rule in found.items() if isinstance(rule, dict)}
+
+
 #: Transformations by field, and the source columns of each form in order of priority.
 TRANSFORMATIONS: dict[str, list] = {
     "base_part_no": ["strip", "upper"],

@@ -50,14 +50,15 @@ def _any(c: Column, words: list[str]) -> Column:
     return out
 
 
-def decide(features: DataFrame, signals: dict[str, list] | None = None, threshold: float = config.FORM_THRESHOLD, whole_file: bool = True) -> DataFrame:
+def decide(features: DataFrame, signals: dict[str, list] | None = None, threshold: float | dict[str, float] = config.FORM_THRESHOLD, whole_file: bool = True) -> DataFrame:
     """Adds evidence (form -> score), form_version, confidence, needs_review. The best of the forms over the threshold,
     the first listed among equals; with more than one over it the confidence shrinks and a review is due."""
     signals = signals or config.SIGNALS
     scores = [F.round(sum((F.when(F.coalesce(matches(k, w, whole_file), F.lit(False)), x).otherwise(0.0) for k, w, x in s), F.lit(0.0)), 4) for s in signals.values()]
-    entries = F.array(*(F.struct(s.alias("score"), F.lit(-i).alias("order"), F.lit(name).alias("name")) for i, (name, s) in enumerate(zip(signals, scores))))
+    bound = lambda name: F.lit(float(threshold.get(name, config.FORM_THRESHOLD) if isinstance(threshold, dict) else threshold))
+    entries = F.array(*(F.struct(s.alias("score"), F.lit(-i).alias("order"), F.lit(name).alias("name"), (s >= bound(name)).alias("passes")) for i, (name, s) in enumerate(zip(signals, scores))))
     df = features.withColumn("_scores", entries)
-    df = df.withColumn("_passed", F.filter("_scores", lambda x: x["score"] >= threshold)).withColumn("_best", F.array_max("_passed"))
+    df = df.withColumn("_passed", F.filter("_scores", lambda x: x["passes"])).withColumn("_best", F.array_max("_passed"))
     review = F.size("_passed") >= 2
     return df.withColumns(
         {
@@ -69,12 +70,12 @@ def decide(features: DataFrame, signals: dict[str, list] | None = None, threshol
     ).drop("_scores", "_passed", "_best")
 
 
-def classify(cells: DataFrame) -> DataFrame:
-    """A row a file. Where the file as a whole is unknown, its known sheets vote; the first sheet decides among equals, and
+def classify(cells: DataFrame, signals: dict[str, list] | None = None, threshold: float | dict[str, float] = config.FORM_THRESHOLD) -> DataFrame:
+    """A row a file. ``signals`` and ``threshold`` (by form, or one) as ``config.load_signatures`` gives them. Where the file as a whole is unknown, its known sheets vote; the first sheet decides among equals, and
     the confidence is the best of all sheets."""
     sheets = sheet_features(cells)
-    by_sheet = decide(sheets.select("file_path", "sheet_idx", "sheet_name", "sheets", "max_col", "cells"), whole_file=False)
-    by_file = decide(file_features(sheets))
+    by_sheet = decide(sheets.select("file_path", "sheet_idx", "sheet_name", "sheets", "max_col", "cells"), signals, threshold, whole_file=False)
+    by_file = decide(file_features(sheets), signals, threshold)
     votes = by_sheet.where("form_version != 'unknown'").groupBy("file_path", "form_version").agg(F.count("*").alias("n"), F.min("sheet_idx").alias("first"))
     votes = votes.groupBy("file_path").agg(F.max_by("form_version", F.struct("n", -F.col("first"))).alias("vote"))
     best = by_sheet.groupBy("file_path").agg(F.max("confidence").alias("best"), F.map_from_entries(F.collect_list(F.struct("sheet_name", "form_version"))).alias("per_sheet"))
@@ -90,7 +91,8 @@ def guess(sheets: Column, max_col: Column) -> Column:
 
 def name_hints(c: Column) -> Column:
     """Struct of model, grade, region and date found in a file's or sheet's name; nulls where there is none."""
+    # fixed values: the patterns of the four hints
     found = lambda p, g=0: F.nullif(F.regexp_extract(c, p, g), F.lit(""))
     date = r"(20\d{2})[._\-]?(\d{1,2})[._\-]?(\d{1,2})?"
     two = lambda g: F.lpad(found(date, g), 2, "0")
-    return F.struct(found(r"[A-Z]{2,5}\d{4,5}[A-Z]?").alias("model"), found(r"(?i)(Best|Better|Good)[\-\s]?\d").alias("grade"), found(r"\b(" + "|".join(config.REGIONS) + r")\b").alias("region"), F.when(found(date).isNotNull(), F.concat_ws("-", found(date, 1), two(2), two(3))).alias("date"))
+    return F.struct(found(r"[A-Z]{2,5}\d{4,5}[A-Z]?").alias("model"), found(r"(?i)(Best|Better|Good)[\-\s]?\d").alias("grade"), found(r"\b(" + "|".join(config.HINT_REGIONS) + r")\b").alias("region"), F.when(found(date).isNotNull(), F.concat_ws("-", found(date, 1), two(2), two(3))).alias("date"))

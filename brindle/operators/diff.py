@@ -1,47 +1,118 @@
-"""Comparison with ground truth: one full outer join, counts in one aggregation."""
+"""Comparison with ground truth by counts: rows that share a key pair up, and pairs are counted without being made.
+
+A key with m rows on one side and n on the other has m * n pairs. Values become canonical, so that two are equal exactly
+where their canonical forms are; pairs that are equal in a column, or in all, are products of counts by key and form.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pathlib import PurePosixPath
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle.functions import text as t
 
 
+def canonical(c: Column) -> Column:
+    """Nulls are null; numbers go by value, the rest by the stripped text."""
+    text = c.cast("string")
+    number = t.number(text) + F.lit(0.0)
+    return F.when(~t.missing(c), F.coalesce(F.concat(F.lit("n"), number.cast("string")), F.concat(F.lit("s"), t.ustrip(text))))
+
+
 def equal(a: Column, b: Column) -> Column:
     """Nulls are equal; numbers by value where both are; else the stripped text."""
-    x, y = a.cast("string"), b.cast("string")
-    by_value = F.coalesce(t.number(x) == t.number(y), t.ustrip(x) == t.ustrip(y))
-    return F.when(t.missing(a) | t.missing(b), t.missing(a) & t.missing(b)).otherwise(by_value)
+    return canonical(a).eqNullSafe(canonical(b))
 
 
-def joined(auto: DataFrame, golden: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
-    """Rows of both sides by a null-safe key, with presence flags, and the columns to compare. Repeated keys pair up."""
+def _sides(auto: DataFrame, golden: DataFrame, key: str, by: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with the key as ``_k``, the columns of ``by`` and the canonical columns to compare, and their names."""
     for side, df in (("auto", auto), ("golden", golden)):
         if key not in df.columns:
             raise KeyError(f"{key} is no column of {side}")
-    columns = [c for c in golden.columns if c in auto.columns and c != key]
-    a = auto.select(F.col(key).alias("_ka"), F.lit(True).alias("_a"), *(F.col(c).alias(f"a_{c}") for c in columns))
-    g = golden.select(F.col(key).alias("_kg"), F.lit(True).alias("_g"), *(F.col(c).alias(f"g_{c}") for c in columns))
-    both = a.join(g, a["_ka"].eqNullSafe(g["_kg"]), "full_outer")
-    side = F.when(F.col("_a").isNull(), "golden").when(F.col("_g").isNull(), "auto").otherwise("both")
-    wrong = F.array_compact(F.array(*(F.when(~equal(F.col(f"a_{c}"), F.col(f"g_{c}")), F.lit(c)) for c in columns))) if columns else F.array().cast("array<string>")
-    return both.select(F.coalesce("_ka", "_kg").alias(key), side.alias("side"), F.when(side == "both", wrong).alias("wrong")), columns
+    columns = [c for c in golden.columns if c in auto.columns and c != key and c not in by]
+    shaped = lambda df: df.select(*by, F.col(key).alias("_k"), *(canonical(F.col(c)).alias(c) for c in columns))
+    return shaped(auto), shaped(golden), columns
 
 
-def counts(auto: DataFrame, golden: DataFrame, key: str) -> DataFrame:
-    """One row: rows_match, rows_mismatch, rows_only_in_auto, rows_only_in_golden, match_rate over all."""
-    rows, _ = joined(auto, golden, key)
-    match = F.count_if((F.col("side") == "both") & (F.size("wrong") == 0))
-    return rows.agg(match.alias("rows_match"), F.count_if((F.col("side") == "both") & (F.size("wrong") > 0)).alias("rows_mismatch"), F.count_if(F.col("side") == "auto").alias("rows_only_in_auto"), F.count_if(F.col("side") == "golden").alias("rows_only_in_golden"), F.coalesce(F.try_divide(match.cast("double"), F.count("*")), F.lit(0.0)).alias("match_rate"))
+def _counted(a: DataFrame, g: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
+    """(names, n_a, n_g): rows of each side by equal names, nulls being equal."""
+    left = a.groupBy(*names).agg(F.count("*").alias("n_a"))
+    right = g.groupBy(*names).agg(F.count("*").alias("n_g")).select(*(F.col(c).alias(f"_g{i}") for i, c in enumerate(names)), "n_g")
+    both = left.join(right, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(names)], how)
+    return both.select(*(F.coalesce(F.col(c), F.col(f"_g{i}")).alias(c) for i, c in enumerate(names)), F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_g", F.lit(0)).alias("n_g"))
 
 
-def column_mismatches(auto: DataFrame, golden: DataFrame, key: str) -> DataFrame:
-    rows, _ = joined(auto, golden, key)
-    return rows.select(F.explode("wrong").alias("column")).groupBy("column").agg(F.count("*").alias("n"))
+def counts(auto: DataFrame, golden: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
+    """A row (by group): rows_match, rows_mismatch, rows_only_in_auto, rows_only_in_golden, match_rate over all."""
+    by = by or []
+    a, g, columns = _sides(auto, golden, key, by)
+    of_key = _counted(a, g, [*by, "_k"], "full_outer")
+    pairs = F.col("n_a") * F.col("n_g")
+    whole = of_key.groupBy(*by).agg(F.coalesce(F.sum(pairs), F.lit(0)).alias("pairs"), F.coalesce(F.sum(F.when(F.col("n_g") == 0, F.col("n_a"))), F.lit(0)).alias("rows_only_in_auto"), F.coalesce(F.sum(F.when(F.col("n_a") == 0, F.col("n_g"))), F.lit(0)).alias("rows_only_in_golden"))
+    same = _counted(a, g, [*by, "_k", *columns]).groupBy(*by).agg(F.coalesce(F.sum(pairs), F.lit(0)).alias("rows_match"))
+    out = whole.join(same, by, "left") if by else whole.join(same)  # one row each
+    match = F.coalesce("rows_match", F.lit(0))
+    every = F.col("pairs") + F.col("rows_only_in_auto") + F.col("rows_only_in_golden")
+    return out.select(*by, match.alias("rows_match"), (F.col("pairs") - match).alias("rows_mismatch"), "rows_only_in_auto", "rows_only_in_golden", F.coalesce(F.try_divide(match.cast("double"), every), F.lit(0.0)).alias("match_rate"))
+
+
+def column_mismatches(auto: DataFrame, golden: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
+    """Rows (by, column, n): pairs that differ in a column."""
+    by = by or []
+    a, g, columns = _sides(auto, golden, key, by)
+    if not columns:
+        return a.select(*by, F.lit("").alias("column"), F.lit(0).cast("long").alias("n")).where(F.lit(False))
+    cells = lambda df: df.select(*by, "_k", F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in columns))).alias("c")).select(*by, "_k", "c.*")
+    pairs = F.sum(F.col("n_a") * F.col("n_g"))
+    all_ = _counted(a, g, [*by, "_k"]).groupBy(*by).agg(pairs.alias("pairs"))
+    same = _counted(cells(a), cells(g), [*by, "_k", "column", "v"]).groupBy(*by, "column").agg(pairs.alias("same"))
+    named = all_.select(*by, "pairs", F.explode(F.array(*map(F.lit, columns))).alias("column"))
+    out = named.join(same, [*by, "column"], "left").withColumn("n", F.col("pairs") - F.coalesce("same", F.lit(0)))
+    return out.where("n > 0").select(*by, "column", "n")
 
 
 def samples(auto: DataFrame, golden: DataFrame, key: str, n: int = 10) -> DataFrame:
-    """The first mismatching rows by key: a report, so the limit is the feature."""
-    rows, _ = joined(auto, golden, key)
-    return rows.where("side = 'both' and size(wrong) > 0").orderBy(key, "wrong").limit(n)
+    """(key, wrong): the first ``n`` differing pairs by key: a report, so the limit is the feature. Of a key no more than
+    n + 1 kinds of rows a side are paired; these hold n differing pairs, if there are so many."""
+    a, g, columns = _sides(auto, golden, key, [])
+    pairs = F.sum(F.col("n_a") * F.col("n_g"))
+    every = _counted(a, g, ["_k"]).select("_k", (F.col("n_a") * F.col("n_g")).alias("pairs"))
+    same = _counted(a, g, ["_k", *columns]).groupBy("_k").agg(pairs.alias("same")).select(F.col("_k").alias("_s"), "same")
+    wrong = every.join(same, F.col("_k").eqNullSafe(F.col("_s")), "left").where(F.col("pairs") > F.coalesce("same", F.lit(0)))
+    keys = F.broadcast(wrong.orderBy("_k").limit(n).select(F.col("_k").alias("_w")))
+    first = Window.partitionBy("_k").orderBy(*columns)
+
+    def some(df: DataFrame, prefix: str) -> DataFrame:
+        kinds = df.join(keys, F.col("_k").eqNullSafe(F.col("_w"))).select("_k", *columns).distinct()
+        return kinds.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= n + 1).select(F.col("_k").alias(f"{prefix}_k"), *(F.col(c).alias(f"{prefix}_{c}") for c in columns))
+
+    both = some(a, "a").join(some(g, "g"), F.col("a_k").eqNullSafe(F.col("g_k")))
+    differ = F.array_compact(F.array(*(F.when(~F.col(f"a_{c}").eqNullSafe(F.col(f"g_{c}")), F.lit(c)) for c in columns)))
+    return both.select(F.col("a_k").alias(key), differ.alias("wrong")).where("size(wrong) > 0").orderBy(key, "wrong").limit(n)
+
+
+def stem(path: str) -> str:
+    return PurePosixPath(path).stem
+
+
+def load_golden(spark: SparkSession, folder: str, stems: list[str]) -> DataFrame | None:
+    """Ground truth of source files by their stems, as text with ``stem``: ``<stem>.parquet``, else the first sheet of
+    ``<stem>.xlsx`` with its header in the first row. None where no file has any."""
+    from brindle.sources import xlsx
+
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = {f.getPath().getName(): f.getPath().toString() for f in fs.listStatus(at)} if fs.exists(at) else {}
+    out = None
+    for s in sorted(set(stems)):
+        if f"{s}.parquet" in there:
+            df = spark.read.parquet(there[f"{s}.parquet"])
+        elif f"{s}.xlsx" in there:
+            df = xlsx.first_sheet(spark, there[f"{s}.xlsx"])
+        else:
+            continue
+        df = df.select(F.lit(s).alias("stem"), *(F.col(f"`{c}`").cast("string").alias(c) for c in df.columns))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out

@@ -13,7 +13,6 @@ from brindle.functions import text as t
 #: Labels of facts, cells that are labels too, rows and cells that are searched.
 LABELS = {"base model": "model_code", "base model/suffix": "model_code", "base model / suffix": "model_code", "buyer명": "buyer", "brand": "brand", "set p/no.": "set_part_no", "set p/no": "set_part_no", "양산 일자": "production_date"}
 ALSO_LABELS = ("모델명(등급)", "model name(grade)", "개발 모델", "new model", "event")
-META_KEYS = ("model_code", "buyer", "brand", "set_part_no", "production_date")
 META_ROWS, META_CELLS = 8, 10
 
 

@@ -27,12 +27,17 @@ def hashed_vector(text: str, dim: int = DIM) -> list[float]:
     return (v / n if n else v).tolist()
 
 
-def embed(df: DataFrame, column: str, out: str, embedder=hashed_vector) -> DataFrame:
-    """Adds a vector column; null text counts as empty. ``embedder`` takes a text; it is loaded once a worker."""
+def hashed_vectors(texts: list[str]) -> list[list[float]]:
+    return [hashed_vector(x) for x in texts]
+
+
+def embed(df: DataFrame, column: str, out: str, embedder=hashed_vectors) -> DataFrame:
+    """Adds a vector column; null text counts as empty. ``embedder`` takes a batch of texts and gives their vectors; it is
+    loaded once a worker."""
 
     @F.pandas_udf("array<float>")
     def run(s: pd.Series) -> pd.Series:
-        return pd.Series([embedder(x or "") for x in s])
+        return pd.Series(list(embedder(s.fillna("").tolist())), index=s.index, dtype=object)
 
     return df.withColumn(out, run(F.col(column)))
 

@@ -1,39 +1,52 @@
-"""A run's report as Markdown, from rows that are already aggregated."""
+"""A run's report as Markdown, from rows that are already aggregated: the verdict, then files, metrics and reasons."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from brindle import config
 
 
-def metrics_table(row: dict) -> str:
-    lines = ["| Metric | Value | Threshold | Status |", "|---|---:|---:|:---:|"]
-    for name, (op, limit) in config.THRESHOLDS.items():
-        value = row[name]
-        ok = value >= limit if op == ">=" else value <= limit
-        lines.append(f"| {name} | {value:.3f} | {op} {limit} | {'PASS' if ok else 'FAIL'} |")
-    return "\n".join(lines)
+def table(head: Iterable[str], rows: Iterable[Iterable]) -> list[str]:
+    line = lambda cells: "|" + "|".join(f" {c} " for c in cells) + "|"
+    head = list(head)
+    return [line(head), line("---" for _ in head), *map(line, rows), ""]
 
 
-def file_section(row: dict, form: str, diff: dict | None = None, wrong: list[tuple[str, int]] | None = None) -> str:
-    out = [f"### {row['source_file'].rsplit('/', 1)[-1]}", f"- form_version: `{form}`  rows_in={row['rows_in']}  rows_out={row['rows_out']}  quarantined={row['rows_quarantined']}"]
-    if row.get("drop_reasons"):
-        out += ["", "**Drop reasons:**", *(f"- `{k}`: {n}" for k, n in sorted(row["drop_reasons"].items(), key=lambda x: (-x[1], x[0])))]
-    if diff:
-        out += ["", f"**Golden diff:** match_rate={diff['match_rate']:.3f}  match={diff['rows_match']}  mismatch={diff['rows_mismatch']}  only_auto={diff['rows_only_in_auto']}  only_golden={diff['rows_only_in_golden']}"]
-        if wrong:
-            out += ["", "Top column mismatches:", *(f"- `{k}`: {n}" for k, n in wrong[:5])]
-    return "\n".join(out)
+def gate_rows(row: dict) -> list[tuple[str, str, str, str]]:
+    """(metric, value, bound, verdict) for each threshold of the gate."""
+    held = {">=": lambda v, x: v >= x, "<=": lambda v, x: v <= x}
+    return [(k, f"{row[k]:.4f}", f"{op} {x:g}", "ok" if held[op](row[k], x) else "missed") for k, (op, x) in config.THRESHOLDS.items()]
+
+
+def by_count(counts: dict[str, int] | None, n: int | None = None) -> list[tuple[str, int]]:
+    return sorted((counts or {}).items(), key=lambda x: (-x[1], x[0]))[:n]
 
 
-def markdown(run_id: str, files: list[dict], total: dict, per_file: list[dict]) -> str:
-    forms = {f["file_path"]: f["form_version"] for f in files}
-    n = {k: total.get(k, 0) for k in ("rows_in", "rows_out", "rows_quarantined")}
-    out = [f"# Preprocessing Report — {run_id}", f"Generated: {datetime.now(timezone.utc).isoformat()}", "", "## Summary", f"- files: {len(files)}  rows_in: {n['rows_in']}  rows_out: {n['rows_out']}  quarantined: {n['rows_quarantined']}", ""]
+def diff_line(diff: dict) -> str:
+    return f"match_rate={diff['match_rate']:.3f} of ground truth: {diff['rows_match']} equal, {diff['rows_mismatch']} differ, {diff['rows_only_in_auto']} only here, {diff['rows_only_in_golden']} only there"
+
+
+def markdown(run_id: str, files: list[dict], total: dict, per_file: list[dict], diffs: dict[str, dict] | None = None) -> str:
+    """``diffs``: by source file, a row of ``diff.counts`` with ``columns``, the differing pairs by column."""
+    missed = total.get("critical_failures") or []
+    verdict = "passes the gate" if total.get("acceptable") else "does not pass the gate" + (f" ({', '.join(missed)})" if missed else "")
+    out = [f"# Run {run_id}", "", f"The run {verdict}. Written {datetime.now(timezone.utc):%Y-%m-%d %H:%M:%S} UTC.", ""]
+    measured = {r["source_file"]: r for r in per_file}
+    count = lambda f, k: measured.get(f["file_path"], {}).get(k, 0)
+    out += ["## Files", "", *table(("file", "form", "status", "read", "clean", "set aside", "lost"), ((f["file_path"].rsplit("/", 1)[-1], f["form_version"], f["status"], *(count(f, k) for k in ("rows_in", "rows_out", "rows_quarantined", "rows_dropped"))) for f in files))]
     if total:
-        out += ["## Aggregate Validation", metrics_table(total), "", "## Per-file", *(file_section(r, forms.get(r["source_file"])) + "\n" for r in per_file)]
-    decision = "ACCEPTABLE" if total.get("acceptable") else "NOT ACCEPTABLE"
-    out += ["## Decision", f"**{decision}** by the {len(config.THRESHOLDS)} thresholds."]
-    out += [f"- `{x}`" for x in total.get("critical_failures", [])]
-    return "\n".join(out) + "\n"
+        out += ["## Gate", "", *table(("metric", "value", "bound", "verdict"), gate_rows(total))]
+    for path, row in measured.items():
+        diff, reasons = (diffs or {}).get(path), by_count(row.get("drop_reasons"))
+        if not reasons and not diff:
+            continue
+        out += [f"## {path.rsplit('/', 1)[-1]}", ""]
+        if reasons:
+            out += table(("set aside for", "rows"), reasons)
+        if diff:
+            out += [diff_line(diff), ""]
+            if diff.get("columns"):
+                out += table(("column", "pairs that differ"), by_count(diff["columns"], 5))
+    return "\n".join(out)

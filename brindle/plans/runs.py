@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle import config
-from brindle.operators import classify, extract, mapping, normalize, quarantine, resolve, validate
+from brindle.operators import classify, diff, extract, mapping, normalize, quarantine, resolve, validate
 from brindle.plans import report
 from brindle.sources import xlsx
 
@@ -41,12 +41,22 @@ def standardised(cells: DataFrame, forms: DataFrame, run_id: str) -> DataFrame |
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out) if out else None
 
 
+def raw_counts(cells: DataFrame, forms: DataFrame) -> DataFrame:
+    """(source_file, rows_in): the data rows that files of known forms have, before anything is done to them."""
+    out = []
+    for form in config.FORMS:
+        mine = cells.join(forms.where(F.col("form_version") == form).select("file_path"), "file_path", "left_semi")
+        out.append(extract.rows(mine, config.rule(form)).groupBy(F.col("file_path").alias("source_file")).agg(F.count("*").alias("rows_in")))
+    return reduce(DataFrame.unionAll, out)
+
+
 @dataclass
 class Runs:
     """Folders ``dry_run``, ``committed``, ``rolled_back`` (a run lives in one), ``quarantine``, below ``root``."""
 
     spark: SparkSession
     root: str
+    golden: str | None = None  # a folder of ground truth by file stem
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -75,29 +85,53 @@ class Runs:
         status = F.when(F.col("error").isNotNull(), "error").when(F.coalesce("form_version", F.lit("unknown")) == "unknown", "needs_human_classification").when(F.col("form_version") == "bom_tree", "bom_tree_deferred").when(F.coalesce("n", F.lit(0)) == 0, "empty").otherwise("ok")
         return out.select("file_path", "form_version", "confidence", status.alias("status"), F.coalesce("n", F.lit(0)).alias("rows_in"), "error")
 
-    def preview(self, path: str, run_id: str = "preview") -> tuple[DataFrame, DataFrame | None]:
+    def _read(self, path: str, run_id: str) -> tuple[DataFrame, DataFrame | None, DataFrame]:
         cells = xlsx.read_cells(self.spark, path).cache()
         forms = classify.classify(cells.where("sheet_name is not null"))
         rows = standardised(cells, forms, run_id)
-        return self.statuses(cells, forms, rows), rows
+        return self.statuses(cells, forms, rows), rows, raw_counts(cells, forms)
+
+    def preview(self, path: str, run_id: str = "preview") -> tuple[DataFrame, DataFrame | None]:
+        """Statuses and rows, nothing written."""
+        return self._read(path, run_id)[:2]
+
+    def diffs(self, rows: DataFrame, key: str = "base_part_no") -> dict[str, dict]:
+        """By source file with ground truth: its row of ``diff.counts``, and the differing pairs by column."""
+        paths = [r[0] for r in rows.select("source_file").distinct().collect()]  # a row a file
+        golden = diff.load_golden(self.spark, self.golden, [diff.stem(p) for p in paths]) if self.golden else None
+        if golden is None or key not in golden.columns:
+            return {}
+        of = self.spark.createDataFrame([(p, diff.stem(p)) for p in paths], "source_file string, stem string")
+        auto = normalize.drop_working(rows).join(F.broadcast(of), "source_file")  # a row a file
+        golden = golden.join(F.broadcast(of), "stem").drop("stem")
+        auto = auto.drop("stem").join(golden.select("source_file").distinct(), "source_file", "left_semi")
+        columns = [c for c in golden.columns if c in ("source_file", *config.FIELDS)]
+        auto, golden = auto.select(*columns), golden.select(*columns)
+        out = {r["source_file"]: r.asDict() | {"columns": {}} for r in diff.counts(auto, golden, key, ["source_file"]).collect()}
+        for r in diff.column_mismatches(auto, golden, key, ["source_file"]).collect():
+            out[r["source_file"]]["columns"][r["column"]] = r["n"]
+        return out
 
     def run(self, path: str, commit: bool = False, run_id: str | None = None) -> dict:
         run_id = run_id or new_run_id()
         folder = f"{self.root}/dry_run/{run_id}"
-        statuses, rows = self.preview(path, run_id)
+        statuses, rows, raw = self._read(path, run_id)
         files = [r.asDict() for r in statuses.orderBy("file_path").collect()]  # a row a file
-        total, per_file, verdict = {}, [], {"acceptable": False, "critical_failures": []}
+        total, per_file, diffs, verdict = {}, [], {}, {"acceptable": False, "critical_failures": []}
         if rows is not None:
             rows.write.parquet(f"{folder}/rows")
             rows = self.spark.read.parquet(f"{folder}/rows")
             quarantine.save(quarantine.extract(normalize.drop_working(rows), run_id, F.col("source_file"), F.col("row_idx")), f"{self.root}/quarantine")
             normalize.audit(rows, ["source_file", "row_idx"], run_id).write.parquet(f"{folder}/audit")
-            total = validate.gate(validate.report(rows)).first().asDict()
-            per_file = [r.asDict() for r in validate.report(rows, ["source_file"]).orderBy("source_file").collect()]
+            raw.write.parquet(f"{folder}/raw")
+            raw = self.spark.read.parquet(f"{folder}/raw")
+            total = validate.gate(validate.report(rows, raw=raw)).first().asDict()
+            per_file = [r.asDict() for r in validate.report(rows, ["source_file"], raw).orderBy("source_file").collect()]
+            diffs = self.diffs(rows)
             verdict = {k: total[k] for k in ("acceptable", "critical_failures")}
-        text = report.markdown(run_id, files, total, per_file)
+        text = report.markdown(run_id, files, total, per_file, diffs)
         self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/report")
-        state = {"run_id": run_id, "status": "dry_run", "at": datetime.now(timezone.utc).isoformat(), "files": files, "metrics": total, **verdict}
+        state = {"run_id": run_id, "status": "dry_run", "at": datetime.now(timezone.utc).isoformat(), "files": files, "metrics": total, "golden": diffs, **verdict}
         self._write_state(folder, state)
         return self.commit(run_id) if commit else state
 
@@ -135,7 +169,11 @@ class Runs:
         passing, failing = quarantine.reprocess(records, schema)
         new = new_run_id()
         folder = f"{self.root}/dry_run/{new}"
-        passing.write.parquet(f"{folder}/rows")
-        counts = {"now_pass": passing.count(), "still_fail": failing.count()}
+        again = passing.unionAll(failing)
+        again.write.parquet(f"{folder}/all")  # normalised once; both sides are read from here
+        again = self.spark.read.schema(again.schema).parquet(f"{folder}/all")
+        again.where("_quarantine_reason is null").write.parquet(f"{folder}/rows")
+        n = again.agg(F.count_if(F.col("_quarantine_reason").isNull()).alias("ok"), F.count("*").alias("all")).first()
+        counts = {"now_pass": n["ok"], "still_fail": n["all"] - n["ok"]}
         self._write_state(folder, {"run_id": new, "status": "dry_run", "mode": "reprocess", "of": run_id, "acceptable": False, "critical_failures": ["reprocess"], **counts})
         return {"run_id": new, **counts}

@@ -1,4 +1,8 @@
-"""Relational store as parquet tables: load a run, roll it back, count it. A run's ledger row is its commit mark."""
+"""Relational store as parquet tables: load a run, embed it, roll it back, count it.
+
+The ledger is the one pointer: its last row says which version of the upserted tables holds, and only runs it has as
+loaded are seen in the tables by run. A load that fails before its ledger row leaves everything as it was.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.operators import resolve
+from brindle.operators import resolve, search
 
 SCHEMAS = {
     "parts": "part_no string, part_name string, description string, part_type string, bom_level int, source_file string, form_version string, run_id string, updated_at timestamp",
@@ -15,7 +19,7 @@ SCHEMAS = {
     "bom_edges": "model_code string, parent_part_no string, child_part_no string, qty double, run_id string",
     "change_events": "event_id long, base_part_no string, new_part_no string, model_code string, change_type string, bom_level int, change_point string, change_reason string, form_version string, source_file string, raw_data string, created_at timestamp, change_point_embedding array<float>, run_id string",
     "event_details": "event_id long, detail_type string, detail_json string, run_id string",
-    "preprocessing_runs": "run_id string, status string, at timestamp, row_counts map<string,long>",
+    "preprocessing_runs": "run_id string, status string, at timestamp, row_counts map<string,long>, versions map<string,string>",
 }
 BY_RUN = ("bom_edges", "change_events", "event_details")
 
@@ -36,53 +40,85 @@ class Warehouse:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _versions(self, name: str) -> str | None:
-        """The current folder of an upserted table: the last that was finished."""
-        fs, p = self._fs(f"{self.root}/{name}")
-        if not fs.exists(p):
-            return None
-        done = sorted(f.getPath().getName() for f in fs.listStatus(p) if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS")))
-        return f"{self.root}/{name}/{done[-1]}" if done else None
+    def _at(self, path: str):
+        fs, p = self._fs(path)
+        return p if fs.exists(p) else None
+
+    def _ledger(self) -> DataFrame:
+        schema = SCHEMAS["preprocessing_runs"]
+        at = f"{self.root}/preprocessing_runs"
+        return self.spark.read.schema(schema).parquet(at) if self._at(at) else self.spark.createDataFrame([], schema)
+
+    def _versions(self) -> dict[str, str]:
+        """Folders of the upserted tables that hold now."""
+        row = self._ledger().where("versions is not null").agg(F.max_by("versions", "at").alias("v")).first()
+        return row["v"] or {}
 
     def table(self, name: str) -> DataFrame:
         schema = SCHEMAS[name]
+        none = self.spark.createDataFrame([], schema)
+        if name == "preprocessing_runs":
+            return self._ledger()
         if name in ("parts", "models"):
-            at = self._versions(name)
-            return self.spark.read.schema(schema).parquet(at) if at else self.spark.createDataFrame([], schema)
-        fs, p = self._fs(f"{self.root}/{name}")
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}") if fs.exists(p) else self.spark.createDataFrame([], schema)
-
-    def _replace(self, name: str, df: DataFrame) -> None:
-        """A new version beside the old; readers switch when it is finished, older ones go."""
-        old = self._versions(name)
-        stamp = (int(old.rsplit("/v", 1)[1].split("-")[0]) if old else 0) + 1
-        df.write.parquet(f"{self.root}/{name}/v{stamp:09d}-{uuid.uuid4().hex[:8]}")
-        if old:
-            fs, p = self._fs(old)
-            fs.delete(p, True)
+            version = self._versions().get(name)
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/{version}") if version else none
+        if not self._at(f"{self.root}/{name}"):
+            return none
+        loaded = self.runs().where("status = 'loaded'").select("run_id")
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}").join(F.broadcast(loaded), "run_id", "left_semi").select(*none.columns)  # a row a run
 
     def runs(self) -> DataFrame:
-        ledger = self.table("preprocessing_runs")
-        return ledger.groupBy("run_id").agg(F.max_by("status", "at").alias("status"), F.max_by("row_counts", "at").alias("row_counts"))
+        return self._ledger().groupBy("run_id").agg(F.max_by("status", "at").alias("status"), F.max_by("row_counts", "at").alias("row_counts"))
 
-    def _mark(self, run_id: str, status: str, counts: dict[str, int]) -> None:
-        self.spark.createDataFrame([(run_id, status, counts)], "run_id string, status string, row_counts map<string,long>").withColumn("at", F.current_timestamp()).select("run_id", "status", "at", "row_counts").write.mode("append").parquet(f"{self.root}/preprocessing_runs")
+    def not_loaded(self, df: DataFrame) -> DataFrame:
+        """Rows of runs that the ledger does not have."""
+        return df.join(F.broadcast(self.runs().select("run_id")), "run_id", "left_anti")  # a row a run
 
-    def load(self, rows: DataFrame, run_id: str) -> dict[str, int]:
-        """Loads the rows without a reason. A run that the ledger has, or one without rows, is refused."""
+    def _mark(self, run_id: str, status: str, counts: dict[str, int], versions: dict[str, str] | None = None) -> None:
+        self.spark.createDataFrame([(run_id, status, counts, versions)], "run_id string, status string, row_counts map<string,long>, versions map<string,string>").coalesce(1).withColumn("at", F.current_timestamp()).select("run_id", "status", "at", "row_counts", "versions").write.mode("append").parquet(f"{self.root}/preprocessing_runs")
+
+    def load(self, rows: DataFrame, run_id: str, embedder=None) -> dict[str, int]:
+        """Loads the rows without a reason; with an ``embedder`` (texts to vectors) also the events' vectors. A run that
+        the ledger has, or one without rows, is refused."""
         if not self.runs().where(F.col("run_id") == run_id).isEmpty():
             raise ValueError(f"run {run_id} is loaded already")
         clean = rows.where("_quarantine_reason is null")
         if clean.isEmpty():
             raise ValueError(f"run {run_id} has no rows")
-        self._replace("parts", upserted(self.table("parts"), parts(clean, run_id), ["part_no"]))
-        self._replace("models", upserted(self.table("models"), models(clean, run_id), ["model_code"]))
+        before = self._versions()
+        version = f"{run_id}-{uuid.uuid4().hex[:8]}"
+        counts = {}
+        for name, new, key in (("parts", parts(clean, run_id), "part_no"), ("models", models(clean, run_id), "model_code")):
+            at = f"{self.root}/{name}/{version}"
+            upserted(self.table(name), new, [key]).write.parquet(at)
+            counts[name] = self.spark.read.schema(SCHEMAS[name]).parquet(at).where(F.col("run_id") == run_id).count()
         events = change_events(clean, run_id)
-        events.write.mode("overwrite").parquet(f"{self.root}/change_events/run_id={run_id}")
-        counts = {"parts": parts(clean, run_id).count(), "models": models(clean, run_id).count(), "change_events": events.count()}
-        self._mark(run_id, "loaded", counts)
+        if embedder:
+            events = search.embed(events, "change_point", "change_point_embedding", embedder)
+        at = f"{self.root}/change_events/run_id={run_id}"
+        events.write.mode("overwrite").parquet(at)
+        counts["change_events"] = self.spark.read.parquet(at).count()
+        self._mark(run_id, "loaded", counts, {"parts": version, "models": version})
+        for name, old in before.items():  # nobody reads them any more
+            fs, p = self._fs(f"{self.root}/{name}/{old}")
+            fs.delete(p, True)
         return counts
 
+    def update_embeddings(self, run_id: str, embedder=None) -> int:
+        """The vectors of a run's events, all anew; a null text counts as empty. The run's folder is replaced when the new
+        one is finished."""
+        at, new = f"{self.root}/change_events/run_id={run_id}", f"{self.root}/_embedding-{run_id}-{uuid.uuid4().hex[:8]}"
+        if not self._at(at):
+            return 0
+        schema = self.spark.createDataFrame([], SCHEMAS["change_events"]).drop("run_id").schema
+        events = self.spark.read.schema(schema).parquet(at)
+        search.embed(events, "change_point", "change_point_embedding", embedder or search.hashed_vectors).write.parquet(new)
+        n = self.spark.read.schema(schema).parquet(new).count()
+        fs, p = self._fs(at)
+        fs.delete(p, True)
+        fs.rename(self._fs(new)[1], p)
+        return n
+
     def rollback(self, run_id: str) -> dict[str, int]:
         """Drops the run's partitions; parts and models stay."""
         counts = {}

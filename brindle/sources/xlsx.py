@@ -115,3 +115,11 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     by_file = sheets.groupBy("file_path").agg(F.count("*").alias("sheet_count"), F.collect_set("sheet_name").alias("names"), F.max("max_col").alias("widest"))
     name = F.concat_ws(" ", F.element_at(F.split("file_path", "/"), -1), "sheet_name")
     return sheets.join(by_file, "file_path").join(facts, "file_path").select("file_path", "size_bytes", "modified_at", "sheet_count", "sheet_idx", "sheet_name", "max_row", "max_col", classify.guess(F.col("names"), F.col("widest")).alias("guess"), classify.name_hints(name).alias("h")).select("*", "h.*").drop("h")
+
+
+def first_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """The first sheet of one workbook as a table of text: its first row names the columns."""
+    cells = read_cells(spark, path).where("error is null and sheet_idx = 0")
+    head = cells.where("row_idx = 1").first()
+    names = [" ".join(c.split()) if c else f"Unnamed: {i}" for i, c in enumerate(head["cells"])] if head else []
+    return cells.where("row_idx > 1").select(*(F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)))

@@ -153,7 +153,7 @@ def test_run(spark, folder, tmp_path):
     status = {f["file_path"].rsplit("/", 1)[-1]: f["status"] for f in state["files"]}
     assert status == {"v12.xlsx": "ok", "96.xlsx": "empty", "56.xlsx": "empty", "20.xlsx": "empty", "weird.xlsx": "needs_human_classification", "broken.xls": "error"}
     assert state["metrics"]["rows_in"] == 1 and state["acceptable"]
-    assert "# Preprocessing Report" in spark.read.text(f"{tmp_path}/dry_run/{state['run_id']}/report", wholetext=True).first()[0]
+    assert f"# Run {state['run_id']}" in spark.read.text(f"{tmp_path}/dry_run/{state['run_id']}/report", wholetext=True).first()[0]
     with pytest.raises(FileNotFoundError):
         r.rollback(state["run_id"])
     assert r.commit(state["run_id"])["status"] == "committed"
@@ -169,6 +169,106 @@ def test_run(spark, folder, tmp_path):
     assert r.rollback(state["run_id"])["status"] == "rolled_back"
 
 
+def test_run_with_ground_truth(spark, folder, tmp_path):
+    golden = tmp_path / "golden"
+    golden.mkdir()
+    (golden / "v12.xlsx").write_bytes(workbook({"g": [["base_part_no", " part_name ", "qty", "note"], ["AB1234567", "other", "1", "x"], ["ZZ1234567", "b", "2", "y"]]}))
+    (golden / "none.parquet").write_bytes(b"never read")
+    r = runs.Runs(spark, str(tmp_path / "runs"), str(golden))
+    state = r.run(folder)
+    (path, found), = state["golden"].items()
+    assert path.endswith("v12.xlsx") and (found["rows_match"], found["rows_mismatch"], found["rows_only_in_auto"], found["rows_only_in_golden"]) == (0, 1, 0, 1) and found["columns"]["part_name"] == 1
+    text = "\n".join(x.value for x in spark.read.text(f"{tmp_path}/runs/dry_run/{state['run_id']}/report").collect())
+    assert "match_rate=0.000" in text and "| part_name | 1 |" in text and "| row_preservation | 1.0000 |" in text
+
+
+def test_report():
+    from brindle.plans import report
+
+    total = {k: (1.0 if op == ">=" else 0.0) for k, (op, _) in config.THRESHOLDS.items()} | {"acceptable": True}
+    row = {"source_file": "raw/a.xlsx", "rows_in": 10, "rows_out": 9, "rows_quarantined": 1, "rows_dropped": 0, "drop_reasons": {"qty": 1, "part_name": 3}}
+    diffs = {"raw/a.xlsx": {"match_rate": 0.9, "rows_match": 9, "rows_mismatch": 1, "rows_only_in_auto": 0, "rows_only_in_golden": 0, "columns": {f"c{i}": i for i in range(1, 8)}}}
+    text = report.markdown("run_x", [{"file_path": "raw/a.xlsx", "form_version": "96col", "status": "ok"}], total, [row], diffs)
+    assert "match_rate=0.900" in text and text.index("part_name") < text.index("| qty | 1 |") and "| c7 | 7 |" in text and "c2 " not in text and "passes the gate" in text
+
+
+def test_lost_rows_fail_the_gate(spark):
+    schema = "source_file string, base_part_no string, _quarantine_reason string"
+    rows = spark.createDataFrame([("a", "AB1234567", None)] * 9 + [("b", "AB1234567", "x: y")], schema)
+    raw = spark.createDataFrame([("a", 10), ("b", 1), ("c", 5)], "source_file string, rows_in long")
+    by = {r.source_file: r for r in validate.gate(validate.report(rows, ["source_file"], raw)).collect()}
+    assert (by["a"].row_preservation, by["a"].rows_dropped, by["b"].rows_dropped, by["b"].axiom_violation_rate) == (0.9, 1, 0, 1.0)
+    assert (by["c"].rows_in, by["c"].rows_out, by["c"].rows_dropped, by["c"].row_preservation) == (5, 0, 5, 0.0) and "row_preservation" in by["c"].critical_failures
+    total = validate.gate(validate.report(rows, raw=raw)).first()
+    assert (total.rows_in, total.rows_dropped, total.row_preservation) == (16, 6, 0.625) and "row_preservation" in total.critical_failures
+    assert {tuple(r) for r in validate.top_reasons(rows, ["source_file"]).collect()} == {("b", "x", 1)}
+
+
+def test_reprocess(spark, tmp_path):
+    schema = "base_part_no string, part_name string, qty double"
+    rows = spark.createDataFrame([("ab-1234567", "ok now", 1.0, "part_name: x"), ("123", "still", 2.0, "base_part_no: post_validate: part_no")], schema + ", _quarantine_reason string")
+    quarantine.save(quarantine.extract(rows, "run_1", F.lit("f.xlsx"), F.lit(1)), f"{tmp_path}/quarantine")
+    r = runs.Runs(spark, str(tmp_path))
+    got = r.reprocess("run_1", schema)
+    assert (got["now_pass"], got["still_fail"]) == (1, 1) and r.state(got["run_id"])["mode"] == "reprocess"
+    with pytest.raises(ValueError):
+        r.commit(got["run_id"])
+    assert r.rows(got["run_id"]).first().base_part_no == "AB1234567"
+
+
+def test_warehouse_pointer_and_embeddings(spark, tmp_path):
+    rows = spark.createDataFrame([("f", 1, "AB1234567", None, "n", 1, "t", "New", "heat shield", None, "96col", "WSED7667M.ABMQEUR", None), ("f", 2, "AB1234568", None, "n", 1, "t", "New", None, None, "96col", "WSED7667M.ABMQEUR", None)], "source_file string, row_index int, base_part_no string, new_part_no string, part_name string, bom_level int, part_type string, change_type string, change_point string, change_reason string, form_version string, model_code string, _quarantine_reason string")
+    w = warehouse.Warehouse(spark, str(tmp_path))
+    w.load(rows, "r1", search.hashed_vectors)
+    assert {len(r.change_point_embedding) for r in w.table("change_events").collect()} == {search.DIM}
+    # a load that breaks before its ledger row is not seen
+    (mark, w._mark) = (w._mark, lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        w.load(rows.withColumn("part_name", F.lit("half")), "r2")
+    w._mark = mark
+    assert w.table("change_events").count() == 2 and {r.part_name for r in w.table("parts").collect()} == {"n"} and w.runs().count() == 1
+    w.load(rows.withColumn("part_name", F.lit("new")), "r2")
+    assert {r.part_name for r in w.table("parts").collect()} == {"new"} and w.table("change_events").count() == 4
+    assert w.table("change_events").where("run_id = 'r2' and change_point_embedding is null").count() == 2
+    assert w.update_embeddings("r2") == 2 and w.table("change_events").where("change_point_embedding is null").count() == 0
+    assert [r.k for r in w.not_loaded(spark.createDataFrame([("r1", 1), ("r9", 2)], "run_id string, k int")).collect()] == [2]
+    w.rollback("r1")
+    assert w.table("change_events").count() == 2
+
+
+def test_loaders(tmp_path):
+    import json
+
+    from brindle.plans import schema
+
+    (tmp_path / "s.yaml").write_text("versions:\n  a: {threshold: 0.5, signals: [{type: sheet_exists, name: H, weight: 0.4}, {type: col_count_range, range: [1, 2], weight: 0.6}]}\n  b: {signals: [{type: stage_row, markers: [CP, PP], weight: 1}]}\n", encoding="utf-8")
+    signals, bounds = config.load_signatures(str(tmp_path / "s.yaml"))
+    assert signals == {"a": [("sheet_exists", "H", 0.4), ("col_count_range", (1, 2), 0.6)], "b": [("stage_row", ["CP", "PP"], 1.0)]} and bounds == {"a": 0.5, "b": 0.7}
+    (tmp_path / "n.yaml").write_text("fields:\n  qty:\n    steps: [strip, {type: cast, to: float}]\n    on_fail: set_null\n", encoding="utf-8")
+    assert config.load_normalization(str(tmp_path / "n.yaml")) == {"qty": {"steps": [{"type": "strip"}, {"type": "cast", "to": "float"}], "on_fail": "set_null"}}
+    (tmp_path / "a.yaml").write_text("grade: {allowed: [A, B], aliases: {a: A}, description: x}\nbom_level: {min: 0, max: 10}\n", encoding="utf-8")
+    assert config.load_axioms(str(tmp_path / "a.yaml")) == {"grade": {"allowed": ("A", "B"), "aliases": {"a": "A"}}, "bom_level": {"min": 0, "max": 10}}
+    schema.export(str(tmp_path / "x.json"))
+    found = json.loads((tmp_path / "x.json").read_text(encoding="utf-8"))
+    assert set(config.REQUIRED) <= set(found["required"]) and found["properties"]["bom_level"] == {"type": "integer", "minimum": 0, "maximum": 10} and found["properties"]["qty"] == {"anyOf": [{"type": "number"}, {"type": "null"}]}
+    assert found["properties"]["mold"]["properties"]["cavity"]["anyOf"][0] == {"type": "integer"}
+
+
+def test_diff_of_repeated_and_null_keys(spark):
+    rng = random.Random(5)
+    row = lambda: (rng.choice([None, "a", "b", "c"]), rng.choice(["1", "1.0", " x", "x", None]), rng.choice(["p", "q "]))
+    sides = [[row() for _ in range(30)] + [(k, "1", "p")] for k in ("left", "right")]
+    auto, golden = (spark.createDataFrame(s, "k string, v string, w string") for s in sides)
+    form = lambda v: None if v is None else float(v) if v.strip().replace(".", "").isdigit() else v.strip()
+    pairs = [(x, y) for x in sides[0] for y in sides[1] if x[0] == y[0]]
+    wrong = [[c for c, i in (("v", 1), ("w", 2)) if form(x[i]) != form(y[i])] for x, y in pairs]
+    got = diff.counts(auto, golden, "k").first()
+    assert (got.rows_match, got.rows_mismatch, got.rows_only_in_auto, got.rows_only_in_golden) == (sum(not w for w in wrong), sum(map(bool, wrong)), 1, 1)
+    assert {r["column"]: r.n for r in diff.column_mismatches(auto, golden, "k").collect()} == {c: n for c in "vw" if (n := sum(c in w for w in wrong))}
+    some = diff.samples(auto, golden, "k", 5).collect()
+    assert len(some) == 5 and all(r.k is None and r.wrong for r in some)
+
+
 def test_upsert(spark):
     s = "k string, v string, run_id string"
     got = warehouse.upserted(spark.createDataFrame([("a", "1", "r1"), ("b", "2", "r1")], s), spark.createDataFrame([("a", None, "r2"), ("c", "3", "r2")], s), ["k"])
