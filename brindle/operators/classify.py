@@ -71,8 +71,9 @@ def decide(features: DataFrame, signals: dict[str, list] | None = None, threshol
 
 
 def classify(cells: DataFrame, signals: dict[str, list] | None = None, threshold: float | dict[str, float] = config.FORM_THRESHOLD) -> DataFrame:
-    """A row a file. ``signals`` and ``threshold`` (by form, or one) as ``config.load_signatures`` gives them. Where the file as a whole is unknown, its known sheets vote; the first sheet decides among equals, and
-    the confidence is the best of all sheets."""
+    """A row a file. ``signals`` and ``threshold`` (by form, or one) as ``config.load_signatures`` gives them. Where the
+    file as a whole is unknown, its known sheets vote; the first sheet decides among equals, and the confidence is the
+    best of all sheets."""
     sheets = sheet_features(cells)
     by_sheet = decide(sheets.select("file_path", "sheet_idx", "sheet_name", "sheets", "max_col", "cells"), signals, threshold, whole_file=False)
     by_file = decide(file_features(sheets), signals, threshold)

@@ -233,18 +233,15 @@ def union_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.unionByName(r, allowMissingColumns=True)
 
 
-@query("""SELECT part_no, source, role FROM (SELECT part_no, source, role, row_number() OVER (PARTITION BY part_no ORDER BY source, role) AS n FROM (
-  SELECT l_partkey AS part_no, l_orderkey * 10 + l_linenumber AS source, 0 AS role FROM lineitem UNION ALL SELECT l_suppkey, l_orderkey * 10 + l_linenumber, 1 FROM lineitem)) WHERE n = 1""")
+@query("""SELECT part_no, min(source) AS source FROM (SELECT CAST(l_partkey AS VARCHAR) AS part_no, l_orderkey * 10 + l_linenumber AS source FROM lineitem UNION ALL SELECT CAST(l_suppkey AS VARCHAR), l_orderkey * 10 + l_linenumber FROM lineitem) GROUP BY 1""")
 def parts_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base and new parts, unpivoted; the first appearance by a pre-aggregated minimum instead of a window."""
-    rows = read(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("source"), F.explode(F.array(F.struct(F.lit(0).alias("role"), F.col("l_partkey").alias("part_no")), F.struct(F.lit(1).alias("role"), F.col("l_suppkey").alias("part_no")))).alias("p"))
-    first = rows.groupBy(F.col("p.part_no").alias("part_no")).agg(F.min(F.struct("source", "p.role")).alias("f"))
-    return first.select("part_no", "f.source", "f.role")
-
+    """Base and new parts with attributes of their first appearance."""
+    from brindle.plans import warehouse
 
-@query("SELECT DISTINCT p_brand AS model_code, p_type FROM part")
-def models_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").select(F.col("p_brand").alias("model_code"), "p_type").dropDuplicates()
+    source = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    rows = read(spark, sf_dir, "lineitem").select(F.lit("lineitem").alias("source_file"), source.alias("row_index"), F.col("l_partkey").cast("string").alias("base_part_no"), F.col("l_suppkey").cast("string").alias("new_part_no"), source.cast("string").alias("part_name"), none("part_type", "string"), none("bom_level", "int"), none("form_version", "string"))
+    return warehouse.parts(rows, "run").select("part_no", F.col("part_name").cast("long").alias("source"))
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'B-' || c_name ELSE c_name END AS c_name, CASE WHEN c_custkey % 3 = 0 THEN 'run_b' ELSE 'run_a' END AS run_id FROM customer")
@@ -256,19 +253,6 @@ def upsert_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.upserted(c, later, ["c_custkey"])
 
 
-@query("SELECT 'run_' || CAST(user_id % 3 AS VARCHAR) AS run_id, count(*) AS change_events, count(DISTINCT event_type) AS kinds FROM events WHERE user_id % 3 <> 1 GROUP BY 1")
-def run_counts_after_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").withColumn("run_id", F.concat(F.lit("run_"), (F.col("user_id") % 3).cast("string")))
-    return e.where("run_id != 'run_1'").groupBy("run_id").agg(F.count("*").alias("change_events"), F.count_distinct("event_type").alias("kinds"))
-
-
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type FROM events")
-def change_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events")
-    raw = F.to_json(F.struct("event_type", "props"), {"ignoreNullFields": "false"})
-    return e.select("event_id", raw.alias("raw")).select("event_id", F.get_json_object(F.get_json_object("raw", "$.props"), "$.k").cast("long").alias("k"), F.get_json_object("raw", "$.event_type").alias("event_type"))
-
-
 SEMANTIC_SQL = "SELECT e.vec_id, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS s FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q ORDER BY s DESC, vec_id LIMIT 50"
 
 
@@ -285,7 +269,7 @@ def semantic_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
 TRIGRAMS = "list_distinct(flatten([[substring('  ' || w || ' ', i, 3) FOR i IN generate_series(1, length(w) + 1)] FOR w IN regexp_extract_all(lower({0}), '([\\p{{L}}\\p{{N}}]+)', 1)]))"
 
 
-@query(f"""WITH x AS (SELECT doc_id, {TRIGRAMS.format("left(text, 200)")} AS a, {TRIGRAMS.format("'the thing and other words of that'")} AS b FROM documents),
+@query(f"""WITH x AS (SELECT doc_id, {TRIGRAMS.format("text")} AS a, {TRIGRAMS.format("'the thing and other words of that'")} AS b FROM documents),
 s AS (SELECT doc_id, len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))) AS v FROM x)
 SELECT doc_id, round(v, 6) AS lexical FROM s WHERE v >= 0.1 ORDER BY v DESC, doc_id LIMIT 50""")
 def lexical_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,7 +278,7 @@ def lexical_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.round("lexical", 6).alias("lexical"))
 
 
-@query(f"""WITH x AS (SELECT doc_id, {TRIGRAMS.format("left(text, 200)")} AS a, {TRIGRAMS.format("'the thing and other words of that in the'")} AS b FROM documents JOIN embeddings ON doc_id = vec_id),
+@query(f"""WITH x AS (SELECT doc_id, {TRIGRAMS.format("text")} AS a, {TRIGRAMS.format("'the thing and other words of that in the'")} AS b FROM documents JOIN embeddings ON doc_id = vec_id),
 l AS (SELECT doc_id, len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))) AS v FROM x WHERE len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))) >= 0.3 ORDER BY v DESC, doc_id LIMIT 50),
 s AS ({SEMANTIC_SQL.replace("FROM embeddings e,", "FROM (SELECT embeddings.* FROM embeddings JOIN documents ON doc_id = vec_id) e,")})
 SELECT coalesce(l.doc_id, s.vec_id) AS doc_id, round(0.7 * coalesce(s.s, 0) + 0.3 * coalesce(l.v, 0), 6) AS score FROM l FULL JOIN s ON l.doc_id = s.vec_id ORDER BY 0.7 * coalesce(s.s, 0) + 0.3 * coalesce(l.v, 0) DESC, 1 LIMIT 10""")
@@ -325,11 +309,6 @@ def name_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", classify.name_hints(name).alias("h")).select("p_partkey", "h.*")
 
 
-@query("SELECT conv_id, count(*) AS max_row, max(len(string_split(text, ' '))) AS max_col FROM conversations GROUP BY 1")
-def sheet_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("max_row"), F.max(F.size(F.split("text", " "))).cast("long").alias("max_col"))
-
-
 @query("SELECT lang, source, count(*) AS n, count(DISTINCT text) AS texts FROM documents GROUP BY 1, 2")
 def inventory_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"), F.count_distinct("text").alias("texts"))
@@ -339,12 +318,3 @@ def inventory_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def top_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A top-k report."""
     return validate.drop_reasons(processed(spark, sf_dir)).orderBy(F.desc("n"), "reason").limit(2)
-
-
-@query("SELECT c_custkey, c_name, run_id FROM (SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN 'a' ELSE 'b' END AS run_id FROM customer) WHERE run_id NOT IN ('b')")
-def not_yet_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of runs that the ledger lacks: an anti join with a few rows."""
-    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", F.when(F.col("c_custkey") % 2 == 0, "a").otherwise("b").alias("run_id"))
-    return c.join(F.broadcast(spark.createDataFrame([("b",)], "run_id string")), "run_id", "left_anti").select("c_custkey", "c_name", "run_id")
-
-
