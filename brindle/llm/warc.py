@@ -51,7 +51,7 @@ def write_archive(df: DataFrame, payload_col: str = "html", id_col: str = "page_
     slim = common.staged(rows.select("page_id", "uri", "sha256", "n", "pick", F.sha1("payload").alias("sha1_hex")), "warc-slim")
     # one row a payload, by partial maxima before the shuffle; payloads themselves are not dealt by digest
     store = slim.groupBy("sha256", "n").agg(F.max("pick").alias("pick"), F.count("*").alias("n_refs"))
-    store = store.withColumn("salts", F.ceil(F.col("n_refs") / FANOUT).cast("int"))
+    store = common.staged(store.withColumn("salts", F.ceil(F.col("n_refs") / FANOUT).cast("int")), "warc-store")  # so that the join below may split the rows of one payload
     joined = slim.join(store.select("sha256", F.col("pick").alias("best"), "salts"), "sha256")
     response = F.col("pick") == F.col("best")
     digest = base32_of_hex(F.col("sha1_hex"))
@@ -121,7 +121,8 @@ def split_warc(content: bytes) -> list[bytes]:
 
 
 def read_warc_files(spark, path: str) -> DataFrame:
-    """Records of uncompressed or gzip WARC files through Spark's ``binaryFile`` reader: (path, position, record)."""
+    """Records of uncompressed or gzip WARC files through Spark's ``binaryFile`` reader: (path, position, record), in the
+    files' order from 0. Equal records, within a file or across files, are rows of their own; an empty file has none."""
     import gzip
 
     schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("records", T.ArrayType(T.BinaryType()))])
