@@ -11,6 +11,8 @@ from xml.etree import ElementTree
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brindle.sources import xls
+
 SUFFIXES = (".xlsx", ".xlsm", ".xls")
 CELLS = "file_path string, sheet_idx int, sheet_name string, row_idx int, cells array<string>, error string"
 #: Namespaces of the format.
@@ -31,7 +33,7 @@ def column_of(ref: str) -> int:
 def read_workbook(content: bytes) -> Iterator[tuple[int, str, int, list[str | None]]]:
     """(sheet index, sheet name, row from 1, cells) of every sheet. Values as they are cached; of a merged range only the
     first cell has one; empty rows before the first with a value are left out and rows counted from there. Raises where
-    the content is no workbook of this format (an .xls file, say). Names that a workbook defines are never read, so
+    the content is no workbook of this format. Names that a workbook defines are never read, so
     broken ones do no harm."""
     book = zipfile.ZipFile(io.BytesIO(content))
     names = set(book.namelist())
@@ -58,6 +60,28 @@ def read_workbook(content: bytes) -> Iterator[tuple[int, str, int, list[str | No
                 yield index, sheet.get("name"), number - first + 1, cells
 
 
+def read_old_workbook(content: bytes) -> Iterator[tuple[int, str, int, list[str | None]]]:
+    """The same of a workbook in the old binary format."""
+    for index, (name, rows) in enumerate(xls.sheets(content)):
+        first = None
+        for number, cells in rows:
+            if first is None and not any(v not in (None, "") for v in cells):
+                continue
+            first = first or number
+            yield index, name, number - first + 1, cells
+
+
+def read_any(content: bytes) -> list[tuple[int, str, int, list[str | None]]]:
+    """All sheets by the first reader that can; where none can, the first one's error."""
+    try:
+        return list(read_workbook(content))
+    except Exception as first:  # whatever it stumbles over, the other format is tried
+        try:
+            return list(read_old_workbook(content))
+        except Exception:
+            raise first from None
+
+
 def _value(c: ElementTree.Element, shared: list[str]) -> str | None:
     kind, v = c.get("t"), c.find(f"{_MAIN}v")
     if kind == "inlineStr":
@@ -85,7 +109,7 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
             for path_, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows, error = [], None
                 try:
-                    rows = list(read_workbook(content.as_py()))
+                    rows = read_any(content.as_py())
                 except Exception as e:  # whatever is wrong with one file, the others are read
                     error = f"{type(e).__name__}: {e}"
                 if error or not rows:

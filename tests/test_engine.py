@@ -13,7 +13,7 @@ from brindle import config
 from brindle.functions import text as t
 from brindle.operators import axioms, classify, diff, extract, mapping, normalize, quarantine, resolve, search, validate
 from brindle.plans import runs, warehouse
-from brindle.sources import xlsx
+from brindle.sources import xls, xlsx
 
 
 def letters(i):
@@ -137,6 +137,68 @@ def test_reading(spark, folder):
     assert inventory.select("file_path").distinct().count() == 5 and inventory.where("sheet_name = 'History'").first().guess == "v1.2"
 
 
+def old_workbook(sheets, cut=60):
+    """A workbook of {name: {(row, col): value}} in the old format: shared strings cut into parts, and all kinds of cells."""
+    import struct
+
+    rec = lambda k, b: struct.pack("<HH", k, len(b)) + b
+    strings = sorted({v for s in sheets.values() for v in s.values() if isinstance(v, str)})
+    flat, parts = struct.pack("<II", len(strings), len(strings)), []
+    for x in strings:
+        wide = any(ord(c) > 255 for c in x)
+        head, signs = struct.pack("<HB", len(x), wide), x
+        if len(flat) + 3 > cut:
+            parts, flat = [*parts, flat], b""
+        flat += head
+        while signs:
+            n = max(0, (cut - len(flat)) // (1 + wide))
+            flat += signs[:n].encode("utf-16-le" if wide else "latin-1")
+            signs = signs[n:]
+            if signs:
+                parts, flat = [*parts, flat], bytes([wide])
+    table = b"".join(rec(0xFC if i == 0 else 0x3C, p) for i, p in enumerate([*parts, flat]))
+    bodies = []
+    for s in sheets.values():
+        out = rec(0x809, bytes(16))
+        for (r, c), v in sorted(s.items()):
+            at = struct.pack("<HHH", r, c, 0)
+            if isinstance(v, bool):
+                out += rec(0x205, at + bytes([v, 0]))
+            elif isinstance(v, str):
+                out += rec(0xFD, at + struct.pack("<I", strings.index(v)))
+            elif isinstance(v, bytes):  # a formula with a text
+                out += rec(0x06, at + b"\0" * 6 + b"\xff\xff" + bytes(8)) + rec(0x207, struct.pack("<HB", len(v), 0) + v)
+            elif isinstance(v, list):
+                out += rec(0xBD, at[:4] + b"".join(struct.pack("<HI", 0, (x & 0x3FFFFFFF) << 2 | 2) for x in v) + struct.pack("<H", c + len(v) - 1))
+            elif isinstance(v, int):
+                out += rec(0x27E, at + struct.pack("<I", (v * 100 & 0x3FFFFFFF) << 2 | 3))
+            else:
+                out += rec(0x203, at + struct.pack("<d", v))
+        bodies.append(out + rec(0x0A, b""))
+    names = [n.encode("utf-16-le") for n in sheets]
+    size = lambda n: 4 + 8 + len(n)
+    start = 20 + sum(map(size, names)) + len(table) + 4
+    places = [start + sum(map(len, bodies[:i])) for i in range(len(bodies))]
+    book = rec(0x809, bytes(16)) + b"".join(rec(0x85, struct.pack("<IHBB", at, 0, len(n) // 2, 1) + n) for at, n in zip(places, names)) + table + rec(0x0A, b"") + b"".join(bodies)
+    book = book.ljust(4096, b"\0")
+    n = -(-len(book) // 512)
+    entry = lambda name, kind, first, size: name.encode("utf-16-le").ljust(64, b"\0") + struct.pack("<HBB", 2 * len(name) + 2, kind, 1) + b"\xff" * 12 + bytes(36) + struct.pack("<IQ", first, size)
+    folder = (entry("Root Entry", 5, 0xFFFFFFFE, 0) + entry("Workbook", 2, 2, len(book))).ljust(512, b"\0")
+    fat = [0xFFFFFFFD, 0xFFFFFFFE, *range(3, n + 2), 0xFFFFFFFE]
+    head = xls.SIGNATURE + bytes(16) + struct.pack("<HHHHH", 62, 3, 0xFFFE, 9, 6) + bytes(6) + struct.pack("<9I", 0, 1, 1, 0, 4096, 0xFFFFFFFE, 0, 0xFFFFFFFE, 0) + struct.pack("<109I", 0, *[0xFFFFFFFF] * 108)
+    return head + struct.pack("<128I", *fat, *[0xFFFFFFFF] * (128 - len(fat))) + folder + book.ljust(512 * n, b"\0")
+
+
+def test_old_workbook(spark, tmp_path):
+    book = old_workbook({"Better-1": {(2, 0): "Base P/No", (2, 1): "부품명", (2, 2): "Qty", (3, 0): "AB1234567", (3, 1): "x" * 150, (3, 2): 2.5, (4, 0): b"cached", (4, 1): True, (4, 2): -7, (5, 0): [1, -2, 3]}, "둘": {(0, 0): "é", (0, 3): 1e20}})
+    got = xlsx.read_any(book)
+    assert got == [(0, "Better-1", 1, ["Base P/No", "부품명", "Qty"]), (0, "Better-1", 2, ["AB1234567", "x" * 150, "2.5"]), (0, "Better-1", 3, ["cached", "True", "-7"]), (0, "Better-1", 4, ["1", "-2", "3"]), (1, "둘", 1, ["é", None, None, "1e+20"])]
+    (tmp_path / "a.xls").write_bytes(book)
+    (tmp_path / "b.xls").write_bytes(book[:600])
+    rows = xlsx.read_cells(spark, str(tmp_path)).collect()
+    assert sum(r.error is not None for r in rows) == 1 and sum(r.sheet_name == "Better-1" for r in rows) == 4
+
+
 def test_merged_and_meta(spark):
     rows = [["Base P/No", "Part Name", "Qty"], ["AB1234567", "Bracket", 2], ["AB1234568", "Other", 1], ["AB1234569", None, 1]]
     got = list(xlsx.read_workbook(workbook({"Better-1": rows})))
