@@ -216,7 +216,7 @@ class Merges(dict):
     is a token stays whole; with ``pairs`` only the listed ones merge, in their order.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pairs: dict[tuple[bytes, bytes], int] | None = None, limit: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pairs: dict[tuple[bytes, bytes], int] | None = None, limit: int = 200_000):
         super().__init__()
         self.ranks, self.pairs, self.limit = ranks, pairs, limit
         self.tokens = {i: b for b, i in ranks.items()}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -61,6 +63,13 @@ def bound_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
         spark.conf.set(key, f"{limit}b")
 
 
+def trim() -> None:
+    """Give memory that a task no longer needs back to the system: workers live on, and stages follow one another."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: T.StructType) -> DataFrame:
     """``mapInArrow`` with a function of one batch; empty results are left out."""
     bound_batches(df.sparkSession)
@@ -69,6 +78,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
         for batch in batches:
             if batch.num_rows and (out := fn(batch)) is not None:
                 yield out
+        trim()
 
     return df.mapInArrow(run, schema)
 

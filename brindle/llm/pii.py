@@ -315,5 +315,7 @@ def redacted(df: DataFrame, text_col: str = "text", length_col: str = "n_chars")
                 old = batch.column(k).to_pylist()
                 columns[k] = pa.array([len(t) if t is not None and t != b.as_py() else o for t, b, o in zip(texts, batch.column(names.index(text_col)), old)], batch.schema.field(length_col).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+        common.trim()
 
+    common.bound_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)

@@ -219,6 +219,7 @@ def _sorted(pieces: DataFrame, cell: int) -> DataFrame:
                 size += len(row[5]) + 1
                 last = row[0]
         yield from judged(rows)
+        common.trim()
 
     def judged(rows):
         if not rows:
