@@ -1,8 +1,9 @@
 """Step pipelines compiled to columns: value, reason, steps applied.
 
-Linear form: the value is a chain of expressions; whether a step fails is an expression on the value before it, and the
-reason is one CASE over those. A failed step under ``quarantine`` keeps the value as it was; ``truncate`` shortens or
-clamps; ``set_null`` ends with null. Failing validation after the steps is always a reason.
+All columns take their steps side by side: a round is one projection that has the next value of each column, whether it
+has failed, and the step's name. So expressions stay small however many steps a rule has, and what needs Python goes there
+in one batch. A failed step under ``quarantine`` keeps the value as it was; ``truncate`` shortens or clamps; ``set_null``
+ends with null. Failing validation after the steps is always a reason.
 """
 
 from __future__ import annotations
@@ -82,51 +83,64 @@ def _(c: Column, spec: dict) -> tuple:
     return value, value.isNull(), F.lit("unknown value"), None
 
 
+def _round(column: str, spec: dict[str, Any], on_fail: str, stated: bool, label: str) -> dict[str, Column]:
+    """The columns of a column's next state, and whether it has a failed state then. ``stated``: it has one now."""
+    name, now = spec["type"], F.col(f"_v_{column}")
+    failed = F.col(f"_failed_{column}") if stated else F.lit(False)
+    value, bad, error, repaired = STEPS[name](now, spec)
+    if bad is None:
+        return {label: F.when(~failed & now.isNotNull(), F.lit(name)), f"_v_{column}": value}
+    bad = F.coalesce(bad, F.lit(False)) & now.isNotNull()
+    if on_fail == "set_null" or on_fail == "truncate" and repaired is not None:
+        taken = F.when(now.isNotNull(), F.when(bad, F.lit(f"{name}({on_fail})")).otherwise(F.lit(name)))
+        return {label: taken, f"_v_{column}": F.when(~bad, value) if on_fail == "set_null" else F.when(bad, repaired).otherwise(value)}
+    fresh, told = bad & ~failed, F.concat(F.lit(f"{name}: "), error)
+    return {
+        label: F.when(~failed & ~bad & now.isNotNull(), F.lit(name)),
+        f"_reason_{column}": F.coalesce(F.col(f"_reason_{column}"), F.when(fresh, told)) if stated else F.when(fresh, told),
+        f"_kept_{column}": F.when(fresh, now.cast("string")).otherwise(F.col(f"_kept_{column}")) if stated else F.when(fresh, now.cast("string")),
+        f"_failed_{column}": failed | bad,
+        f"_v_{column}": F.when(~(failed | bad), value) if name in ("cast", "map_alias") else value,
+    }
+
+
+def normalize_fields(df: DataFrame, rules: dict[str, dict[str, Any]]) -> DataFrame:
+    """``df`` with the columns of ``rules`` normalised, and ``_reason_``, ``_steps_`` and ``_before_<column>`` added."""
+    steps = {c: list(map(config.step, rule["steps"])) for c, rule in rules.items()}
+    if unknown := [s["type"] for some in steps.values() for s in some if s["type"] not in STEPS]:
+        raise ValueError(f"unknown step {unknown[0]!r}")
+    names = df.columns
+    first = {c: F.when(~t.nullish(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in rules}
+    df = df.withColumns({f"_v_{c}": v for c, v in first.items()} | {f"_before_{c}": v.cast("string") for c, v in first.items()})
+    labels: dict[str, list[str]] = {c: [] for c in rules}
+    stated: set[str] = set()
+    for r in range(max(map(len, steps.values()), default=0)):
+        new: dict[str, Column] = {}
+        for c, rule in rules.items():
+            if r < len(steps[c]):
+                labels[c].append(f"_step{r}_{c}")
+                new |= _round(c, steps[c][r], rule.get("on_fail", "quarantine"), c in stated, labels[c][-1])
+        df = df.withColumns(new)
+        stated |= {c for c in rules if f"_failed_{c}" in new}
+    out: dict[str, Column] = {}
+    extra: dict[str, Column] = {}
+    for c, rule in rules.items():
+        now = F.col(f"_v_{c}")
+        reason = F.col(f"_reason_{c}") if c in stated else F.lit(None).cast("string")
+        if rule.get("post_validate"):
+            valid = axioms.VALIDATORS[rule["post_validate"]](now)
+            reason = F.coalesce(reason, F.when(now.isNotNull() & ~valid, F.lit(f"post_validate: {rule['post_validate']}")))
+        # a string column keeps the value at the failing step; a number that is none becomes null
+        numeric = any(s.get("to") in ("int", "float") for s in steps[c])
+        text = now.cast("string")
+        out[c] = now if numeric else F.when(F.col(f"_failed_{c}"), F.col(f"_kept_{c}")).otherwise(text) if c in stated else text
+        extra |= {f"_reason_{c}": reason, f"_steps_{c}": F.array_compact(F.array(*map(F.col, labels[c]))) if labels[c] else F.array().cast("array<string>"), f"_before_{c}": F.col(f"_before_{c}")}
+    return df.select(*((out[c] if c in out else F.col(f"`{c}`")).alias(c) for c in names), *(v.alias(c) for c, v in extra.items()))
+
+
 def normalize_field(df: DataFrame, column: str, rule: dict[str, Any]) -> DataFrame:
-    """``df`` with ``column`` normalised, and ``_reason_<column>`` and ``_steps_<column>`` added."""
-    on_fail, raw = rule.get("on_fail", "quarantine"), F.col(f"`{column}`")
-    value: Column = F.when(~t.nullish(raw), raw)
-    current, failed = value, F.lit(False)
-    reason: Column = F.lit(None).cast("string")
-    steps: list[Column] = []
-    kept: Column = F.lit(None)
-    for spec in map(config.step, rule["steps"]):
-        if spec["type"] not in STEPS:
-            raise ValueError(f"unknown step {spec['type']!r}")
-        name = spec["type"]
-        if name == "unicode_normalize":  # a Python result is bound once, then used by name
-            df = df.withColumn("_value", current).withColumn("_value", STEPS[name](F.col("_value"), spec)[0])
-            current = F.col("_value")
-            steps.append(F.when(~failed & value.isNotNull(), F.lit(name)))
-            continue
-        new, bad, error, repaired = STEPS[name](current, spec)
-        if bad is None:
-            steps.append(F.when(~failed & current.isNotNull(), F.lit(name)))
-            current = new
-            continue
-        bad = F.coalesce(bad, F.lit(False)) & current.isNotNull()
-        if on_fail == "truncate" and repaired is not None:
-            steps.append(F.when(current.isNotNull(), F.when(bad, F.lit(f"{name}(truncate)")).otherwise(F.lit(name))))
-            current = F.when(bad, repaired).otherwise(new)
-        elif on_fail == "set_null":
-            steps.append(F.when(current.isNotNull(), F.when(bad, F.lit(f"{name}(set_null)")).otherwise(F.lit(name))))
-            current = F.when(~bad, new)
-        else:
-            fresh = bad & ~failed
-            reason = F.coalesce(reason, F.when(fresh, F.concat(F.lit(f"{name}: "), error)))
-            kept = F.when(fresh, current.cast("string")).otherwise(kept.cast("string"))
-            steps.append(F.when(~failed & ~bad & current.isNotNull(), F.lit(name)))
-            failed = failed | bad
-            current = F.when(~failed, new) if name in ("cast", "map_alias") else new
-    if rule.get("post_validate"):
-        valid = axioms.VALIDATORS[rule["post_validate"]](current)
-        reason = F.coalesce(reason, F.when(current.isNotNull() & ~valid, F.lit(f"post_validate: {rule['post_validate']}")))
-    numeric = any(config.step(s).get("to") in ("int", "float") for s in rule["steps"])
-    # a string column keeps the value at the failing step; a number that is none becomes null
-    final = current if numeric else F.when(failed, kept.cast("string")).otherwise(current.cast("string"))
-    out = df.withColumns({f"_reason_{column}": reason, f"_steps_{column}": F.array_compact(F.array(*steps)), "_new": final, "_had": value.isNotNull()})
-    out = out.withColumn(f"_before_{column}", F.when(F.col("_had"), F.col(f"`{column}`").cast("string")))
-    return out.withColumn(column, F.col("_new")).drop("_new", "_had", "_value")
+    """``normalize_fields`` of one column."""
+    return normalize_fields(df, {column: rule})
 
 
 def normalize(df: DataFrame, rules: dict[str, dict[str, Any]] | None = None) -> DataFrame:
@@ -134,8 +148,7 @@ def normalize(df: DataFrame, rules: dict[str, dict[str, Any]] | None = None) ->
     Keeps ``_reason_*``, ``_steps_*`` and ``_before_*`` for ``audit``; ``drop_working`` removes them."""
     rules = rules or config.NORMALIZATION
     done = [c for c in df.columns if config.ROUTES.get(c) in rules]
-    for c in done:
-        df = normalize_field(df, c, rules[config.ROUTES[c]])
+    df = normalize_fields(df, {c: rules[config.ROUTES[c]] for c in done})
     found = [F.concat(F.lit(f"{c}: "), F.col(f"_reason_{c}")) for c in done]
     before = [F.col("_quarantine_reason")] if "_quarantine_reason" in df.columns else []
     df = df.withColumn("_quarantine_reason", F.nullif(F.concat_ws(";", *before, *found), F.lit("")))
