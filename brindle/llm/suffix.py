@@ -33,6 +33,8 @@ from brindle.llm import bwt, common
 from brindle.llm.minhash import mixed
 
 LENGTH, GRAM, CELL, FINE = 400, 100, 32, 2
+#: Length and gram for shorter passages: 50 words of prose have about 300 bytes, and 240 or more in 95 of 100 cases.
+PASSAGE, PASSAGE_GRAM = 240, 64
 #: Strings of a group up to which it is sorted as it is; larger groups are cut into cells of ``FINE`` windows first.
 HOT = 4096
 #: Symbols that are sorted together, about, and the bytes of an array from which on it lives in a file.
@@ -148,25 +150,25 @@ def _lists(batch, k: int) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(offsets, offsets[1:])]
 
 
-def _find_anchors(batch):
+def _find_anchors(batch, length: int, gram: int):
     out: list[list] = [[] for _ in range(7)]
     for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-        found = anchors(_bytes(text.as_py()))
+        found = anchors(_bytes(text.as_py()), length, gram)
         for c, v in zip(out, (np.full(len(found[0]), d, np.int64), *found)):
             c.append(v)
     return common.batch(_fields("d", "key", "w1", "w2", "at", "first", "last"), [np.concatenate(c) for c in out])
 
 
-def _find_cells(batch):
+def _find_cells(batch, length: int):
     numbers: list[list] = [[] for _ in range(8)]
     sides: list[bytes] = []
     for d, text, at, first, last, open_ in zip(batch.column(0).to_pylist(), batch.column(1), *(_lists(batch, k) for k in (2, 3, 4, 5))):
         raw = _bytes(text.as_py())
-        which, inner, o1, o2, a, b, e = cells(raw, at, first, last)
+        which, inner, o1, o2, a, b, e = cells(raw, at, first, last, length)
         for c, v in zip(numbers, (inner, o1, o2, np.full(len(a), d, np.int64), a, b, e, open_[which])):
             c.append(v)
         whole = raw.tobytes()
-        sides += [whole[x:z] + whole[z + LENGTH - CELL + 1 : y + LENGTH] for x, y, z in zip(a.tolist(), b.tolist(), e.tolist())]
+        sides += [whole[x:z] + whole[z + length - CELL + 1 : y + length] for x, y, z in zip(a.tolist(), b.tolist(), e.tolist())]
     return common.batch(PIECE, [*(np.concatenate(c) for c in numbers), sides])
 
 
@@ -244,9 +246,9 @@ def _sorted(pieces: DataFrame, cell: int) -> DataFrame:
     return grouped.mapInArrow(sort, _fields("d", "a", "b"))
 
 
-def windows(texts: DataFrame) -> DataFrame:
-    """Of distinct texts (d, text): rows (d, a, b), runs of starts of windows that also start elsewhere."""
-    found = common.staged(common.map_batches(texts.where(F.octet_length("text") >= LENGTH), _find_anchors, _fields("d", "key", "w1", "w2", "at", "first", "last")), "suffix-anchors")
+def windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """Of distinct texts (d, text): rows (d, a, b), runs of starts of windows of ``length`` bytes that also start elsewhere."""
+    found = common.staged(common.map_batches(texts.where(F.octet_length("text") >= length), functools.partial(_find_anchors, length=length, gram=gram), _fields("d", "key", "w1", "w2", "at", "first", "last")), "suffix-anchors")
     twice = common.staged(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "suffix-keys")
     shared = common.staged(found.join(_few(twice), "key"), "suffix-shared")
     common.drop(found, twice)
@@ -255,7 +257,7 @@ def windows(texts: DataFrame) -> DataFrame:
     settled = shared.join(_few(common.staged(kinds.where("n > 1").select(*names), "suffix-settled")), names).select("d", F.col("first").alias("a"), F.col("last").alias("b"))
     keys = common.staged(kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("open")).where("kinds > 1 and open > 0").select("key"), "suffix-open")
     sources = kinds.join(_few(keys), "key").select("d", "at", "first", "last", (F.col("n") == 1).cast("long").alias("open"))
-    split = common.staged(common.map_batches(_with_lists(texts, sources, ["at", "first", "last", "open"]), _find_cells, PIECE), "suffix-cells")
+    split = common.staged(common.map_batches(_with_lists(texts, sources, ["at", "first", "last", "open"]), functools.partial(_find_cells, length=length), PIECE), "suffix-cells")
     doubled, pieces = _decided(split)
     runs = settled.unionAll(doubled).unionAll(_sorted(pieces.where(F.col("group") <= HOT), CELL))
     hot = pieces.where(F.col("group") > HOT)
@@ -290,10 +292,9 @@ def _hashes(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text), F.xxhash64(F.lit(1), text)
 
 
-def removals(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", whole_characters: bool = False) -> tuple[DataFrame, DataFrame, Callable[[Column], Column]]:
-    """Two tables: rows (doc_id, d, n_bytes, sha256, copies) of all rows, and (d, n_removed, spans, kept) of the texts
-    without a copy that lose bytes; kept is what is left, as bytes, with ``whole_characters`` without characters that a
-    passage's end cuts. Third, a function from a text to its name d."""
+def _texts(df: DataFrame, text_col: str, id_col: str) -> tuple[DataFrame, DataFrame, DataFrame, Callable[[Column], Column]]:
+    """Rows (doc_id, d, n_bytes, sha256, copies) of all rows; (d, text) of all rows, and of distinct texts; and a function
+    from a text to its name d."""
     texts = common.ids_and_texts(df, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     texts = texts.withColumns(dict(zip(("t1", "t2"), _hashes(F.col("text")))))
     slim = common.staged(texts.select("doc_id", "t1", "t2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256")), "suffix-slim")
@@ -302,14 +303,21 @@ def removals(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", whol
     many = common.staged(names.where("copies > 1").select(d.alias("d"), "copies", "one"), "suffix-copies")
     texts = texts.withColumn("d", d)
     distinct = texts.join(_few(many), "d", "left").where(F.col("copies").isNull() | F.col("doc_id").eqNullSafe(F.col("one"))).select("d", "text")
-    runs = windows(distinct)
+    lone = texts.join(_few(many), "d", "left_anti").select("d", "text")
+    rows = slim.withColumn("d", d).drop("t1", "t2").join(many.select("d", "copies"), "d", "left")
+    return rows, lone, distinct, lambda text: name(*_hashes(F.coalesce(text.cast("string"), F.lit(""))))
+
+
+def _removed(lone: DataFrame, runs: DataFrame, length: int, whole_characters: bool = False) -> DataFrame:
+    """Written rows (d, n_removed, spans, kept) of the texts without a copy that lose bytes by ``runs`` of windows; kept is
+    what is left, as bytes, with ``whole_characters`` without characters that a passage's end cuts."""
     schema = T.StructType([T.StructField("d", LONG), T.StructField("n_removed", LONG), T.StructField("spans", T.ArrayType(T.ArrayType(LONG))), T.StructField("kept", T.BinaryType())])
 
     def remove(batch):
         out = [[], [], [], []]
         for d, text, a, b in zip(batch.column(0).to_pylist(), batch.column(1), _lists(batch, 2), _lists(batch, 3)):
             raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-            spans = _spans(a, b)
+            spans = _spans(a, b, length)
             kept, at = [], 0
             for x, y in spans:
                 kept.append(raw[at:x])
@@ -322,43 +330,63 @@ def removals(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", whol
                 c.append(v)
         return common.batch(schema, out)
 
-    lone = texts.join(_few(many), "d", "left_anti").select("d", "text")
-    changed = common.map_batches(_with_lists(lone, runs, ["a", "b"]), remove, schema)
-    rows = slim.withColumn("d", d).drop("t1", "t2").join(many.select("d", "copies"), "d", "left")
-    return rows, common.staged(changed, "suffix-changed"), lambda text: name(*_hashes(F.coalesce(text.cast("string"), F.lit(""))))
+    return common.staged(common.map_batches(_with_lists(lone, runs, ["a", "b"]), remove, schema), "suffix-changed")
+
+
+def covered(runs: DataFrame, length: int) -> DataFrame:
+    """Rows (d, n): bytes that the runs' windows cover, overlaps once. A text has fewer runs than bytes."""
+    ordered = runs.groupBy("d").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("runs"))
+    zero = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
+
+    def add(s: Column, r: Column) -> Column:
+        end = r["b"] + length
+        return F.struct(F.greatest(s["end"], end).alias("end"), (s["n"] + F.greatest(F.lit(0).cast("long"), end - F.greatest(s["end"], r["a"]))).alias("n"))
+
+    return ordered.select("d", F.aggregate("runs", zero, add)["n"].alias("n"))
 
 
 def report(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one for each row of ``df``.
+    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_bytes), one for each row of ``df``.
 
+    n_passage_bytes counts the bytes covered by strings of 240 bytes that also start elsewhere: shorter passages, of about
+    50 words, show there and are not removed. Other columns are by strings of 400 bytes.
     Texts are UTF-8; a null text is empty, and empty or short texts lose nothing. Repeated rows are copies of one
     another and lose everything if they have 400 bytes. Null ids stay null. Extra columns of any name are not read; an
     empty table gives no rows.
     """
-    rows, changed, _ = removals(df, text_col, id_col)
-    out = rows.join(changed.select("d", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")), "d", "left")
-    whole = (F.coalesce(F.col("copies"), F.lit(1)) > 1) & (F.col("n_bytes") >= LENGTH)
+    rows, lone, distinct, _ = _texts(df, text_col, id_col)
+    passages = common.staged(covered(windows(distinct, PASSAGE, PASSAGE_GRAM), PASSAGE), "suffix-passages")
+    # a repeated string of LENGTH lies in repeated ones of PASSAGE, and so does the other one, in texts that show it
+    some = _few(common.staged(passages.where(F.col("n") >= LENGTH).select("d"), "suffix-some"))
+    changed = _removed(lone, windows(distinct.join(some, "d", "left_semi")), LENGTH)
+    changed = changed.select("d", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    out = rows.join(changed, "d", "left").join(passages, "d", "left")
+    copied = F.coalesce(F.col("copies"), F.lit(1)) > 1
+    whole = copied & (F.col("n_bytes") >= LENGTH)
+    passage = F.when(copied & (F.col("n_bytes") >= PASSAGE), F.col("n_bytes")).otherwise(F.coalesce("n", F.lit(0)))
     return out.select(
         "doc_id",
         "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(whole, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
+        passage.cast("long").alias("n_passage_bytes"),
     )
 
 
-def cleaned(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", length_col: str = "n_chars") -> DataFrame:
-    """``df`` with repeated passages taken out of the texts. A text of which nothing is left becomes empty, and its row
+def cleaned(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", length_col: str = "n_chars", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """``df`` with repeated passages of ``length`` bytes and more taken out of the texts. A text of which nothing is left becomes empty, and its row
     stays; a character that is cut by a passage's end goes whole. ``length_col``, where there is one, follows. Null
     texts stay null; other columns, whatever their names, and the order of columns stay."""
-    rows, changed, d = removals(df, text_col, id_col, whole_characters=True)
+    rows, lone, distinct, d = _texts(df, text_col, id_col)
+    changed = _removed(lone, windows(distinct, length, gram), length, whole_characters=True)
     gone = rows.where(F.col("copies") > 1).select("d").distinct().select("d", F.lit(b"").alias("kept"))
     changed = common.staged(changed.select("d", "kept").unionAll(gone), "suffix-kept")
     if changed.agg(F.coalesce(F.sum(F.length("kept") + 16), F.lit(0))).first()[0] <= 1 << 24:
         changed = F.broadcast(changed)
     text = F.col(f"x.`{text_col}`").cast("string")
     out = df.alias("x").join(changed.alias("c"), d(text) == F.col("c.d"), "left")
-    hit = F.col("c.kept").isNotNull() & (F.octet_length(text) >= LENGTH)
+    hit = F.col("c.kept").isNotNull() & (F.octet_length(text) >= length)
     left = F.decode(F.col("c.kept"), "UTF-8")
     columns = []
     for c in df.columns:

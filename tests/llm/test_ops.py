@@ -414,15 +414,19 @@ def test_bwt():
 
 def plain_removals(rows):
     texts = [(i, (t or "").encode()) for i, t, *_ in rows]
-    counts = Counter(b[k : k + 400] for _, b in texts for k in range(len(b) - 399))
+    counts, shorter = (Counter(b[k : k + n] for _, b in texts for k in range(len(b) - n + 1)) for n in (400, 240))
     out = Counter()
     for i, b in texts:
+        short = bytearray(len(b))
+        for k in range(len(b) - 239):
+            if shorter[b[k : k + 240]] > 1:
+                short[k : k + 240] = b"\1" * 240
         gone = bytearray(len(b))
         for k in range(len(b) - 399):
             if counts[b[k : k + 400]] > 1:
                 gone[k : k + 400] = b"\1" * 400
         spans = sum(1 for k, g in enumerate(gone) if g and (k == 0 or not gone[k - 1]))
-        out[i, len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()] += 1
+        out[i, len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest(), sum(short)] += 1
     return out
 
 
@@ -431,7 +435,7 @@ def test_suffix(docs, rows, empty, hot, spill, monkeypatch):
     monkeypatch.setattr(suffix, "HOT", hot)
     monkeypatch.setattr(suffix, "SPILL", spill)
     got = suffix.report(docs).collect()
-    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == plain_removals(rows)
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.n_passage_bytes) for r in got) == plain_removals(rows)
     assert suffix.report(empty).count() == 0
     names = ["d", "c", "kept", "_d", "x"]
     clash = docs.drop("d", "node").selectExpr("*", *(f"'{n}' AS {n}" for n in names))
@@ -455,7 +459,7 @@ def test_suffix_planted(spark, hot, monkeypatch):
     texts += [passages[-1][i:] + str(i) for i in range(60)] + ["ab" * 300 + str(i % 7) for i in range(12)]
     rows = [(i, t) for i, t in enumerate(texts)]
     got = suffix.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == plain_removals(rows)
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.n_passage_bytes) for r in got) == plain_removals(rows)
 
 
 def test_suffix_names(spark):
