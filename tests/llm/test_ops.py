@@ -483,6 +483,34 @@ def test_warc(spark):
     assert warc.read_archive(*warc.write_archive(df.limit(0))).count() == 0
 
 
+def test_clashing_columns(spark):
+    """Extra columns that have the operators' own names change nothing."""
+    vectors = [(1, [1.0, 0.0], 0), (2, [1.0, 0.01], 0), (3, [0.0, 1.0], 0), (3, [0.0, 1.0], 0)]
+    plain = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int")
+    names = ["point", "vector", "copies", "cell", "own", "component", "n_links", "i", "j"]
+    clash = plain.selectExpr("*", *(f"'x' AS {n}" for n in names))
+    assert Counter(map(tuple, covertree.links(clash).collect())) == Counter(map(tuple, covertree.links(plain).collect())) == Counter({(1, 1, 1, True): 1, (2, 1, 1, False): 1, (3, 1, 3, True): 2})
+    pages = spark.createDataFrame([(1, "u", "same"), (2, "v", "same"), (3, "w", None)], "page_id long, url string, html string")
+    clash = pages.selectExpr("*", *(f"'x' AS {n}" for n in ("sha256", "payload", "header", "salt", "salts", "pick", "n", "uri", "record")))
+    read = lambda df: Counter((r.page_id, bytes(r.record), bytes(r.payload), r.sha256) for r in warc.read_archive(*warc.write_archive(df)).collect())
+    assert read(clash) == read(pages) and sum(read(clash).values()) == 3
+    texts = spark.createDataFrame([(1, "MIT License", "x"), (None, "x@y.de", "x")], "doc_id long, text string, row string").selectExpr("*", *(f"'x' AS {n}" for n in ("block", "hits", "found", "spans", "rest", "bin", "bucket", "crcs", "media", "frames")))
+    assert {r.labels for r in licenses.scan(texts).collect()} == {"mit", ""} and {r.n_email for r in pii.report(texts).collect()} == {0, 1}
+    assert gif.store_texts(texts).count() == 2 and pack.packed(texts, public_tokenizers.path("byte_bpe_50k.json")).count() == 2
+
+
+def test_warc_files(spark, tmp_path):
+    import gzip
+
+    record = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(record * 2)
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(record))
+    (tmp_path / "c.warc").write_bytes(b"")
+    got = warc.parse_records(warc.read_warc_files(spark, str(tmp_path))).collect()
+    assert sorted((r.path.rsplit("/", 1)[-1], r.position) for r in got) == [("a.warc", 0), ("a.warc", 1), ("b.warc.gz", 0)]
+    assert all(bytes(r.record) == record and bytes(r.block) == b"abc" and r.record_type == "response" for r in got)
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
