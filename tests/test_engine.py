@@ -88,10 +88,31 @@ def test_models(spark):
     assert got == [("WSED7667M", "ABMQ", "EUR"), ("WSED7667M", None, None), ("WSED7667M", "XYZ", None), (None, None, None), (None, None, None), (None, None, None)]
 
 
+def plain_clusters(names, threshold):
+    """Sorted names join the group whose first member is most alike, the first of such groups; written out."""
+
+    def alike(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        return 2 * best[-1][-1] / (len(a) + len(b)) if a or b else 1.0
+
+    groups = []
+    for name in sorted(set(names)):
+        low = " ".join(name.lower().split())
+        scores = [alike(low, " ".join(g[0].lower().split())) for g in groups]
+        if scores and max(scores) >= threshold:
+            groups[scores.index(max(scores))].append(name)
+        else:
+            groups.append([name])
+    return {n: next(m for m in g if len(m) == max(map(len, g))) for g in groups for n in g}
+
+
 def test_clusters(spark):
     names = ["ACME Corp", "ACME Corp.", "Beta Ltd", "beta  ltd"]
     got = {r.value: r.canonical for r in resolve.resolve_suppliers(spark.createDataFrame([(n,) for n in names], "s string"), "s", 0.85).collect()}
-    assert got == resolve.cluster(names, 0.85) and len(set(got.values())) == 2
+    assert got == plain_clusters(names, 0.85) and len(set(got.values())) == 2
 
 
 def test_clusters_across_letters(spark):
@@ -100,7 +121,7 @@ def test_clusters_across_letters(spark):
     df = spark.createDataFrame([(n,) for n in names], "s string").repartition(3)
     for threshold in (0.85, 0.7):
         got = {r.value: r.canonical for r in resolve.resolve_suppliers(df, "s", threshold).collect()}
-        assert got == resolve.cluster(names, threshold)
+        assert got == plain_clusters(names, threshold) == resolve.cluster(names, threshold)
     assert resolve.resolve_suppliers(spark.createDataFrame([("old anvil",), ("cold anvil",)], "s string"), "s", 0.85).select("canonical").distinct().count() == 1
 
 
