@@ -40,7 +40,7 @@ HOT = 4096
 #: Symbols that are sorted together, about, and the bytes of an array from which on it lives in a file.
 COLLECTION, SPILL = 500_000, 1 << 19
 #: Rows that are broadcast at most (a few longs each); more are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 50_000
 #: The same for lists by text: nearly every text has some, so the bound is one that only small tables are below.
 LIST_ROWS = 20_000
 #: Names of 64 bits that more than one text has, at most; expected are n * n / 2**65.
