@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle import config
-from brindle.operators import axioms, classify, diff, extract, mapping, normalize, quarantine, resolve, validate
+from brindle.operators import axioms, classify, diff, extract, mapping, normalize, quarantine, resolve, search, validate
 from brindle.plans import warehouse
-from brindle.queries import DIFF_SQL, SOURCE_SQL, _diff_sides, canonical, processed, query, read
+from brindle.queries import DIFF_SQL, ORACLE_SQL, SOURCE_SQL, _diff_sides, _vector, canonical, processed, query, read
 from brindle.sources import xlsx
 
 # Values
@@ -321,3 +321,22 @@ def not_yet_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of runs that the ledger lacks."""
     names = F.array(*map(F.lit, ("run_a", "run_b", "run_c")))
     return store(spark, sf_dir).not_loaded(read(spark, sf_dir, "customer").select("c_custkey", F.element_at(names, (F.col("c_custkey") % 3 + 1).cast("int")).alias("run_id"))).select("c_custkey", "run_id")
+
+
+# Indexes
+
+
+@query(ORACLE_SQL["lexical_top50"])
+def lexical_indexed_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lexical search from an index of all documents' trigrams."""
+    at = _folder(spark, "trigrams")
+    search.write_lexical_index(read(spark, sf_dir, "documents"), "text", "doc_id", at)
+    return search.lexical_indexed(spark, at, "the thing and other words of that", "doc_id", least=0.1).select("doc_id", F.round("lexical", 6).alias("lexical"))
+
+
+@query(ORACLE_SQL["semantic_top50"])
+def semantic_indexed_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The semantic search from an index of all vectors."""
+    at = _folder(spark, "vectors")
+    search.write_vector_index(read(spark, sf_dir, "embeddings"), "embedding", "vec_id", at)
+    return search.semantic_indexed(spark, at, _vector(spark, sf_dir), "vec_id").select("vec_id", F.round("semantic", 6).alias("semantic"))

@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions import text as t
@@ -60,3 +60,76 @@ def hybrid(df: DataFrame, query: str, vector_query: list[float] | Column, key: s
     # at most two candidate sets of rows: broadcast whatever the table
     ranked = both.select(key, score.alias("score"))
     return some.select(key, text).join(F.broadcast(ranked), key).orderBy(F.desc("score"), key).limit(top_k)
+
+
+# Indexes: the same results as the scans above, from tables laid out so that a search reads a part of them.
+
+#: Cells of a vector index at most: so many centres are kept on the driver.
+CELLS, SLACK = 64, 1e-6
+
+
+def write_lexical_index(df: DataFrame, text: str, key: str, path: str) -> None:
+    """Every row's trigrams with their number, in order of trigram: a search reads the row groups of its own trigrams. A
+    trigram that very many rows have is spread over files by the key."""
+    rows = df.select(F.col(key).alias("key"), t.trigrams(F.col(text)).alias("grams"))
+    rows = rows.select(F.explode("grams").alias("gram"), "key", F.size("grams").alias("n"))
+    rows.repartitionByRange("gram", "key").sortWithinPartitions("gram", "key").write.option("parquet.block.size", 1 << 22).parquet(path)
+
+
+def lexical_indexed(spark: SparkSession, path: str, query: str, key: str, n: int = CANDIDATES, least: float = LEAST) -> DataFrame:
+    """``lexical`` from an index."""
+    wanted = spark.range(1).select(t.trigrams(F.lit(query)).alias("g")).first()["g"]
+    hits = spark.read.parquet(path).where(F.col("gram").isin(wanted)).groupBy("key").agg(F.count("*").alias("both"), F.first("n").alias("n"))
+    score = F.col("both") / (F.col("n") + len(wanted) - F.col("both"))
+    return hits.select(F.col("key").alias(key), score.alias("lexical")).where(F.col("lexical") >= least).orderBy(F.desc("lexical"), key).limit(n)
+
+
+def _placed(centres: np.ndarray):
+    """Of vectors: the nearest centre and the distance to it, both on the unit sphere; cell -1 where there is no direction."""
+
+    @F.pandas_udf("cell int, distance double")
+    def run(s: pd.Series) -> pd.DataFrame:
+        cells, distances = np.full(len(s), -1, np.int32), np.zeros(len(s))
+        for i, v in enumerate(s):
+            x = np.asarray(v, float) if v is not None else np.zeros(0)
+            if len(x) == centres.shape[1] and np.isfinite(norm := np.linalg.norm(x)) and norm > 0:
+                squares = 2 - 2 * (centres @ (x / norm))
+                cells[i] = squares.argmin()
+                distances[i] = np.sqrt(max(0.0, squares[cells[i]]))
+        return pd.DataFrame({"cell": cells, "distance": distances})
+
+    return run
+
+
+def write_vector_index(df: DataFrame, vector: str, key: str, path: str, cells: int = CELLS) -> None:
+    """Rows with a vector, a folder a cell; and each cell's centre, radius and number of rows. Centres are rows, picked by
+    a hash of the key: they set what a search reads, not what it finds."""
+    rows = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"))
+    picked = [np.array(r["vector"]) for r in rows.orderBy(F.xxhash64("key"), "key").limit(cells).collect() if None not in r["vector"]]
+    usable = [v / np.linalg.norm(v) for v in picked if np.isfinite(v).all() and v.any() and len(v) == len(picked[0])]
+    centres = np.array(usable) if usable else np.zeros((0, 0))
+    placed = rows.withColumn("p", _placed(centres)("vector")) if usable else rows.withColumn("p", F.struct(F.lit(-1).alias("cell"), F.lit(0.0).alias("distance")))
+    placed = placed.select("key", "vector", "p.distance", "p.cell")
+    placed.write.partitionBy("cell").parquet(f"{path}/rows")
+    sizes = rows.sparkSession.read.schema(placed.schema).parquet(f"{path}/rows").groupBy("cell").agg(F.max("distance").alias("radius"), F.count("*").alias("n")).collect()  # a row a cell
+    found = [(r["cell"], centres[r["cell"]].tolist() if r["cell"] >= 0 else None, r["radius"], r["n"]) for r in sizes]
+    rows.sparkSession.createDataFrame(found, "cell int, centre array<double>, radius double, n long").coalesce(1).write.parquet(f"{path}/cells")
+
+
+def semantic_indexed(spark: SparkSession, path: str, query: list[float], key: str, n: int = CANDIDATES) -> DataFrame:
+    """``semantic`` from an index, exactly: the nearest cells that hold ``n`` rows give a bound, and a cell is read beyond
+    them only where its radius lets it hold a row within the bound. Vectors without a direction are always read."""
+    q = np.asarray(query, float)
+    q = q / np.linalg.norm(q)
+    cells = [(r["cell"], max(0.0, float(np.linalg.norm(q - np.array(r["centre"]))) - r["radius"]) if r["centre"] else 0.0, r["n"]) for r in spark.read.parquet(f"{path}/cells").collect()]
+    if not cells:
+        return spark.createDataFrame([], f"{key} long, semantic double")
+    rows = spark.read.parquet(f"{path}/rows").withColumnRenamed("key", key)
+    near, held = [], 0
+    for cell, _, size in sorted((c for c in cells if c[0] >= 0), key=lambda c: c[1]):
+        if held < n:
+            near.append(cell)
+            held += size
+    first = semantic(rows.where(F.col("cell").isin(near)), "vector", query, key, n).agg(F.count("semantic").alias("n"), F.min("semantic").alias("least")).first()
+    bound = np.sqrt(max(0.0, 2 - 2 * first["least"])) + SLACK if first["n"] == n else np.inf
+    return semantic(rows.where(F.col("cell").isin([c for c, low, _ in cells if low <= bound])), "vector", query, key, n)

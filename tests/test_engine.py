@@ -409,6 +409,21 @@ def test_search_whole_texts(spark, tmp_path):
     assert got == {i: pytest.approx(v, abs=2e-6) for i, v in want.items()} and got[0] > 0.9
 
 
+def test_indexes(spark, tmp_path):
+    rng = random.Random(4)
+    words = ["heat", "shield", "bolt", "changed", "added", "cover", "é"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 6))) if i % 9 else None, [rng.gauss(0, 1) for _ in range(6)] if i % 7 else None) for i in range(200)] + [(300, "heat", [0.0] * 6)]
+    df = spark.createDataFrame(rows, "id long, text string, v array<double>")
+    search.write_lexical_index(df, "text", "id", f"{tmp_path}/g")
+    search.write_vector_index(df, "v", "id", f"{tmp_path}/v", cells=9)
+    for query, v in (("heat shield", [1.0, 0, 0, 0, 0, 0]), ("bolt", [rng.gauss(0, 1) for _ in range(6)]), ("none of them", rows[1][2])):
+        for n in (5, 50, 500):
+            assert search.lexical_indexed(spark, f"{tmp_path}/g", query, "id", n).collect() == search.lexical(df, "text", query, "id", n).collect()
+            assert [r.id for r in search.semantic_indexed(spark, f"{tmp_path}/v", v, "id", n).collect()] == [r.id for r in search.semantic(df, "v", v, "id", n).collect()]
+    search.write_vector_index(df.limit(0), "v", "id", f"{tmp_path}/e")
+    assert search.semantic_indexed(spark, f"{tmp_path}/e", [1.0] * 6, "id").count() == 0
+
+
 def test_gate(spark):
     row = ("AB1234567", "AB1234568", "Bracket", 2, "단품", "Change", "p", None, 1.0, "WSED7667M.ABMQEUR", None)
     schema = "base_part_no string, new_part_no string, part_name string, bom_level int, part_type string, change_type string, change_point string, change_reason string, qty double, model_code string, _quarantine_reason string"
