@@ -39,10 +39,9 @@ PASSAGE, PASSAGE_GRAM = 240, 64
 HOT = 4096
 #: Symbols that are sorted together, about, and the bytes of an array from which on it lives in a file.
 COLLECTION, SPILL = 500_000, 1 << 19
-#: Rows that are broadcast at most (a few longs each); more are joined by a shuffle.
-BROADCAST_ROWS = 50_000
-#: The same for lists by text: nearly every text has some, so the bound is one that only small tables are below.
-LIST_ROWS = 20_000
+#: Rows that are broadcast at most (a few longs each); more are joined by a shuffle. The bounds are low, so that all but
+#: small inputs run the same plan; names of texts, whose join would deal out all texts, have a larger one.
+BROADCAST_ROWS, LIST_ROWS, NAME_ROWS = 5_000, 2_000, 50_000
 #: Names of 64 bits that more than one text has, at most; expected are n * n / 2**65.
 CLASHES = 10_000
 
@@ -129,9 +128,9 @@ def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
-def _few(df: DataFrame) -> DataFrame:
+def _few(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, a written table, to be broadcast where its count is bounded."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
 
 
 def _with_lists(texts: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -302,8 +301,8 @@ def _texts(df: DataFrame, text_col: str, id_col: str) -> tuple[DataFrame, DataFr
     d = name(F.col("t1"), F.col("t2"))
     many = common.staged(names.where("copies > 1").select(d.alias("d"), "copies", "one"), "suffix-copies")
     texts = texts.withColumn("d", d)
-    distinct = texts.join(_few(many), "d", "left").where(F.col("copies").isNull() | F.col("doc_id").eqNullSafe(F.col("one"))).select("d", "text")
-    lone = texts.join(_few(many), "d", "left_anti").select("d", "text")
+    distinct = texts.join(_few(many, NAME_ROWS), "d", "left").where(F.col("copies").isNull() | F.col("doc_id").eqNullSafe(F.col("one"))).select("d", "text")
+    lone = texts.join(_few(many, NAME_ROWS), "d", "left_anti").select("d", "text")
     rows = slim.withColumn("d", d).drop("t1", "t2").join(many.select("d", "copies"), "d", "left")
     return rows, lone, distinct, lambda text: name(*_hashes(F.coalesce(text.cast("string"), F.lit(""))))
 
@@ -357,7 +356,7 @@ def report(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
     rows, lone, distinct, _ = _texts(df, text_col, id_col)
     passages = common.staged(covered(windows(distinct, PASSAGE, PASSAGE_GRAM), PASSAGE), "suffix-passages")
     # a repeated string of LENGTH lies in repeated ones of PASSAGE, and so does the other one, in texts that show it
-    some = _few(common.staged(passages.where(F.col("n") >= LENGTH).select("d"), "suffix-some"))
+    some = _few(common.staged(passages.where(F.col("n") >= LENGTH).select("d"), "suffix-some"), NAME_ROWS)
     changed = _removed(lone, windows(distinct.join(some, "d", "left_semi")), LENGTH)
     changed = changed.select("d", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
     out = rows.join(changed, "d", "left").join(passages, "d", "left")
