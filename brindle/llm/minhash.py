@@ -260,20 +260,25 @@ def _grouped(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
     unsettled = common.staged(open_.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band"), "minhash-unsettled")
     left = common.staged(open_.join(_few(unsettled), "band", "left_semi").groupBy("node").agg(F.first("component").alias("component"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "minhash-left")
     common.drop(open_, unsettled, shared)
+    done = [links, left]
     if not left.isEmpty():
         sets = _sets(left.select("node"), classes, docs)
         pairs = _prefix_pairs(left, sets)
         more = _confirmed(pairs, sets)
         common.drop(pairs, sets, labels)
         labels = common.components(links.unionAll(more), "minhash-components")
+        done.append(more)
 
     named = classes.select("node", "s1", "s2", "id").join(labels, "node", "left").select("s1", "s2", "id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
     named = common.staged(named.join(least, "component").select("s1", "s2", "component_id"), "minhash-named")
+    common.drop(classes, labels, *done)
     out = rows.select("doc_id", "t1", "t2", "n_shingles", "s1", "s2").join(named, ["s1", "s2"], "left")
     component = F.coalesce("component_id", "doc_id")
     kept = F.when(F.col("n_shingles") == 0, True).otherwise(F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
-    return out.select("doc_id", "t1", "t2", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+    found = out.select("doc_id", "t1", "t2", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+    found.made_of = [rows, named]
+    return found
 
 
 def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -286,8 +291,9 @@ def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def deduplicated(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of ``df`` that ``groups`` keeps, with all their columns, whatever their names. Rows are told apart by id
     and text: of rows that share an id, each goes or stays by its own text; null ids and null texts are values too."""
-    gone = _grouped(df, text_col, id_col).where("not kept").select("doc_id", "t1", "t2").distinct()
-    gone = _few(common.staged(gone, "minhash-gone"))
+    found = _grouped(df, text_col, id_col)
+    gone = _few(common.staged(found.where("not kept").select("doc_id", "t1", "t2").distinct(), "minhash-gone"))
+    common.drop(*found.made_of)
     text = F.col(f"d.`{text_col}`").cast("string")
     same = (F.col(f"d.`{id_col}`").eqNullSafe(F.col("g.doc_id"))) & (F.xxhash64(text) == F.col("g.t1")) & (F.xxhash64(F.lit(1), text.isNull(), text) == F.col("g.t2"))
     return df.alias("d").join(gone.alias("g"), same, "left_anti")
