@@ -26,14 +26,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` to a table of its own in the shared folder and read it back.
 
     Cuts lineage: what follows is recomputed from replicated files, not from lost executors.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").option("parquet.block.size", 1 << 24).parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", 1 << 24).options(**(options or {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
