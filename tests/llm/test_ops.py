@@ -528,4 +528,4 @@ def test_components(spark):
 
 
 def test_registered():
-    assert [int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES] == list(range(1, 11)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+    assert [int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES] == list(range(1, 14)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
