@@ -10,7 +10,7 @@ enough; only pairs in between are opened, down to leaves that are compared by do
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,15 +142,24 @@ def dual_join(raw: np.ndarray, own: np.ndarray, weight: np.ndarray, cosine: floa
     return total, forest
 
 
+def scaled(v: Column) -> Column:
+    """By the power of two that brings the largest component near to 1: no square, product or norm then leaves the range of
+    doubles, and cosines stay what they are, bit by bit, where they could be computed before. In two factors, as one may
+    be out of range itself."""
+    power = F.floor(F.log2(F.array_max(F.transform(v, F.abs)))).cast("int")
+    half = F.floor(power / 2).cast("int")
+    return F.transform(v, lambda x: x * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), half - power))
+
+
 def points(df: DataFrame, vector_col: str, id_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
     """(rows, points): rows (vec_id, point or null) of all rows; points (point, label, vector, copies, id), one for each
-    distinct usable vector of a label. point is a 64-bit hash of both."""
+    distinct usable vector of a label, vectors that differ by a power of two being one. point is a 64-bit hash of both."""
     v = F.col(vector_col).cast("array<double>")
     ok = F.col(label_col).isNotNull() & v.isNotNull() & (F.size(v) > 0)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     nonzero = F.exists(v, lambda x: x != 0)
     usable = ok & finite & nonzero
-    plain = F.transform(v, lambda x: x + F.lit(0.0))  # -0.0 is 0.0
+    plain = scaled(F.transform(v, lambda x: x + F.lit(0.0)))  # -0.0 is 0.0
     rows = df.select(F.col(id_col).alias("vec_id"), F.when(usable, plain).alias("vector"), F.col(label_col).alias("label"))
     rows = rows.withColumn("point", F.when(F.col("vector").isNotNull(), F.xxhash64("label", "vector")))
     distinct = rows.where("point is not null").groupBy("point").agg(F.first("label").alias("label"), F.first("vector").alias("vector"), F.count("*").alias("copies"), F.min("vec_id").alias("id"))
@@ -176,7 +185,8 @@ def links(df: DataFrame, vector_col: str = "embedding", id_col: str = "vec_id",
 
     Rows of equal labels are linked where the cosine is at least ``cosine``; n_links counts the other rows linked,
     copies included, component_id is the least id that can be reached. Vectors that are null, empty, zero or hold a null
-    or a value that is not finite, and rows with a null label, are linked with nothing. Vectors of different lengths are
+    or a value that is not finite, and rows with a null label, are linked with nothing. Finite components may be as large
+    or as small as doubles are. Vectors of different lengths are
     not compared. Repeated rows are rows of their own. A null id stays null and is kept if its component has no id.
     """
     rows, distinct = points(df, vector_col, id_col, label_col)

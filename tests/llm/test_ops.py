@@ -529,3 +529,33 @@ def test_components(spark):
 
 def test_registered():
     assert [int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES] == list(range(1, 14)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+
+
+def test_cover_extreme_magnitudes(spark):
+    """Components from the smallest to nearly the largest double, against exact arithmetic."""
+    from fractions import Fraction
+
+    rng = random.Random(12)
+    vectors = [[1e200, 0.0], [0.0, 1e200], [1e200, 1e199], [1.0, 0.0], [5e-324, 0.0], [5e-324, 5e-324], [0.0, 5e-324], [1e300, 1e-300], [1.7e308, 1.7e308], [1e-160, 1e-161], [-1e300, 0.0], [1e-300, -1e-301], [2.0, 0.0], [0.5, 0.0]]
+    vectors += [[rng.uniform(-1, 1) * 10.0 ** (e := rng.choice([-320, -300, -150, 0, 150, 300])), rng.uniform(-1, 1) * 10.0**e] for _ in range(60)]
+    vectors = [v for v in vectors if any(v)]
+
+    def linked(a, b):
+        a, b = [Fraction(x) for x in a], [Fraction(x) for x in b]
+        dot, norms = sum(x * y for x, y in zip(a, b)), sum(x * x for x in a) * sum(x * x for x in b)
+        share = float(dot * dot / norms)
+        assert abs(share - 0.98**2) > 1e-9
+        return dot > 0 and share >= 0.98**2
+
+    near = {i: {j for j in range(len(vectors)) if j != i and linked(vectors[i], vectors[j])} for i in range(len(vectors))}
+    reach = {}
+    for i in near:
+        todo, seen = [i], {i}
+        while todo:
+            new = near[todo.pop()] - seen
+            seen |= new
+            todo += new
+        reach[i] = min(seen)
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int").repartition(3)
+    got = {r.vec_id: r for r in covertree.links(df).collect()}
+    assert {i: (r.n_links, r.component_id, r.kept) for i, r in got.items()} == {i: (len(near[i]), reach[i], reach[i] == i) for i in near}
