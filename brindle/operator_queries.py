@@ -258,20 +258,14 @@ def reprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passing.select("row_index", F.lit(True).alias("passes")).unionAll(failing.select("row_index", F.lit(False)))
 
 
-_STORES: dict[tuple[str, str], warehouse.Warehouse] = {}
-
-
 def store(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
-    """Two runs loaded, the second over the first, and the first rolled back. Once a session and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORES:
-        rows = normalize.drop_working(processed(spark, sf_dir)).withColumns({"source_file": F.lit("part"), "form_version": F.lit("96col")})
-        w = warehouse.Warehouse(spark, _folder(spark, "store"))
-        w.load(rows.where("row_index % 2 = 0"), "run_a")
-        w.load(rows.where("row_index % 3 = 0").withColumn("part_name", F.concat(F.lit("B-"), "part_name")), "run_b")
-        w.rollback("run_a")
-        _STORES[key] = w
-    return _STORES[key]
+    """Two runs loaded, the second over the first, and the first rolled back: anew for each query."""
+    rows = normalize.drop_working(processed(spark, sf_dir)).withColumns({"source_file": F.lit("part"), "form_version": F.lit("96col")})
+    w = warehouse.Warehouse(spark, _folder(spark, "store"))
+    w.load(rows.where("row_index % 2 = 0"), "run_a")
+    w.load(rows.where("row_index % 3 = 0").withColumn("part_name", F.concat(F.lit("B-"), "part_name")), "run_b")
+    w.rollback("run_a")
+    return w
 
 
 STORE_SQL = SOURCE_SQL + """, clean AS (SELECT * FROM done WHERE quarantine_reason IS NULL),
