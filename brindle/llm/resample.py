@@ -28,14 +28,13 @@ PIECE = 1 << 21
 _SPLIT, _NEXT = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"), re.compile(rf"(?:[\x00-\x2F\x3A-\x60\x7B-\x7F]*{WORD}){{0,{LONGEST - 1}}}")
 _LOWER = str.maketrans({c: c + 32 for c in range(65, 91)})
 
-#: Features of pieces (row, text, extra): the last ``extra`` words begin no feature of theirs.
+#: Buckets of the features of pieces (row, text, extra): the last ``extra`` words begin no feature of theirs.
 SQL = f"""WITH l AS (SELECT row, extra, regexp_extract_all(text, '{WORD}') AS l FROM pieces),
 w AS (SELECT row, len(l) - extra AS own, unnest(l) AS w, generate_subscripts(l, 1) AS i FROM l),
 n AS (SELECT row, i <= own AS own, w AS a, lead(w) OVER d AS b, lead(w, 2) OVER d AS c FROM w WINDOW d AS (PARTITION BY row ORDER BY i)),
-f AS (SELECT row, unnest([a, a || ' ' || b, a || ' ' || b || ' ' || c]) AS feature FROM n WHERE own),
-k AS (SELECT row, CAST(crc32(feature) % {BUCKETS} AS SMALLINT) AS bucket, CAST(count(*) AS INTEGER) AS n FROM f WHERE feature IS NOT NULL GROUP BY ALL),
-g AS (SELECT row, list(bucket ORDER BY bucket) AS buckets, list(n ORDER BY bucket) AS counts FROM k GROUP BY row)
-SELECT row, len(l) - extra AS n_words, buckets, counts FROM l LEFT JOIN g USING (row) ORDER BY row"""
+f AS (SELECT row, unnest([a, a || ' ' || b, a || ' ' || b || ' ' || c]) AS feature FROM n WHERE own)
+SELECT row, CAST(crc32(feature) % {BUCKETS} AS INTEGER) AS bucket FROM f WHERE feature IS NOT NULL"""
+WORDS_SQL = f"SELECT len(regexp_extract_all(text, '{WORD}')) - extra AS n FROM pieces ORDER BY row"
 
 
 def crc32(features: pa.ChunkedArray | pa.Array) -> pa.Array:
@@ -66,20 +65,22 @@ def pieces(text: str, size: int = PIECE) -> Iterator[tuple[str, int]]:
     yield text[at:], 0
 
 
-def counted(con, texts: list[str | None], size: int = PIECE) -> Iterator[tuple[int, list, list]]:
+def counted(con, texts: list[str | None], size: int = PIECE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(words, buckets, counts) of each text; a null one has none."""
     todo: list[tuple[int, str, int]] = []
-    waiting, held = 0, 0
-    totals: dict[int, list] = {}
+    held = 0
+    found: dict[int, list] = {}
 
     def flush() -> None:
         nonlocal todo, held
         table = pa.table([pa.array(range(len(todo)), pa.int32()), pa.array([p[1] for p in todo], pa.string()), pa.array([p[2] for p in todo], pa.int32())], names=["row", "text", "extra"])
         con.register("pieces", table)
-        out = con.sql(SQL).to_arrow_table()
+        n_words, flat = con.sql(WORDS_SQL).to_arrow_table()["n"].to_pylist(), con.sql(SQL).to_arrow_table()
         con.unregister("pieces")
-        for (owner, _, _), n, buckets, counts in zip(todo, out["n_words"].to_pylist(), out["buckets"], out["counts"]):
-            totals.setdefault(owner, []).append((n, buckets.values, counts.values))
+        cells, n = np.unique(flat["row"].to_numpy().astype(np.int64) * BUCKETS + flat["bucket"].to_numpy(), return_counts=True)
+        ends = np.searchsorted(cells, np.arange(len(todo) + 1) * BUCKETS)
+        for (owner, _, _), words, a, b in zip(todo, n_words, ends, ends[1:]):
+            found.setdefault(owner, []).append((words, cells[a:b] % BUCKETS, n[a:b]))
         todo, held = [], 0
 
     for i, text in enumerate(texts):
@@ -90,24 +91,20 @@ def counted(con, texts: list[str | None], size: int = PIECE) -> Iterator[tuple[i
             held += len(piece)
     if todo:
         flush()
-    for i in range(waiting, len(texts)):
-        found = totals.pop(i)
-        if len(found) == 1:
-            n, buckets, counts = found[0]
-        else:
-            n, sums = sum(f[0] for f in found), np.zeros(BUCKETS, np.int64)
-            for _, b, c in found:
-                if b is not None:
-                    np.add.at(sums, b.to_numpy(), c.to_numpy())
-            some = np.flatnonzero(sums)
-            buckets, counts = pa.array(some.astype(np.int16)), pa.array(sums[some].astype(np.int32))
-        yield n, buckets, counts
-
-
-def _lists(values: list[pa.Array | None], kind: pa.DataType) -> pa.Array:
-    ends = np.cumsum([0, *(0 if v is None else len(v) for v in values)]).astype(np.int32)
-    flat = [v.cast(kind) for v in values if v is not None]
-    return pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(flat) if flat else pa.array([], kind))
+    for i in range(len(texts)):
+        parts = found.pop(i)
+        words, buckets, counts = parts[0]
+        if len(parts) > 1:
+            words = sum(p[0] for p in parts)
+            sums = np.bincount(np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), BUCKETS).astype(np.int64)
+            buckets = np.flatnonzero(sums)
+            counts = sums[buckets]
+        yield words, buckets, counts
+
+
+def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)).cast(kind))
 
 
 def features(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

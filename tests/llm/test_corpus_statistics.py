@@ -115,8 +115,7 @@ def test_resample_pieces(rows, size):
     texts = [r[1] if r[1] is None else r[1][:1500] for r in rows][:40]
     con = resample.connect()
     for text, (n, buckets, counts) in zip(texts, resample.counted(con, texts, size)):
-        found = dict(zip(buckets.to_pylist(), counts.to_pylist())) if buckets is not None else {}
-        assert (n, found) == plain_features(text)
+        assert (n, dict(zip(buckets.tolist(), counts.tolist()))) == plain_features(text)
     con.close()
 
 
