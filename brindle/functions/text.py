@@ -75,7 +75,7 @@ def lookup(mapping: Mapping[str, str], c: Column) -> Column:
 
 def trigrams(c: Column) -> Column:
     """Distinct trigrams of the lower-cased words, each with two blanks before and one behind."""
-    words = F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    words = F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))
 
     def of(w: Column) -> Column:
         padded = F.concat(F.lit("  "), w, F.lit(" "))

@@ -8,11 +8,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle import config
-from brindle.operators import axioms, classify, diff, extract, mapping, normalize, quarantine, resolve, search, validate
+from brindle.operators import axioms, classify, diff, extract, graph, mapping, normalize, quarantine, resolve, search, validate
 from brindle.plans import warehouse
 from brindle.queries import DIFF_SQL, ORACLE_SQL, SOURCE_SQL, _diff_sides, _vector, canonical, processed, query, read
 from brindle.sources import xlsx
@@ -334,3 +334,17 @@ def semantic_indexed_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = _folder(spark, "vectors")
     search.write_vector_index(read(spark, sf_dir, "embeddings"), "embedding", "vec_id", at)
     return search.semantic_indexed(spark, at, _vector(spark, sf_dir), "vec_id").select("vec_id", F.round("semantic", 6).alias("semantic"))
+
+
+@query("""WITH q AS (SELECT vec_id AS question, CAST(embedding AS DOUBLE[]) AS a FROM embeddings WHERE vec_id % 100 = 0)
+SELECT question, vec_id, round(s, 6) AS semantic FROM (SELECT question, vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), a) AS s FROM embeddings, q) QUALIFY row_number() OVER (PARTITION BY question ORDER BY s DESC, vec_id) <= 10""")
+def semantic_graph_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one, from proximity graphs of all vectors: approximate, by beams for 50."""
+    at, e = _folder(spark, "graphs"), read(spark, sf_dir, "embeddings")
+    graph.write_graph_index(e, "embedding", "vec_id", at)
+    asked = e.where("vec_id % 100 = 0").orderBy("vec_id").select("vec_id", "embedding").collect()  # the questions
+    found = graph.semantic_graph(spark, at, [[float(x) for x in r["embedding"]] for r in asked], "vec_id", 50)
+    names = spark.createDataFrame([(k, r["vec_id"]) for k, r in enumerate(asked)], "question int, name long")
+    best = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("semantic"), "vec_id"))
+    ten = found.join(F.broadcast(names), "question").withColumn("r", best).where("r <= 10")
+    return ten.select(F.col("name").alias("question"), "vec_id", F.round("semantic", 6).alias("semantic"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -47,19 +49,43 @@ def semantic(df: DataFrame, vector: str, query: list[float] | Column, key: str,
     return df.where(F.col(vector).isNotNull()).select(key, t.cosine(F.col(vector), q).alias("semantic")).orderBy(F.desc("semantic"), key).limit(n)
 
 
-def lexical(df: DataFrame, text: str, query: str, key: str, n: int = CANDIDATES, least: float = LEAST) -> DataFrame:
-    score = t.trigram_similarity(t.trigrams(F.col(text)), t.trigrams(F.lit(query)))
-    return df.select(key, score.alias("lexical")).where(F.col("lexical") >= least).orderBy(F.desc("lexical"), key).limit(n)
+def question_grams(spark: SparkSession, query: str) -> list[str]:
+    """Trigrams of a question, computed once."""
+    return spark.range(1).select(t.trigrams(F.lit(query)).alias("g")).first()["g"]
 
 
-def hybrid(df: DataFrame, query: str, vector_query: list[float] | Column, key: str, text: str, vector: str, top_k: int = TOP_K, where: Column | None = None) -> DataFrame:
-    """key, text, score of the best: filter first, two bounded candidate sets, one outer join, weighted sum."""
+def _spread(df: DataFrame) -> DataFrame:
+    """A small table of long texts may be one row group, which is one task: its rows are dealt to all cores. Larger tables
+    have tasks enough and are not moved."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    small = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < cores * (128 << 20)
+    return df.repartition(cores) if small else df
+
+
+def lexical(df: DataFrame, text: str, query: str, key: str, n: int = CANDIDATES, least: float = LEAST, keep: tuple[str, ...] = ()) -> DataFrame:
+    """key, lexical and the columns ``keep`` of the best, whole texts compared."""
+    wanted = F.lit(question_grams(df.sparkSession, query)).cast("array<string>")
+    rows = _spread(df.select(key, F.col(text).alias("_text"), *(F.col(c).alias(f"_{c}") for c in keep)))
+    score = t.trigram_similarity(t.trigrams(F.col("_text")), wanted)
+    found = rows.select(key, score.alias("lexical"), *(F.col(f"_{c}").alias(c) for c in keep)).where(F.col("lexical") >= least)
+    return found.orderBy(F.desc("lexical"), key).limit(n)
+
+
+def hybrid(df: DataFrame, query: str, vector_query: list[float] | Column, key: str, text: str, vector: str, top_k: int = TOP_K, where: Column | None = None, vectors: DataFrame | None = None) -> DataFrame:
+    """key, text, score of the best: filter first, two bounded candidate sets, one outer join, weighted sum, and the texts
+    of the ``top_k`` last. Where the vectors are in a table of their own, ``vectors`` has them by the same key; only rows
+    that both tables have are looked at then, and each table is scored alone."""
     some = df.where(where) if where is not None else df
-    both = semantic(some, vector, vector_query, key).join(lexical(some, text, query, key), key, "full_outer")
+    near, texts = some, some
+    if vectors is not None:
+        near = vectors.select(key, vector).join(some.select(key), key, "left_semi")
+        texts = some.select(key, text).join(vectors.select(key), key, "left_semi")
+    both = semantic(near, vector, vector_query, key).join(lexical(texts, text, query, key), key, "full_outer")
     score = F.coalesce("semantic", F.lit(0.0)) * SEMANTIC + F.coalesce("lexical", F.lit(0.0)) * LEXICAL
-    # at most two candidate sets of rows: broadcast whatever the table
-    ranked = both.select(key, score.alias("score"))
-    return some.select(key, text).join(F.broadcast(ranked), key).orderBy(F.desc("score"), key).limit(top_k)
+    best = both.select(key, score.alias("score")).orderBy(F.desc("score"), key).limit(top_k)
+    # top_k rows: broadcast whatever the table
+    return df.select(key, text).join(F.broadcast(best), key).orderBy(F.desc("score"), key).limit(top_k)
 
 
 # Indexes: the same results as the scans above, from tables laid out so that a search reads a part of them.
@@ -69,19 +95,73 @@ CELLS, SLACK = 64, 1e-6
 
 
 def write_lexical_index(df: DataFrame, text: str, key: str, path: str) -> None:
-    """Every row's trigrams with their number, in order of trigram: a search reads the row groups of its own trigrams. A
-    trigram that very many rows have is spread over files by the key."""
-    rows = df.select(F.col(key).alias("key"), t.trigrams(F.col(text)).alias("grams"))
-    rows = rows.select(F.explode("grams").alias("gram"), "key", F.size("grams").alias("n"))
-    rows.repartitionByRange("gram", "key").sortWithinPartitions("gram", "key").write.option("parquet.block.size", 1 << 22).parquet(path)
+    """Three tables: ``rows`` with each row's trigrams, by row number; ``postings``, a row for each trigram of a row, in order
+    of trigram and number of trigrams, so that a search reads the pages of its trigrams and lengths only; and ``grams`` with
+    the length of each list. A trigram that very many rows have is spread over files."""
+    spark = df.sparkSession
+    found = df.select(F.col(key).alias("key"), F.coalesce(t.trigrams(F.col(text)), F.array().cast("array<string>")).alias("grams"))
+    found.withColumn("row", F.monotonically_increasing_id()).select("row", "key", F.size("grams").alias("n"), "grams").write.option("parquet.block.size", 1 << 22).parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
+    postings = rows.select(F.explode("grams").alias("gram"), "n", "row").repartitionByRange("gram", "n", "row").sortWithinPartitions("gram", "n", "row")
+    postings.write.option("parquet.block.size", 1 << 22).option("parquet.page.size", 1 << 16).parquet(f"{path}/postings")
+    spark.read.parquet(f"{path}/postings").groupBy("gram").agg(F.count("*").alias("n")).repartitionByRange("gram").sortWithinPartitions("gram").write.parquet(f"{path}/grams")
+
+
+@dataclass
+class Probe:
+    """How a question is answered from the index: the trigrams whose lists are read, and what follows for the rest."""
+
+    grams: list[str]  # of the question
+    lists: list[str]  # the rarest of them
+    least_n: int
+    most_n: int
+    least: float
+    listed: int  # rows that the lists have
+    all_listed: int  # rows that the lists of all the question's trigrams have
+
+    def needed(self, n: Column) -> Column:
+        """Trigrams that a row with ``n`` of them shares, if it reaches the least similarity."""
+        return F.ceil(F.lit(self.least) * (n + len(self.grams)) / (1 + self.least) - 1e-9)
+
+    def hits(self, n: Column) -> Column:
+        """Of these, those among the lists read: all but what the unread ones could give."""
+        return F.greatest(F.lit(1), self.needed(n) - (len(self.grams) - len(self.lists)))
+
+
+def lexical_probe(spark: SparkSession, path: str, query: str, least: float = LEAST) -> Probe:
+    """A row that reaches ``least`` shares at least ``need`` of the question's q trigrams, so it is in one of the lists of any
+    q - need + 1 of them: the rarest ones. Further lists are read as long as they add no more than half of that, since each
+    of them raises by one the hits that a candidate needs."""
+    if least <= 0:
+        raise ValueError("without a least similarity every row is a result: use lexical")
+    grams = question_grams(spark, query)
+    sizes = dict.fromkeys(grams, 0) | {r["gram"]: r["n"] for r in spark.read.parquet(f"{path}/grams").where(F.col("gram").isin(grams)).collect()}  # a row a trigram of the question
+    order = sorted(grams, key=lambda g: (sizes[g], g))
+    need = max(1, math.ceil(least * len(grams) - 1e-9))
+    take = len(grams) - need + 1
+    bound = 1.5 * sum(sizes[g] for g in order[:take])
+    while take < len(order) and sum(sizes[g] for g in order[: take + 1]) <= bound:
+        take += 1
+    return Probe(grams, order[:take], math.ceil(least * len(grams) - 1e-9), math.floor(len(grams) / least + 1e-9), least, sum(sizes[g] for g in order[:take]), sum(sizes.values()))
+
+
+#: Candidates up to which rows are looked up by a filter that reaches the pages; beyond, they are joined.
+LOOKED_UP = 2_000
 
 
 def lexical_indexed(spark: SparkSession, path: str, query: str, key: str, n: int = CANDIDATES, least: float = LEAST) -> DataFrame:
-    """``lexical`` from an index."""
-    wanted = spark.range(1).select(t.trigrams(F.lit(query)).alias("g")).first()["g"]
-    hits = spark.read.parquet(path).where(F.col("gram").isin(wanted)).groupBy("key").agg(F.count("*").alias("both"), F.first("n").alias("n"))
-    score = F.col("both") / (F.col("n") + len(wanted) - F.col("both"))
-    return hits.select(F.col("key").alias(key), score.alias("lexical")).where(F.col("lexical") >= least).orderBy(F.desc("lexical"), key).limit(n)
+    """``lexical`` from an index, exactly: lists of the rarest trigrams give candidates by the number of hits that their
+    length asks for, and the candidates' own trigrams decide."""
+    probe = lexical_probe(spark, path, query, least)
+    rows = spark.read.parquet(f"{path}/rows")
+    if not probe.grams:
+        return rows.where("false").select(F.col("key").alias(key), F.lit(0.0).alias("lexical"))
+    listed = spark.read.parquet(f"{path}/postings").where(F.col("gram").isin(probe.lists) & F.col("n").between(probe.least_n, probe.most_n))
+    candidates = listed.groupBy("row").agg(F.count("*").alias("hits"), F.first("n").alias("n")).where(F.col("hits") >= probe.hits(F.col("n"))).select("row")
+    few = [r["row"] for r in candidates.limit(LOOKED_UP + 1).collect()]
+    own = rows.where(F.col("row").isin(few)) if len(few) <= LOOKED_UP else rows.join(candidates, "row", "left_semi")
+    score = t.trigram_similarity(F.col("grams"), F.lit(probe.grams).cast("array<string>"))
+    return own.select(F.col("key").alias(key), score.alias("lexical")).where(F.col("lexical") >= least).orderBy(F.desc("lexical"), key).limit(n)
 
 
 def _placed(centres: np.ndarray):

@@ -38,9 +38,12 @@ def main(argv: list[str] | None = None) -> None:
     r, w = runs.Runs(spark, a.root, a.golden), warehouse.Warehouse(spark, f"{a.root}/db")
     shown = lambda x: print(json.dumps(x, default=str, ensure_ascii=False, indent=1))
     if a.command == "inventory":
-        found = xlsx.inventory(spark, a.path).cache()
+        cells = xlsx.read_cells(spark, a.path).cache()
+        found, failed = xlsx.inventory(spark, a.path, cells).cache(), xlsx.unreadable(cells)
         if a.out:
             found.write.parquet(a.out)
+            failed.write.parquet(f"{a.out.rstrip('/')}_unreadable")
+        failed.show(50, truncate=False)
         found.select("file_path", "guess").dropDuplicates(["file_path"]).groupBy("guess").count().orderBy("guess").show()
         found.show(20, truncate=False)
     elif a.command == "classify":

@@ -284,8 +284,8 @@ s AS ({SEMANTIC_SQL.replace("FROM embeddings e,", "FROM (SELECT embeddings.* FRO
 SELECT coalesce(l.doc_id, s.vec_id) AS doc_id, round(0.7 * coalesce(s.s, 0) + 0.3 * coalesce(l.v, 0), 6) AS score FROM l FULL JOIN s ON l.doc_id = s.vec_id ORDER BY 0.7 * coalesce(s.s, 0) + 0.3 * coalesce(l.v, 0) DESC, 1 LIMIT 10""")
 def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents").select("doc_id", "text")
-    both = d.join(read(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id"), "doc_id")
-    out = search.hybrid(both, "the thing and other words of that in the", _vector(spark, sf_dir), "doc_id", "text", "embedding")
+    e = read(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id")
+    out = search.hybrid(d, "the thing and other words of that in the", _vector(spark, sf_dir), "doc_id", "text", "embedding", vectors=e)
     return out.select("doc_id", F.round("score", 6).alias("score"))
 
 

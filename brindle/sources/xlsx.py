@@ -1,4 +1,4 @@
-"""Workbooks as cell rows: a Spark data source, one partition a file, on the standard library's zip and XML readers."""
+"""Workbooks as cell rows, on the standard library's zip and XML readers; ``workbook`` has the data source over them."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 from xml.etree import ElementTree
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,34 +31,66 @@ def column_of(ref: str) -> int:
     return n - 1
 
 
-def read_workbook(content: bytes) -> Iterator[tuple[int, str, int, list[str | None]]]:
-    """(sheet index, sheet name, row from 1, cells) of every sheet. Values as they are cached; of a merged range only the
-    first cell has one; empty rows before the first with a value are left out and rows counted from there. Raises where
-    the content is no workbook of this format. Names that a workbook defines are never read, so
-    broken ones do no harm."""
-    book = zipfile.ZipFile(io.BytesIO(content))
-    names = set(book.namelist())
-    shared = [] if "xl/sharedStrings.xml" not in names else ["".join(t.text or "" for t in si.iter(f"{_MAIN}t")) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).findall(f"{_MAIN}si")]
+def opened(file: IO[bytes]) -> tuple[zipfile.ZipFile, list[tuple[int, str, str]]]:
+    """The archive, of which the directory alone is read, and (index, name, entry) of its sheets. Raises where the file is no
+    workbook of this format."""
+    book = zipfile.ZipFile(file)
     rels = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels")).iter(f"{_PKG}Relationship")}
+    sheets = []
     for index, sheet in enumerate(ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{_MAIN}sheet")):
         target = rels[sheet.get(f"{_REL}id")].lstrip("/")
-        first = None
-        with book.open(target if target.startswith("xl/") else f"xl/{target}") as f:
-            number = 0
-            for _, el in ElementTree.iterparse(f):
-                if el.tag != f"{_MAIN}row":
-                    continue
-                number = int(el.get("r") or number + 1)
-                cells: list[str | None] = []
-                for c in el.findall(f"{_MAIN}c"):
-                    at = column_of(c.get("r")) if c.get("r") else len(cells)
-                    cells += [None] * (at - len(cells))
-                    cells.append(_value(c, shared))
-                el.clear()
-                if first is None and not any(v not in (None, "") for v in cells):
-                    continue
-                first = first or number
-                yield index, sheet.get("name"), number - first + 1, cells
+        sheets.append((index, sheet.get("name"), target if target.startswith("xl/") else f"xl/{target}"))
+    return book, sheets
+
+
+def shared_strings(book: zipfile.ZipFile) -> list[str]:
+    """The texts that cells refer to by number: the one part of a workbook that is held whole."""
+    out: list[str] = []
+    if "xl/sharedStrings.xml" in book.namelist():
+        with book.open("xl/sharedStrings.xml") as f:
+            top = None
+            for event, el in ElementTree.iterparse(f, ("start", "end")):
+                top = el if top is None else top
+                if event == "end" and el.tag == f"{_MAIN}si":
+                    out.append("".join(t.text or "" for t in el.iter(f"{_MAIN}t")))
+                    top.clear()
+    return out
+
+
+def sheet_rows(book: zipfile.ZipFile, entry: str, shared: list[str]) -> Iterator[tuple[int, list[str | None]]]:
+    """(row from 1, cells) of a sheet, as its entry is inflated; what has been given is forgotten. Empty rows before the
+    first with a value are left out and rows counted from there."""
+    first, number, parent = None, 0, None
+    with book.open(entry) as f:
+        for event, el in ElementTree.iterparse(f, ("start", "end")):
+            if event == "start":
+                parent = el if el.tag == f"{_MAIN}sheetData" else parent
+                continue
+            if el.tag != f"{_MAIN}row":
+                continue
+            number = int(el.get("r") or number + 1)
+            cells: list[str | None] = []
+            for c in el.findall(f"{_MAIN}c"):
+                at = column_of(c.get("r")) if c.get("r") else len(cells)
+                cells += [None] * (at - len(cells))
+                cells.append(_value(c, shared))
+            if parent is not None:
+                parent.clear()
+            if first is None and not any(v not in (None, "") for v in cells):
+                continue
+            first = first or number
+            yield number - first + 1, cells
+
+
+def read_workbook(content: bytes) -> Iterator[tuple[int, str, int, list[str | None]]]:
+    """(sheet index, sheet name, row from 1, cells) of every sheet. Values as they are cached; of a merged range only the
+    first cell has one. Raises where the content is no workbook of this format. Names that a workbook defines are never
+    read, so broken ones do no harm."""
+    book, sheets = opened(io.BytesIO(content))
+    shared = shared_strings(book)
+    for index, name, entry in sheets:
+        for number, cells in sheet_rows(book, entry, shared):
+            yield index, name, number, cells
 
 
 def read_old_workbook(content: bytes) -> Iterator[tuple[int, str, int, list[str | None]]]:
@@ -96,8 +129,15 @@ def _value(c: ElementTree.Element, shared: list[str]) -> str | None:
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    """Cell rows of all workbooks below ``path``, by Spark's own file listing and reading; a file that cannot be read gives
-    one row with an error."""
+    """Cell rows of all workbooks below ``path``: a partition a sheet where Python can open the files, else by Spark's own
+    listing and reading. A file that cannot be read gives one row with an error."""
+    from brindle.sources import workbook
+
+    return workbook.read(spark, path) if workbook.reachable(path) else read_contents(spark, path)
+
+
+def read_contents(spark: SparkSession, path: str) -> DataFrame:
+    """The same by way of whole files, for storage that only Spark reaches."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     ok = F.lower(F.col("path")).rlike(r"\.(xlsx|xlsm|xls)$")
 
@@ -130,15 +170,24 @@ def dimensions(cells: DataFrame) -> DataFrame:
     return cells.where("error is null and sheet_name is not null").groupBy("file_path", "sheet_idx", "sheet_name").agg(F.max("row_idx").alias("max_row"), F.max(F.size("cells")).alias("max_col"))
 
 
-def inventory(spark: SparkSession, path: str) -> DataFrame:
-    """A row a sheet: file facts, dimensions, hints from the names, the form guessed from the shape."""
+def unreadable(cells: DataFrame) -> DataFrame:
+    """(file_path, error): the files that no reader could read."""
+    return cells.where("error is not null").select("file_path", "error")
+
+
+def inventory(spark: SparkSession, path: str, cells: DataFrame | None = None) -> DataFrame:
+    """A row a sheet: file facts, dimensions, hints from the file's and from the sheet's name, the form guessed from the
+    shape. Files that cannot be read have no row here: ``unreadable`` lists them."""
     from brindle.operators import classify
 
-    sheets = dimensions(read_cells(spark, path))
+    sheets = dimensions(read_cells(spark, path) if cells is None else cells)
     facts = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("file_path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"))
     by_file = sheets.groupBy("file_path").agg(F.count("*").alias("sheet_count"), F.collect_set("sheet_name").alias("names"), F.max("max_col").alias("widest"))
-    name = F.concat_ws(" ", F.element_at(F.split("file_path", "/"), -1), "sheet_name")
-    return sheets.join(by_file, "file_path").join(facts, "file_path").select("file_path", "size_bytes", "modified_at", "sheet_count", "sheet_idx", "sheet_name", "max_row", "max_col", classify.guess(F.col("names"), F.col("widest")).alias("guess"), classify.name_hints(name).alias("h")).select("*", "h.*").drop("h")
+    file_hints, sheet_hints = classify.name_hints(F.element_at(F.split("file_path", "/"), -1)), classify.name_hints(F.col("sheet_name"))
+    out = sheets.join(by_file, "file_path").join(facts, "file_path")
+    kinds = ("model", "grade", "region", "date")
+    hints = [F.coalesce(file_hints[k], sheet_hints[k]).alias(k) for k in kinds] + [sheet_hints[k].alias(f"sheet_{k}") for k in kinds]
+    return out.select("file_path", "size_bytes", "modified_at", "sheet_count", "sheet_idx", "sheet_name", "max_row", "max_col", classify.guess(F.col("names"), F.col("widest")).alias("guess"), *hints)
 
 
 def first_sheet(spark: SparkSession, path: str) -> DataFrame:
