@@ -20,7 +20,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--root", default="warehouse")
     p.add_argument("--golden", help="folder of ground truth by file stem")
     sub = p.add_subparsers(dest="command", required=True)
-    for name, args in {"inventory": ["path"], "classify": ["path"], "preprocess": ["path"], "run": ["path"], "review": ["run_id"], "commit": ["run_id"], "rollback": ["run_id"], "quarantine-list": ["run_id"], "quarantine-reprocess": ["run_id"], "schema-export": ["path"], "embed": ["run_id"], "db-load": ["run_id"], "db-rollback": ["run_id"], "db-status": [], "db-verify": ["run_id"], "search": ["query"]}.items():
+    for name, args in {"inventory": ["path"], "classify": ["path"], "preprocess": ["path"], "run": ["path"], "review": ["run_id"], "commit": ["run_id"], "rollback": ["run_id"], "quarantine-list": ["run_id"], "quarantine-reprocess": ["run_id"], "schema-export": ["path"], "embed": ["run_id"], "db-init": [], "db-vacuum": [], "db-rejected": ["run_id"], "db-load": ["run_id"], "db-rollback": ["run_id"], "db-status": [], "db-verify": ["run_id"], "search": ["query"]}.items():
         c = sub.add_parser(name)
         for a in args:
             c.add_argument(a)
@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None) -> None:
             c.add_argument("--out", help="also write the inventory as parquet")
         if name == "run":
             c.add_argument("--commit", action="store_true")
+        if name == "db-vacuum":
+            c.add_argument("--grace", type=float, default=86_400.0, help="seconds that an unused version is kept")
         if name == "search":
             c.add_argument("--top-k", type=int, default=search.TOP_K)
             c.add_argument("--form-version")
@@ -66,6 +68,12 @@ def main(argv: list[str] | None = None) -> None:
         shown(r.reprocess(a.run_id, ROW))
     elif a.command == "db-load":
         shown(w.load(r.rows(a.run_id).withColumn("row_index", F.col("row_idx")), a.run_id))
+    elif a.command == "db-init":
+        shown({"written": w.init()})
+    elif a.command == "db-vacuum":
+        shown({"deleted": w.vacuum(a.grace)})
+    elif a.command == "db-rejected":
+        w.rejected(a.run_id).show(50, truncate=False)
     elif a.command == "embed":
         shown({"embedded": w.update_embeddings(a.run_id)})
     elif a.command == "db-rollback":

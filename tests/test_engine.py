@@ -305,10 +305,10 @@ def test_warehouse_pointer_and_embeddings(spark, tmp_path):
     w.load(rows, "r1", search.hashed_vectors)
     assert {len(r.change_point_embedding) for r in w.table("change_events").collect()} == {search.DIM}
     # a load that breaks before its ledger row is not seen
-    (mark, w._mark) = (w._mark, lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    (commit, w._commit) = (w._commit, lambda *a: (_ for _ in ()).throw(OSError("lost")))
     with pytest.raises(OSError):
         w.load(rows.withColumn("part_name", F.lit("half")), "r2")
-    w._mark = mark
+    w._commit = commit
     assert w.table("change_events").count() == 2 and {r.part_name for r in w.table("parts").collect()} == {"n"} and w.runs().count() == 1
     w.load(rows.withColumn("part_name", F.lit("new")), "r2")
     assert {r.part_name for r in w.table("parts").collect()} == {"new"} and w.table("change_events").count() == 4
