@@ -80,29 +80,26 @@ reach(id, c) AS (SELECT id, id FROM nodes UNION SELECT b, c FROM reach JOIN both
 
 
 def _license_sql() -> str:
-    """Blocks as the operator defines them, by other means: sentence ends become blank lines, and both wholes and lines
-    of the blocks between blank lines are compared with every template."""
-    rows = ", ".join(f"('{label}', {k}, {tokens}, {licenses.needed(len(tokens))})" for k, (label, tokens) in enumerate(licenses.template_tokens()))
+    """Spans as the operator defines them, by window frames over all places of the templates' tokens."""
+    rows = ", ".join(f"({k}, '{label}', {tokens}, {len(tokens)}, {licenses.needed(len(tokens))}, {span})" for k, (label, tokens, span) in enumerate(licenses.template_tokens()))
     places = " || ".join(f"[struct_pack(label := '{label}', at := i - 1) FOR i IN generate_series(1, len(w)) IF {' AND '.join(f"w[i + {k}] = '{p}'" for k, p in enumerate(phrase))}]" for label, phrase in licenses.PHRASES.items())
-    return f"""WITH t(label, template, tokens, need) AS (VALUES {rows}),
-d AS (SELECT row_number() OVER () AS id, doc_id, {LOWER} AS low, regexp_extract_all({LOWER}, '{licenses.WORD}') AS w FROM documents),
+    frames = " UNION ALL ".join(f"SELECT id, template, pos, list(DISTINCT word) OVER f AS has, max(pos) OVER f AS last FROM p WHERE span = {span} WINDOW f AS (PARTITION BY id, template ORDER BY pos RANGE BETWEEN CURRENT ROW AND {span - 1} FOLLOWING)" for span in sorted({t[2] for t in licenses.template_tokens()}))
+    return f"""WITH t(template, label, tokens, size, need, span) AS (VALUES {rows}),
+d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all({LOWER}, '{licenses.WORD}') AS w FROM documents),
 h AS (SELECT id, doc_id, len(w) AS n_words, {places} AS hits FROM d),
-s AS (SELECT id, regexp_split_to_array(regexp_replace(low, '([.!?])[\x20\t\r\n]+', '\1
-
-', 'g'), '\n[\x20\t\r\n]*\n') AS s FROM d),
-b AS (SELECT id, unnest(generate_series(1, len(s))) AS block, unnest(s) AS whole FROM s),
-l AS (SELECT id, block, whole, regexp_split_to_array(whole, '\n+') AS lines FROM b),
-p AS (SELECT id, block, -1 AS part, whole AS part_text FROM l WHERE len(lines) > 1 UNION ALL SELECT id, block, unnest(generate_series(1, len(lines))), unnest(lines) FROM l),
-w AS (SELECT id, block, part, list_distinct(regexp_extract_all(part_text, '{licenses.WORD}')) AS words FROM p),
-m AS (SELECT id, block, part, label, template, len(list_intersect(words, tokens)) / len(tokens) AS c FROM w, t WHERE len(words) >= need AND len(list_intersect(words, tokens)) >= need),
-g AS (SELECT id, block, template, count(*) FILTER (part >= 0) AS lines FROM m GROUP BY ALL),
-n AS (SELECT id, count(DISTINCT block) AS n FROM g WHERE lines = 0 GROUP BY 1),
-f AS (SELECT id, list(DISTINCT label) AS found, max(c) AS c, count(DISTINCT (block, part)) FILTER (part >= 0) AS n FROM m GROUP BY 1)
-SELECT h.doc_id, n_words, len(hits) AS n_base, list_min([x.at FOR x IN hits]) AS first_word, list_max([x.at FOR x IN hits]) AS last_word,
+tw AS (SELECT template, need, span, unnest(tokens) AS word FROM t),
+w AS (SELECT id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM d),
+e AS (SELECT id, template FROM (SELECT DISTINCT id, word FROM w) JOIN tw USING (word) GROUP BY id, template, need HAVING count(*) >= need),
+p AS (SELECT id, template, pos, word, span FROM w JOIN tw USING (word) SEMI JOIN e USING (id, template)),
+s AS ({frames}),
+m AS (SELECT id, template, label, tokens, size, pos, last, has, len(has) / size AS c FROM s JOIN t USING (template) WHERE len(has) >= need),
+k AS (SELECT * FROM m AS a WHERE NOT EXISTS (SELECT 1 FROM m AS b WHERE a.id = b.id AND b.pos <= a.last AND a.pos <= b.last AND (b.c > a.c OR b.c = a.c AND b.size > a.size) AND len(list_intersect(a.has, b.tokens)) = len(a.has))),
+f AS (SELECT id, list(DISTINCT label) AS found, max(c) AS c, count(*) AS n FROM k GROUP BY 1)
+SELECT doc_id, n_words, len(hits) AS n_base, list_min([x.at FOR x IN hits]) AS first_word, list_max([x.at FOR x IN hits]) AS last_word,
   array_to_string(list_sort(list_distinct([x.label FOR x IN hits])), ',') AS base_labels,
   array_to_string(list_sort(list_distinct([x.label FOR x IN hits] || coalesce(found, []))), ',') AS labels,
-  CASE WHEN len(hits) > 0 THEN 1.0::DOUBLE ELSE coalesce(f.c, 0)::DOUBLE END AS score, coalesce(f.n, 0) + coalesce(n.n, 0) AS n_blocks
-FROM h LEFT JOIN f ON h.id = f.id LEFT JOIN n ON h.id = n.id"""
+  CASE WHEN len(hits) > 0 THEN 1.0::DOUBLE ELSE coalesce(f.c, 0)::DOUBLE END AS score, coalesce(f.n, 0) AS n_spans
+FROM h LEFT JOIN f USING (id)"""
 
 
 def _audit_sql() -> str:

@@ -128,16 +128,73 @@ def test_licenses(docs, rows, empty):
     assert all(r.labels == "" and r.score == 0 and r.first_word is None for r in got if r.doc_id != 15)
 
 
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction"
+BSD = " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions are met:\n *"
+
+
+def labelled(spark, texts):
+    return {r.doc_id: (r.labels, r.n_spans) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+
+
 def test_licenses_wrapped(spark):
-    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction"
-    bsd = " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions are met:\n *"
+    """Over line ends, blank lines and comment signs; nothing for tokens that lie apart."""
     isc = "Permission to use, copy, modify, and/or distribute this software for any\r\npurpose with or without fee is hereby granted, provided that"
-    by, nc = "Licensed under CC BY 4.0.", "Licensed under CC BY-NC 4.0."
     gpl = "This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation"
-    more = {8: (by, ("cc-by", 1)), 9: (nc, ("cc-by,cc-by-nc", 1)), 10: (gpl, ("gpl", 1)), 11: ("MIT Li\u212aense \u0130 mit license", ("mit", 0))}
-    texts = {k: t for k, (t, _) in more.items()} | {1: f"One line.\n\n{mit}.\n\nThe end.", 2: bsd, 3: isc, 4: mit.replace("\n", "\n\n"), 5: f"{mit}\n\n{bsd}\n{bsd}", 6: "All rights reserved.\nall rights reserved\nof them all", 7: "all\nrights.\nreserved"}
-    got = {r.doc_id: (r.labels, r.n_blocks) for r in licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
-    assert got == {1: ("mit", 1), 2: ("bsd", 1), 3: ("isc", 1), 4: ("", 0), 5: ("bsd,mit", 2), 6: ("proprietary", 2), 7: ("", 0)} | {k: v for k, (_, v) in more.items()}
+    texts = [f"One line.\n\n{MIT}.\n\nThe end.", BSD, isc, MIT.replace("\n", "\n\n"), f"{MIT}\n\n{BSD}\n{BSD}", "All rights reserved.\nof all rights\n\nreserved", gpl, "MIT Li\u212aense \u0130 mit license"]
+    texts += ["all " + "x " * 200 + "rights " + "x " * 200 + "reserved", "rights of all that are reserved", " ".join(f"x {w}" for w in MIT.split())]
+    got = {k: v[0] for k, v in labelled(spark, texts).items()}
+    assert got == {0: "mit", 1: "bsd", 2: "isc", 3: "mit", 4: "bsd,mit", 5: "proprietary", 6: "gpl", 7: "mit", 8: "", 9: "", 10: ""}
+
+
+def test_licenses_give_way(spark):
+    """A restricted or other license is not taken for the one that its words also hold; side by side both are found."""
+    boost = "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\")"
+    texts = ["Licensed under CC BY 4.0.", "Licensed under CC BY-NC 4.0.", "CC BY-NC-SA 4.0", boost, f"{boost} {MIT}", "CC BY-ND 4.0 or, as said below, and for other works than those named above, CC BY 4.0.", "Creative Commons Attribution-NonCommercial-NoDerivatives", "under the GNU Lesser General Public License"]
+    got = {k: v[0] for k, v in labelled(spark, texts).items()}
+    assert got == {0: "cc-by", 1: "cc-by-nc", 2: "cc-by-nc-sa", 3: "boost", 4: "boost,mit", 5: "cc-by,cc-by-nd", 6: "cc-by-nc-nd", 7: "gpl,lgpl"}
+
+
+def test_licenses_by_name(spark):
+    names = {"MIT": "mit", "Apache-2.0": "apache", "GPL-3.0-or-later": "gpl", "LGPL-2.1-only": "lgpl", "BSD-3-Clause": "bsd", "CC0-1.0": "cc0", "CC-BY-SA-4.0": "cc-by-sa", "BSL-1.0": "boost", "Unlicense": "unlicense", "None": ""}
+    got = labelled(spark, [f"// SPDX-License-Identifier: {n}\nint main" for n in names])
+    assert [got[k][0] for k in range(len(names))] == list(names.values())
+    assert [v[0] for _, v in sorted(labelled(spark, ["the ISC License", "BSD 2-Clause", "Mozilla Public License", "public domain"]).items())] == ["isc", "bsd", "mpl", ""]
+
+
+def test_licenses_against_all_spans(spark):
+    """Every span compared with every template, at random places of longer texts, around the ends of stretches."""
+    rng = random.Random(21)
+    templates = licenses.template_tokens()
+    common_words = sorted({t for _, tokens, _ in templates for t in tokens})
+    texts = []
+    for k in range(60):
+        w = [rng.choice(common_words if rng.random() < 0.3 else ["x", "y", "zz"]) for _ in range(rng.randint(0, 300))]
+        for _ in range(rng.randint(0, 3)):
+            notice = re.findall(licenses.WORD, rng.choice(licenses.TEMPLATES)[1].lower())
+            at = rng.choice([rng.randint(0, len(w)), max(0, min(len(w), 64 * rng.randint(0, 4) - rng.randint(0, 30)))])
+            w[at:at] = [x for x in notice if rng.random() < 0.97]
+        texts.append(" ".join(w))
+
+    def plain(w):
+        found = []
+        for label, tokens, span in templates:
+            need = licenses.needed(len(tokens))
+            for s, x in enumerate(w):
+                if x in tokens and len(has := {y for y in w[s : s + span] if y in tokens}) >= need:
+                    end = max(s + i for i, y in enumerate(w[s : s + span]) if y in tokens)
+                    found.append((label, set(tokens), s, end, has, len(has) / len(tokens)))
+        left = [t for t in found if not any((u[5] > t[5] or (u[5] == t[5] and len(u[1]) > len(t[1]))) and u[2] <= t[3] and t[2] <= u[3] and t[4] <= u[1] for u in found)]
+        return {t[0] for t in left}, len(left), max((t[5] for t in left), default=0.0)
+
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    hits = 0
+    for k, text in enumerate(texts):
+        labels, n, score = plain(text.split())
+        r = got[k]
+        base = set(r.base_labels.split(",")) - {""}
+        assert (set(r.labels.split(",")) - {""}, r.n_spans) == (labels | base, n) and (r.score == 1.0 if base else r.score == pytest.approx(score))
+        hits += n
+    assert hits > 80
 
 
 def test_pii_base():
@@ -494,7 +551,7 @@ def test_clashing_columns(spark):
     clash = pages.selectExpr("*", *(f"'x' AS {n}" for n in ("sha256", "payload", "header", "salt", "salts", "pick", "n", "uri", "record")))
     read = lambda df: Counter((r.page_id, bytes(r.record), bytes(r.payload), r.sha256) for r in warc.read_archive(*warc.write_archive(df)).collect())
     assert read(clash) == read(pages) and sum(read(clash).values()) == 3
-    texts = spark.createDataFrame([(1, "MIT License", "x"), (None, "x@y.de", "x")], "doc_id long, text string, row string").selectExpr("*", *(f"'x' AS {n}" for n in ("block", "hits", "found", "spans", "rest", "bin", "bucket", "crcs", "media", "frames")))
+    texts = spark.createDataFrame([(1, "MIT License", "x"), (None, "x@y.de", "x")], "doc_id long, text string, row string").selectExpr("*", *(f"'x' AS {n}" for n in ("stretch", "hits", "found", "spans", "rest", "bin", "bucket", "crcs", "media", "frames")))
     assert {r.labels for r in licenses.scan(texts).collect()} == {"mit", ""} and {r.n_email for r in pii.report(texts).collect()} == {0, 1}
     assert gif.store_texts(texts).count() == 2 and pack.packed(texts, public_tokenizers.path("byte_bpe_50k.json")).count() == 2
 
