@@ -164,7 +164,7 @@ class Warehouse:
         key = KEYS[name]
         mine = new.where(F.col("bucket").isin([int(b) for b in some]))
         old = self._buckets(name, {b: pointers[b] for b in some if b in pointers}).withColumn("bucket", bucket(key))
-        done = upserted(old, mine, [key]).repartition(max(1, len(some)), "bucket").sortWithinPartitions("bucket", key)
+        done = upserted(old, mine, [key]).repartition("bucket").sortWithinPartitions("bucket", key)
         self._written(done, f"{self.root}/{name}/{version}", key, "bucket")
         return dict.fromkeys(some, version)
 
