@@ -156,24 +156,25 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lan
     threshold = F.coalesce(*(F.when(F.col("lang") == k, F.lit(int(min(1.0, each / max(n, 1)) * 2**31))) for k, n in counts.items()), F.lit(0))
     sample = rows.withColumn("name", F.xxhash64("text")).where(F.pmod("name", F.lit(2**31)) < threshold)
     sample = sample.groupBy("lang", "name").agg(F.first("text").alias("text")).select("text", "lang")  # copies count once
+    sample = common.staged(sample, "language-sample")
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("x", T.BinaryType())])
 
-    def run(batch):
-        """A vector a text, and the triples that the batch has, without a language."""
-        langs, vectors, seen = [], [], np.zeros(SEEN, bool)
-        for lang, text in zip(batch.column(1).to_pylist(), batch.column(0)):
-            if (found := _grams(text.as_py())) is not None:
-                langs.append(lang)
-                vectors.append(_vector(*found).astype(np.float16).tobytes())
-                seen[found[1] >> np.uint32(32 - 18)] = True
-        return common.batch(schema, [[*langs, None], [*vectors, np.packbits(seen).tobytes()]])
-
-    data = common.map_batches(sample, run, schema).limit(2 * max_rows).collect()
+    def vectors(batch):
+        found = [(lang, _grams(text.as_py())) for lang, text in zip(batch.column(1).to_pylist(), batch.column(0))]
+        found = [(lang, g) for lang, g in found if g is not None]
+        return common.batch(schema, [[lang for lang, _ in found], [_vector(*g).astype(np.float16).tobytes() for _, g in found]])
+
+    def triples(batch):
+        found = [g[1] >> np.uint32(32 - 18) for g in (_grams(text.as_py()) for text in batch.column(0)) if g is not None]
+        return common.batch(places, [pa.array(np.unique(np.concatenate(found)).astype(np.int32) if found else [], pa.int32())])
+
+    places = T.StructType([T.StructField("place", T.IntegerType())])
+    data = common.map_batches(sample, vectors, schema).limit(2 * max_rows).collect()
     seen = np.zeros(SEEN, bool)
-    for r in data:
-        if r["lang"] is None:
-            seen |= np.unpackbits(np.frombuffer(r["x"], np.uint8)).astype(bool)
-    data = sorted((r for r in data if r["lang"] is not None), key=lambda r: (r["lang"], bytes(r["x"])))
+    # of the whole sample, however many batches it has: at most SEEN numbers
+    seen[common.map_batches(sample.select("text"), triples, places).distinct().toArrow()["place"].to_numpy()] = True
+    common.drop(sample)
+    data = sorted(data, key=lambda r: (r["lang"], bytes(r["x"])))
     langs = sorted({r["lang"] for r in data})
     y = np.array([r["lang"] for r in data])
     x = np.frombuffer(b"".join(r["x"] for r in data), np.float16).reshape(-1, BUCKETS).astype(np.float32)

@@ -426,6 +426,79 @@ def test_cover_tree(spark):
     assert covertree.links(df.limit(0)).count() == 0
 
 
+def plain_svm(x, sign, c=10.0):
+    """The same problem by Newton steps on the rows that are within the margin, in the space that the rows span."""
+    q, _ = np.linalg.qr(x.T.astype(float))
+    z = np.hstack([x @ q, np.ones((len(x), 1))])
+    weight = np.where(sign > 0, 0.5 / (sign > 0).sum(), 0.5 / (sign < 0).sum()) * c
+    ridge = np.eye(z.shape[1])
+    ridge[-1, -1] = 1e-9
+    loss = lambda w: 0.5 * w[:-1] @ w[:-1] + (weight * np.maximum(0, 1 - sign * (z @ w)) ** 2).sum()
+    w = np.zeros(z.shape[1])
+    for _ in range(100):
+        inside = sign * (z @ w) < 1
+        zi, wi = z[inside], weight[inside]
+        goal = np.linalg.solve(ridge + 2 * zi.T @ (wi[:, None] * zi), 2 * zi.T @ (wi * sign[inside]))
+        step = 1.0
+        while step > 1e-6 and loss(w + step * (goal - w)) > loss(w):
+            step /= 2
+        if np.abs(step * (goal - w)).max() < 1e-10:
+            break
+        w = w + step * (goal - w)
+    return np.append(q @ w[:-1], w[-1])
+
+
+def plain_features(text):
+    low = f" {text.lower()} "
+    signs = [c if c.isalpha() else " " for c in low]
+    if not any(c != " " for c in signs):
+        return None
+    x, wrap = np.zeros(langid.BUCKETS), (1 << 32) - 1
+    for i in range(len(signs) - 1):
+        a, b = ord(signs[i]), ord(signs[i + 1])
+        pair = (a * 2654435761 & wrap) ^ (b * 2246822519 & wrap)
+        if (a, b) != (32, 32):
+            x[(pair * 374761393 & wrap) >> 20] += 1
+        if i + 2 < len(signs) and b != 32:
+            triple = (pair * 3266489917 & wrap) ^ (ord(signs[i + 2]) * 668265263 & wrap)
+            x[(triple * 374761393 & wrap) >> 20] += 1
+    return np.sqrt(x) / np.sqrt(x.sum())
+
+
+def test_language_against_another_solver(spark):
+    """Features sign by sign, the machines by Newton's method: decisions are equal wherever the margin is clear."""
+    rng = random.Random(31)
+    stems = {"de": ["sch", "ung", "der", "ein", "ich"], "nl": ["aan", "ijk", "het", "een", "sch"], "fr": ["eau", "tion", "les", "oi", "que"], "es": ["cion", "los", "que", "ado", "ll"], "pl": ["szcz", "nie", "owa", "rz"]}
+    text = lambda lang, n: " ".join("".join(rng.choice(stems[lang]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+    rows = [(i, text(lang, rng.randint(8, 40)), lang) for i, lang in enumerate(sorted(stems) * 24)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7))
+    x = np.array([plain_features(t) for _, t, _ in rows])
+    langs = np.array([lang for *_, lang in rows])
+    names = list(model.families)
+    assert sorted(names) == ["germanic", "romance", "slavic"]
+    top = {f: plain_svm(x, np.where([langid.family(v) == f for v in langs], 1.0, -1.0)) for f in names}
+    pairs = {k: plain_svm(x[(langs == k[0]) | (langs == k[1])], np.where(langs[(langs == k[0]) | (langs == k[1])] == k[0], 1.0, -1.0)) for k in model.pairs}
+    assert set(pairs) == {("de", "nl"), ("es", "fr")}
+    clear = 0
+    for k in range(150):
+        t = text(rng.choice(sorted(stems)), rng.randint(2, 12))
+        v = plain_features(t)
+        assert np.allclose(v, langid.features(t), atol=1e-6)
+        margins = sorted(((w[:-1] @ v + w[-1], f) for f, w in top.items()), reverse=True)
+        family = margins[0][1]
+        mine, least = model.families[family][0], margins[0][0] - margins[1][0]
+        if len(model.families[family]) > 1:
+            a, b = model.families[family]
+            d = pairs[a, b][:-1] @ v + pairs[a, b][-1]
+            mine, least = (a if d > 0 else b), min(least, abs(d))
+        if least > 0.1:
+            clear += 1
+            assert model.predict(t)[0] == mine
+    assert clear > 100
+    # every triple of the training is remembered, in however many batches it came
+    assert all(model.known(t, 0.0) and model.seen[langid._grams(t)[1] >> np.uint32(14)].all() for _, t, _ in rows)
+
+
 def test_pack(spark, docs, rows, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     from tokenizers import Tokenizer
