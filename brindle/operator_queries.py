@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle import config
-from brindle.operators import axioms, classify, diff, extract, graph, mapping, normalize, quarantine, resolve, search, validate
+from brindle.operators import axioms, classify, diff, extract, graph, mapping, normalize, quarantine, resolve, search, states, validate
 from brindle.plans import warehouse
-from brindle.queries import DIFF_SQL, ORACLE_SQL, SOURCE_SQL, _diff_sides, _vector, canonical, processed, query, read
+from brindle.queries import COUNTS, DIFF_SQL, METRICS, METRICS_SQL, ORACLE_SQL, SOURCE_SQL, _diff_sides, _vector, canonical, processed, query, read
 from brindle.sources import xlsx
 
 # Values
@@ -230,6 +230,19 @@ def diff_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff.samples(auto, golden, "k", 10).select("k", F.array_join("wrong", ",").alias("wrong"))
 
 
+@query(SOURCE_SQL + """, r AS (SELECT trim(split_part(x, ':', 1)) AS reason, count(*) AS n FROM (SELECT unnest(string_split(quarantine_reason, ';')) AS x FROM done WHERE quarantine_reason IS NOT NULL) GROUP BY ALL),
+dup AS (SELECT sum(n - 1) / sum(n) AS duplicate_rate FROM (SELECT count(*) AS n FROM done GROUP BY base_part_no, model_code))
+SELECT round(duplicate_rate, 6) AS duplicate_rate, (SELECT string_agg(reason || '=' || CAST(n AS VARCHAR), ',' ORDER BY reason) FROM r) AS reasons, m.* FROM dup, (SELECT """ + METRICS_SQL + """ FROM done) m""")
+def merged_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five runs' states, written and added up, against the metrics of all rows."""
+    rows, at = processed(spark, sf_dir).withColumn("run", F.col("row_index") % 5), _folder(spark, "states")
+    states.state(rows, ["run"]).write.parquet(f"{at}/states")
+    states.key_counts(rows, ["run"]).write.parquet(f"{at}/keys")
+    found = states.report(spark.read.parquet(f"{at}/states").drop("run"), spark.read.parquet(f"{at}/keys").drop("run"))
+    shown = F.array_join(F.transform(F.array_sort(F.map_entries("drop_reasons")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return found.select(F.round("duplicate_rate", 6).alias("duplicate_rate"), shown.alias("reasons"), *(F.round(c, 6).alias(c) for c in METRICS), *COUNTS)
+
+
 # Quarantine and store
 
 

@@ -97,22 +97,53 @@ def stem(path: str) -> str:
     return PurePosixPath(path).stem
 
 
-def load_golden(spark: SparkSession, folder: str, stems: list[str]) -> DataFrame | None:
-    """Ground truth of source files by their stems, as text with ``stem``: ``<stem>.parquet``, else the first sheet of
-    ``<stem>.xlsx`` with its header in the first row. None where no file has any."""
+def _parquet_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, values) of small Parquet files of whatever schemas, all in one scan: a row's values as text by column."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).where("path like '%.parquet'").select("path", "content")
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import parquet
+
+        schema = pa.schema([("path", pa.string()), ("values", pa.map_(pa.string(), pa.string()))])
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                table = parquet.ParquetFile(pa.BufferReader(content.as_buffer()))
+                for part in table.iter_batches(batch_size=1_000):
+                    rows = [[(c, None if v is None else str(v)) for c, v in r.items()] for r in part.to_pylist()]
+                    yield pa.record_batch([pa.array([path] * len(rows), pa.string()), pa.array(rows, schema.field("values").type)], schema=schema)
+
+    return files.mapInArrow(run, "path string, values map<string,string>")
+
+
+def _sheet_rows(spark: SparkSession, folder: str, names: set[str]) -> DataFrame:
+    """(path, values) of the first sheets of workbooks: the first row names the columns, of equal names the first counts."""
     from brindle.sources import xlsx
 
+    wanted = F.broadcast(spark.createDataFrame([(n,) for n in sorted(names)], "_name string"))  # a row a file
+    cells = xlsx.read_cells(spark, folder).where("error is null and sheet_idx = 0").join(wanted, F.element_at(F.split("file_path", "/"), -1) == F.col("_name"), "left_semi")
+    clean = F.transform("cells", lambda c, i: F.coalesce(F.nullif(F.trim(F.regexp_replace(c, r"(?U)\s+", " ")), F.lit("")), F.concat(F.lit("Unnamed: "), i.cast("string"))))
+    heads = cells.where("row_idx = 1").select(F.col("file_path").alias("_head"), clean.alias("names"))
+    both = cells.where("row_idx > 1").join(heads, F.col("file_path") == F.col("_head"))
+    pairs = F.filter(F.transform("names", lambda n, i: F.struct(n.alias("n"), F.get("cells", i).alias("v"), i.alias("i"))), lambda p: F.array_position("names", p["n"]) == p["i"] + 1)
+    return both.select(F.col("file_path").alias("path"), F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["n"], p["v"]))).alias("values"))
+
+
+def load_golden(spark: SparkSession, folder: str, stems: list[str]) -> DataFrame | None:
+    """Ground truth of source files by their stems, as text with ``stem``: ``<stem>.parquet``, else the first sheet of
+    ``<stem>.xlsx`` with its header in the first row. None where no file has any. However many files there are, the Parquet
+    ones are read in one scan and the workbooks in another."""
     at = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
     there = {f.getPath().getName(): f.getPath().toString() for f in fs.listStatus(at)} if fs.exists(at) else {}
-    out = None
-    for s in sorted(set(stems)):
-        if f"{s}.parquet" in there:
-            df = spark.read.parquet(there[f"{s}.parquet"])
-        elif f"{s}.xlsx" in there:
-            df = xlsx.first_sheet(spark, there[f"{s}.xlsx"])
-        else:
-            continue
-        df = df.select(F.lit(s).alias("stem"), *(F.col(f"`{c}`").cast("string").alias(c) for c in df.columns))
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out
+    wanted = set(stems)
+    tables = {s: there[f"{s}.parquet"] for s in wanted if f"{s}.parquet" in there}
+    books = {f"{s}.xlsx" for s in wanted - set(tables) if f"{s}.xlsx" in there}
+    parts = ([_parquet_rows(spark, sorted(tables.values()))] if tables else []) + ([_sheet_rows(spark, folder, books)] if books else [])
+    if not parts:
+        return None
+    rows = parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
+    # a table may be a folder: its name is the first below the given one
+    rows = rows.select(F.regexp_extract("path", r"/([^/]+?)\.(?:parquet|xlsx)(?:/[^/]*)?$", 1).alias("stem"), "values")
+    columns = sorted(r["c"] for r in rows.select(F.explode(F.map_keys("values")).alias("c")).distinct().collect())  # a row a column
+    return rows.select("stem", *(F.col("values")[c].alias(c) for c in columns))

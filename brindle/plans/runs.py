@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle import config
-from brindle.operators import classify, diff, extract, mapping, normalize, quarantine, resolve, validate
+from brindle.operators import classify, diff, extract, mapping, normalize, quarantine, resolve, states, validate
 from brindle.plans import report
 from brindle.sources import xlsx
 
@@ -85,12 +85,19 @@ class Runs:
         status = F.when(F.col("error").isNotNull(), "error").when(F.coalesce("form_version", F.lit("unknown")) == "unknown", "needs_human_classification").when(F.col("form_version") == "bom_tree", "bom_tree_deferred").when(F.coalesce("n", F.lit(0)) == 0, "empty").otherwise("ok")
         return out.select("file_path", "form_version", "confidence", status.alias("status"), F.coalesce("n", F.lit(0)).alias("rows_in"), "error")
 
-    def _read(self, path: str, run_id: str) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-        cells = xlsx.read_cells(self.spark, path).cache()
+    def _read(self, path: str, run_id: str, only: list[str] | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+        self._release()
+        self._cells = cells = xlsx.read_cells(self.spark, path, only).cache()
         forms = classify.classify(cells.where("sheet_name is not null"))
         rows = standardised(cells, forms, run_id)
         return self.statuses(cells, forms, rows), rows, raw_counts(cells, forms)
 
+    def _release(self) -> None:
+        """Lets go of the cells that the last reading holds."""
+        cells, self._cells = getattr(self, "_cells", None), None
+        if cells is not None:
+            cells.unpersist()
+
     def preview(self, path: str, run_id: str = "preview") -> tuple[DataFrame, DataFrame | None]:
         """Statuses and rows, nothing written."""
         return self._read(path, run_id)[:2]
@@ -112,10 +119,55 @@ class Runs:
             out[r["source_file"]]["columns"][r["column"]] = r["n"]
         return out
 
-    def run(self, path: str, commit: bool = False, run_id: str | None = None) -> dict:
-        run_id = run_id or new_run_id()
+    def taken(self) -> DataFrame:
+        """(file_path, size_bytes, modified_at, digest, run_id): files that runs have, but for runs that are rolled back."""
+        schema = "file_path string, size_bytes long, modified_at timestamp, digest string, run_id string"
+        fs, p = self._fs(f"{self.root}/taken")
+        if not fs.exists(p):
+            return self.spark.createDataFrame([], schema)
+        found = self.spark.read.schema(schema).parquet(f"{self.root}/taken")
+        gone = []
+        fs, p = self._fs(f"{self.root}/rolled_back")
+        if fs.exists(p):
+            gone = [(f.getPath().getName(),) for f in fs.listStatus(p)]
+        return found.join(F.broadcast(self.spark.createDataFrame(gone, "run_id string")), "run_id", "left_anti")  # a row a run
+
+    def fresh(self, path: str) -> tuple[list[str], DataFrame]:
+        """Files below ``path`` whose content no run has, and all that are new or have changed with their digests. A file
+        with the path, size and time of one that is known is not opened; of equal new ones the first by path is taken."""
+        known = self.taken()
+        changed = xlsx.listed(self.spark, path).join(known.select("file_path", "size_bytes", "modified_at"), ["file_path", "size_bytes", "modified_at"], "left_anti")
+        seen = xlsx.digests(self.spark, path, changed).cache()
+        new = seen.join(known.select("digest").distinct(), "digest", "left_anti").groupBy("digest").agg(F.min("file_path").alias("file_path"))
+        return sorted(r["file_path"] for r in new.select("file_path").collect()), seen  # a row a new file
+
+    def run_new(self, path: str, commit: bool = False, run_id: str | None = None) -> dict | None:
+        """A run over the files that no run has, by content; None, and no workbook read, where there are none. A run of the
+        same name that broke off before its state was written is done again."""
+        only, seen = self.fresh(path)
+        try:
+            if not only:
+                return None
+            run_id = run_id or new_run_id()
+            for part in (f"dry_run/{run_id}", f"quarantine/run_id={run_id}", f"taken/of={run_id}"):
+                fs, p = self._fs(f"{self.root}/{part}")
+                fs.delete(p, True)
+            out = self.run(path, False, run_id, only)
+            seen.withColumn("run_id", F.lit(run_id)).coalesce(1).write.parquet(f"{self.root}/taken/of={run_id}")
+            return self.commit(run_id) if commit else out
+        finally:
+            seen.unpersist()
+
+    def run(self, path: str, commit: bool = False, run_id: str | None = None, only: list[str] | None = None) -> dict:
+        """A dry run over all workbooks below ``path``, or over the files ``only``; with ``commit`` promoted if it may be."""
+        try:
+            return self._run(path, commit, run_id or new_run_id(), only)
+        finally:
+            self._release()
+
+    def _run(self, path: str, commit: bool, run_id: str, only: list[str] | None) -> dict:
         folder = f"{self.root}/dry_run/{run_id}"
-        statuses, rows, raw = self._read(path, run_id)
+        statuses, rows, raw = self._read(path, run_id, only)
         files = [r.asDict() for r in statuses.orderBy("file_path").collect()]  # a row a file
         total, per_file, diffs, verdict = {}, [], {}, {"acceptable": False, "critical_failures": []}
         if rows is not None:
@@ -125,6 +177,8 @@ class Runs:
             normalize.audit(rows, ["source_file", "row_idx"], run_id).write.parquet(f"{folder}/audit")
             raw.write.parquet(f"{folder}/raw")
             raw = self.spark.read.parquet(f"{folder}/raw")
+            states.state(rows, ["source_file"], raw).write.parquet(f"{folder}/metric_states")
+            states.key_counts(rows, ["source_file"]).write.parquet(f"{folder}/key_counts")
             total = validate.gate(validate.report(rows, raw=raw)).first().asDict()
             per_file = [r.asDict() for r in validate.report(rows, ["source_file"], raw).orderBy("source_file").collect()]
             diffs = self.diffs(rows)
@@ -163,6 +217,12 @@ class Runs:
         """The run's rows without a reason."""
         return self.spark.read.parquet(f"{self.find(run_id)[1]}/rows").where("_quarantine_reason is null")
 
+    def metrics(self, run_ids: list[str], by: list[str] | None = None) -> DataFrame:
+        """The gate's row over several runs together (or by ``source_file``), from what each left behind: no row is read."""
+        folders = [self.find(r)[1] for r in run_ids]
+        read = lambda name: self.spark.read.parquet(*(f"{f}/{name}" for f in folders))
+        return validate.gate(states.report(read("metric_states"), read("key_counts"), by))
+
     def reprocess(self, run_id: str, schema: str) -> dict:
         """Quarantined rows once more, as a run of their own that the gate never passes."""
         records = quarantine.listed(self.spark, f"{self.root}/quarantine", run_id)

@@ -222,7 +222,8 @@ class Warehouse:
             made = search.embed(made, "change_point", "change_point_embedding", embedder)
         done = f"{self.root}/change_events/{version}"
         self._written(made.sortWithinPartitions("event_id"), done, "event_id")
-        return {"change_events": self._read("change_events", [done]).count(), "rejected": bad.count()}
+        refused = bad.count()
+        return {"change_events": self._read("change_events", [done]).count()} | ({"rejected": refused} if refused else {})
 
     def rejected(self, run_id: str) -> DataFrame:
         """(event_id, constraint, value, raw_data, run_id): what a run's load refused."""

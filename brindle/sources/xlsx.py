@@ -128,18 +128,35 @@ def _value(c: ElementTree.Element, shared: list[str]) -> str | None:
     return re.sub(r"^(-?\d+)\.0+$", r"\1", v.text)
 
 
-def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    """Cell rows of all workbooks below ``path``: a partition a sheet where Python can open the files, else by Spark's own
-    listing and reading. A file that cannot be read gives one row with an error."""
+def read_cells(spark: SparkSession, path: str, only: list[str] | None = None) -> DataFrame:
+    """Cell rows of all workbooks below ``path``, or of the files ``only``: a partition a sheet where Python can open the
+    files, else by Spark's own listing and reading. A file that cannot be read gives one row with an error."""
     from brindle.sources import workbook
 
-    return workbook.read(spark, path) if workbook.reachable(path) else read_contents(spark, path)
+    return workbook.read(spark, path, only) if workbook.reachable(path) else read_contents(spark, path, only)
 
 
-def read_contents(spark: SparkSession, path: str) -> DataFrame:
+def listed(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, size_bytes, modified_at) of all workbooks below ``path``; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.where(F.lower(F.col("path")).rlike(r"\.(xlsx|xlsm|xls)$")).select(F.col("path").alias("file_path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"))
+
+
+def digests(spark: SparkSession, path: str, only: DataFrame) -> DataFrame:
+    """(file_path, size_bytes, modified_at, digest) of the files of ``only``, whose contents alone are read."""
+    chosen = [r["file_path"] for r in only.select("file_path").collect()]  # a row a file that has changed
+    if not chosen:
+        return only.select("file_path", "size_bytes", "modified_at", F.lit("").alias("digest"))
+    files = spark.read.format("binaryFile").load(chosen)
+    return files.select(F.col("path").alias("file_path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"), F.sha2("content", 256).alias("digest"))
+
+
+def read_contents(spark: SparkSession, path: str, only: list[str] | None = None) -> DataFrame:
     """The same by way of whole files, for storage that only Spark reaches."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     ok = F.lower(F.col("path")).rlike(r"\.(xlsx|xlsm|xls)$")
+    if only is not None:
+        files = files.join(F.broadcast(spark.createDataFrame([(p,) for p in only], "_path string")), F.col("path") == F.col("_path"), "left_semi")  # a row a file
 
     def run(batches):
         import pyarrow as pa

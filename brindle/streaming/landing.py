@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from brindle import config
 from brindle.operators import mapping, normalize
+from brindle.plans.runs import Runs
 
 
 def standardise_stream(spark: SparkSession, landing: str, schema: str, form: str, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
@@ -21,3 +22,22 @@ def standardise_stream(spark: SparkSession, landing: str, schema: str, form: str
 
     writer = spark.readStream.schema(schema).json(landing).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def workbook_stream(spark: SparkSession, landing: str, runs: Runs, checkpoint: str, commit: bool = False, once: bool = True) -> StreamingQuery:
+    """Workbooks that land in a folder, each in one run: a micro-batch is a run with quarantine, audit, metrics and gate, named
+    by the batch, so that a batch that is tried again does its run again. Files that came before with the same content are
+    passed over. Runs that may be promoted are, with ``commit``."""
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", "true").load(landing)
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        if df.isEmpty():
+            return
+        try:
+            runs.run_new(landing, commit, f"landed_{batch_id:09d}")
+        except ValueError:  # the gate's answer: the run stays a dry run
+            if not commit:
+                raise
+
+    writer = files.select("path").writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()

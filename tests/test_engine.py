@@ -265,6 +265,24 @@ def test_run_with_ground_truth(spark, folder, tmp_path):
     assert "match_rate=0.000" in text and "| part_name | 1 |" in text and "| row_preservation | 1.0000 |" in text
 
 
+def test_thousand_golden_files(spark, tmp_path):
+    """One scan for all: Parquet of several schemas, a table that is a folder, workbooks; Parquet goes first."""
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    for i in range(1000):
+        columns = {"base_part_no": [f"AB{i:07d}", None], "qty": [i, 2]} if i % 2 else {"base_part_no": [f"AB{i:07d}"], "qty": [i + 0.5], "note": ["n"]}
+        parquet.write_table(pa.table(columns), tmp_path / f"f{i}.parquet")
+    spark.createDataFrame([("AB1", "p")], "base_part_no string, part_name string").write.parquet(f"{tmp_path}/folder.parquet")
+    (tmp_path / "book.xlsx").write_bytes(workbook({"g": [["base_part_no", " part \n name", None, "qty", "qty"], ["AB2", "b", "x", 7, 8]], "second": [["no"]]}))
+    (tmp_path / "f3.xlsx").write_bytes(workbook({"g": [["base_part_no"], ["not read"]]}))
+    got = diff.load_golden(spark, str(tmp_path), [*(f"f{i}" for i in range(1000)), "folder", "book", "none"])
+    rows = {(r.stem, r.base_part_no): r for r in got.collect()}
+    assert len(rows) == 1500 + 2 and rows["f3", "AB0000003"].qty == "3" and rows["f4", "AB0000004"].qty == "4.5" and rows["f3", None].note is None
+    assert rows["folder", "AB1"].part_name == "p" and rows["book", "AB2"]["part name"] == "b" and rows["book", "AB2"].qty == "7" and rows["book", "AB2"]["Unnamed: 2"] == "x"
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("binaryFile") <= 1 and diff.load_golden(spark, str(tmp_path), ["none"]) is None
+
+
 def test_report():
     from brindle.plans import report
 
