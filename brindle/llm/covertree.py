@@ -148,7 +148,9 @@ def scaled(v: Column) -> Column:
     be out of range itself."""
     power = F.floor(F.log2(F.array_max(F.transform(v, F.abs)))).cast("int")
     half = F.floor(power / 2).cast("int")
-    return F.transform(v, lambda x: x * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), half - power))
+    # bound once a row: an expression within a lambda is computed for each component
+    bound = F.array(F.struct(v.alias("v"), F.pow(F.lit(2.0), -half).alias("a"), F.pow(F.lit(2.0), half - power).alias("b")))
+    return F.get(F.transform(bound, lambda s: F.transform(s["v"], lambda x: x * s["a"] * s["b"])), F.lit(0))
 
 
 def points(df: DataFrame, vector_col: str, id_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
