@@ -5,13 +5,13 @@ Workbook cells are made of ``conversations`` and ``part``; the store is loaded,
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle import config
+from brindle.functions import shared
 from brindle.operators import axioms, classify, diff, extract, graph, mapping, normalize, quarantine, resolve, search, states, validate
 from brindle.plans import warehouse
 from brindle.queries import COUNTS, DIFF_SQL, METRICS, METRICS_SQL, ORACLE_SQL, SOURCE_SQL, _diff_sides, _vector, canonical, processed, query, read
@@ -247,9 +247,8 @@ def merged_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; where unset (tests), below a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="brindle-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the shared one."""
+    return f"{shared.folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query(SOURCE_SQL + "SELECT row_index, quarantine_reason AS fail_reason, split_part(split_part(quarantine_reason, ';', 1), ':', 1) AS stage_failed, CASE WHEN quarantine_reason LIKE '%required empty%' THEN 'error' ELSE 'warning' END AS severity, CASE WHEN row_index % 2 = 0 THEN 'even' ELSE 'odd' END AS run_id FROM done WHERE quarantine_reason IS NOT NULL")

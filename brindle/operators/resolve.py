@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections import Counter
 
 import pandas as pd
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brindle import config
+from brindle.functions import shared
 from brindle.functions import text as t
 from brindle.operators import axioms
 
@@ -75,10 +75,10 @@ def _grams(q: int):
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """Checkpointed in ``spark.checkpoint.dir``; where unset (tests), in a temporary folder."""
+    """Checkpointed in the shared folder."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="brindle-"))
+        context.setCheckpointDir(shared.folder(df.sparkSession))
     return df.checkpoint()
 
 
