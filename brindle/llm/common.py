@@ -6,7 +6,6 @@ import ctypes
 import gc
 import re
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,14 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from brindle.functions import shared
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; where unset (tests), a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="brindle-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; an error where it is unset, but for local mode."""
+    return shared.folder(spark)
 
 
 def staged(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
