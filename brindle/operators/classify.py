@@ -87,6 +87,7 @@ def classify(cells: DataFrame, signals: dict[str, list] | None = None, threshold
 
 def guess(sheets: Column, max_col: Column) -> Column:
     """The form by shape alone."""
+    # fixed values: bounds of the columns
     return F.when(F.exists(sheets, lambda s: F.lower(s) == "history") & max_col.between(45, 75), "v1.2").when(max_col >= 80, "96col").when(max_col >= 45, "56col").when(max_col >= 1, "20col").otherwise("unknown")
 
 

@@ -90,8 +90,9 @@ def hybrid(df: DataFrame, query: str, vector_query: list[float] | Column, key: s
 
 # Indexes: the same results as the scans above, from tables laid out so that a search reads a part of them.
 
-#: Cells of a vector index at most: so many centres are kept on the driver.
-CELLS, SLACK = 64, 1e-6
+#: Cells of a vector index: the square root of the number of rows, at least and, by the centres' components, which go to every
+#: task, at most.
+CELLS, CENTRE_NUMBERS, SLACK = 64, 4_000_000, 1e-6
 
 
 def write_lexical_index(df: DataFrame, text: str, key: str, path: str) -> None:
@@ -181,10 +182,17 @@ def _placed(centres: np.ndarray):
     return run
 
 
-def write_vector_index(df: DataFrame, vector: str, key: str, path: str, cells: int = CELLS) -> None:
+def cells_for(rows: int, dim: int) -> int:
+    return min(max(CELLS, math.isqrt(rows)), max(CELLS, CENTRE_NUMBERS // max(1, dim)))
+
+
+def write_vector_index(df: DataFrame, vector: str, key: str, path: str, cells: int | None = None) -> None:
     """Rows with a vector, a folder a cell; and each cell's centre, radius and number of rows. Centres are rows, picked by
     a hash of the key: they set what a search reads, not what it finds."""
     rows = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"))
+    if cells is None:
+        size = rows.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
+        cells = cells_for(size["n"], size["d"] or 0)
     picked = [np.array(r["vector"]) for r in rows.orderBy(F.xxhash64("key"), "key").limit(cells).collect() if None not in r["vector"]]
     usable = [v / np.linalg.norm(v) for v in picked if np.isfinite(v).all() and v.any() and len(v) == len(picked[0])]
     centres = np.array(usable) if usable else np.zeros((0, 0))

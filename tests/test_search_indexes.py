@@ -123,3 +123,12 @@ def test_graph_edges(spark, tmp_path):
     assert graph.semantic_graph(spark, f"{tmp_path}/none", [[2.0, 1.0]], "id", 5).count() == 0
     with pytest.raises(ValueError):
         graph.beams(spark, f"{tmp_path}/one", [[1.0, 0.0]] * (graph.QUESTIONS + 1), 5)
+
+
+def test_cells_grow_with_the_rows(spark, tmp_path, vectors):
+    assert search.cells_for(100, 64) == 64 and search.cells_for(10**8, 64) == 10_000 and search.cells_for(10**10, 1024) == 3906 and search.cells_for(10**10, 10**6) == 64
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.tile(vectors, (2, 1))[:5000])], "id long, v array<double>")
+    search.write_vector_index(df, "v", "id", f"{tmp_path}/v")
+    assert 50 < spark.read.parquet(f"{tmp_path}/v/cells").count() <= 70
+    asked = vectors[9].tolist()
+    assert [r.id for r in search.semantic_indexed(spark, f"{tmp_path}/v", asked, "id", 20).collect()] == [r.id for r in search.semantic(df, "v", asked, "id", 20).collect()]
