@@ -12,9 +12,13 @@ from pyspark.sql import types as T
 from brindle import config
 
 
+#: Fixed value: the signs of Unicode's White_Space, those that ``(?U)\\s`` matches.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def ustrip(c: Column) -> Column:
-    """Without Unicode white space at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without Unicode white space at both ends; trimmed by a list of signs, since a regular expression looks at every place."""
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def collapse(c: Column) -> Column:
@@ -34,7 +38,7 @@ def _nfc(s: pd.Series) -> pd.Series:
 def unicode_normalize(c: Column, form: str = "NFKC") -> Column:
     """Only values with a sign outside ASCII go to Python; the rest is its own normal form."""
     fn = {"NFKC": _nfkc, "NFC": _nfc}[form]
-    return F.coalesce(fn(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+    return F.coalesce(fn(F.when(F.octet_length(c) != F.char_length(c), c)), c)
 
 
 def blank(c: Column) -> Column:

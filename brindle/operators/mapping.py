@@ -42,7 +42,8 @@ def transform(c: Column, spec: dict[str, Any]) -> Column:
 def apply_mapping(df: DataFrame, rule: config.MappingRule, keep: tuple[str, ...] = ("_source_sheet",)) -> DataFrame:
     """All fields of the rule, ``_quarantine_reason`` (null if clean), and of ``keep`` what is there.
 
-    A required field without a source, or blank, gives a reason; so does a value that is not allowed.
+    A required field without a source, or blank, gives a reason; so does a value that is not allowed. Reasons are a
+    projection after the values, whose expressions they would hold several times.
     """
     values, reasons = [], []
     for name, f in rule.fields.items():
@@ -58,11 +59,14 @@ def apply_mapping(df: DataFrame, rule: config.MappingRule, keep: tuple[str, ...]
                 value = transform(value, spec)
                 if spec["type"] in ("strip", "regex_remove"):
                     value = F.when(value != "", value)
+            done = F.col(name)
             if f.required:
-                reasons.append(F.when(t.blank(value), F.lit(f"{name}: required empty")))
+                reasons.append(F.when(t.blank(done), F.lit(f"{name}: required empty")))
             if f.allowed:
-                shown = F.concat(F.lit(f"{name}: '"), value.cast("string"), F.lit("' not in allowed"))
-                reasons.append(F.when(~t.blank(value) & ~value.isin(*f.allowed), shown))
+                shown = F.concat(F.lit(f"{name}: '"), done.cast("string"), F.lit("' not in allowed"))
+                reasons.append(F.when(~t.blank(done) & ~done.isin(*f.allowed), shown))
         values.append(value.alias(name))
     joined = F.concat_ws(";", *reasons) if reasons else F.lit("")
-    return df.select(*values, F.nullif(joined, F.lit("")).alias("_quarantine_reason"), *(c for c in keep if c in df.columns))
+    kept = [c for c in keep if c in df.columns]
+    mapped = df.select(*values, *(df[f"`{c}`"].alias(f"_kept_{i}") for i, c in enumerate(kept)))
+    return mapped.select(*rule.fields, F.nullif(joined, F.lit("")).alias("_quarantine_reason"), *(F.col(f"_kept_{i}").alias(c) for i, c in enumerate(kept)))
