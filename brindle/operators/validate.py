@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle import config
+from brindle.functions import shared
 from brindle.functions import text as t
 from brindle.operators import axioms
 
@@ -90,7 +91,7 @@ def drop_reasons(df: DataFrame, by: list[str] | None = None, reason: str = "_qua
 
 def top_reasons(df: DataFrame, by: list[str], n: int = 8) -> DataFrame:
     """Reasons by group, of the ``n`` reasons that are most frequent over all groups: rows (by, reason, n)."""
-    counts = drop_reasons(df, by)
+    counts = shared.staged(drop_reasons(df, by), "reasons")  # read twice, the rows once
     most = counts.groupBy("reason").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "reason").limit(n)
     return counts.join(F.broadcast(most.select("reason")), "reason", "left_semi").select(*by, "reason", "n")
 
