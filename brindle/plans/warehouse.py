@@ -176,10 +176,15 @@ class Warehouse:
         only, go to ``rejected`` instead."""
         state = self._state()
         self._refuse_known(run_id)
-        clean = rows.where("_quarantine_reason is null")
+        version = f"{run_id}-{uuid.uuid4().hex[:8]}"
+        at = f"{self.root}/new/{version}/rows"
+        untyped = {f.name: F.lit(None).cast("string") for f in rows.schema if f.dataType.simpleString() == "void"}
+        rows.where("_quarantine_reason is null").withColumns(untyped).write.parquet(at)  # computed once, whatever needs them
+        clean = self.spark.read.parquet(at)
         if clean.isEmpty():
+            fs, p = self._fs(f"{self.root}/new/{version}")
+            fs.delete(p, True)
             raise Refused(f"run {run_id} has no rows")
-        version = f"{run_id}-{uuid.uuid4().hex[:8]}"
         new, some, counts = {}, {}, {}
         for name, made in (("parts", parts(clean, run_id)), ("models", models(clean, run_id))):
             at = f"{self.root}/new/{version}/{name}"
