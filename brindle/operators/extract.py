@@ -48,10 +48,13 @@ def meta(cells: DataFrame) -> DataFrame:
 def rows(cells: DataFrame, rule: config.MappingRule) -> DataFrame:
     """(file_path, sheet_idx, row_idx, _source_sheet, values): data rows as maps from header to cell, facts as ``_meta_*``.
 
-    A sheet shorter than its header row gives none; rows without any value are dropped; cells beyond the header too.
+    A sheet shorter than its header row gives none; rows without any value are dropped; cells beyond the header too. Of
+    several rows at the header's place that with the most cells filled is the header, so no data row comes twice.
     """
     some = cells.where(F.col("sheet_name").isNotNull() & sheet_passes(F.col("sheet_name"), rule))
-    head = some.where(F.col("row_idx") == rule.header_row).select("file_path", "sheet_idx", headers(F.col("cells")).alias("header"))
+    filled = F.size(F.filter("cells", lambda c: ~t.blank(c)))
+    head = some.where(F.col("row_idx") == rule.header_row).groupBy("file_path", "sheet_idx").agg(F.max_by("cells", F.struct(filled, "cells")).alias("cells"))
+    head = head.select("file_path", "sheet_idx", headers(F.col("cells")).alias("header"))
     facts = meta(some).withColumn("value", F.when(F.col("key") == "model_code", clean_model_code(F.col("value"))).otherwise(F.col("value")))
     facts = facts.groupBy("file_path", "sheet_idx").agg(F.collect_list(F.struct(F.concat(F.lit("_meta_"), "key").alias("key"), "value")).alias("facts"))
     data = some.where((F.col("row_idx") > rule.header_row) & F.exists("cells", lambda c: c.isNotNull()))
