@@ -4,7 +4,7 @@ Rows are dealt to shards of bounded size by a hash of the key. A shard's graph h
 the nodes below it, and links a node with near ones in different directions. A search goes down the layers and then
 outward from the best nodes found (a beam), comparing 8-bit codes only; shards are searched side by side and their beams
 merged. Whole vectors are read for the best of the merged beam alone, by filters on a sorted column, and ranked exactly.
-``search.semantic`` and ``search.semantic_indexed`` stay as the exact ways.
+``checked`` makes the results exact: what the graphs found bounds what a pass over the whole vectors has to give.
 """
 
 from __future__ import annotations
@@ -25,6 +25,9 @@ SHARD_ROWS, LINKS, CANDIDATES = 16_384, 16, 96
 #: Nodes of a shard's beam to one result, and of the merged beam those whose whole vectors are read. Questions of a call at
 #: most: they go to every task.
 BEAM, RANKED, QUESTIONS = 1.5, 1.5, 10_000
+#: Whole vectors up to which they are looked up by a filter that reaches the pages; beyond, they are joined. Similarities that
+#: are held at once by an exact check, and what rounding may take from one.
+LOOKED_UP, HELD, SLACK = 2_000, 4_000_000, 1e-9
 #: Fixed value: bits of a node's number in its shard.
 NODE_BITS = 24
 
@@ -201,9 +204,48 @@ def semantic_graph(spark: SparkSession, path: str, questions: list[list[float]],
     best = Window.partitionBy("question").orderBy(F.desc("score"), "at")
     merged = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= int(ranked * n))  # Spark cuts groups before it sends them
     wanted = merged.select("question", "at").collect()  # ranked * n rows a question
-    rows = spark.read.parquet(f"{path}/vectors").where(F.col("at").isin(sorted({r["at"] for r in wanted})))
+    rows, places = spark.read.parquet(f"{path}/vectors"), sorted({r["at"] for r in wanted})
+    if len(places) <= LOOKED_UP:
+        rows = rows.where(F.col("at").isin(places))
     asked = spark.createDataFrame([(k, [float(x) for x in q]) for k, q in enumerate(questions)], "question int, asked array<double>")
     pairs = spark.createDataFrame(wanted, "question int, at long")
     scored = pairs.join(rows, "at").join(F.broadcast(asked), "question").select("question", F.col("key").alias(key), t.cosine(F.col("vector"), F.col("asked")).alias("semantic"))
     place = F.row_number().over(Window.partitionBy("question").orderBy(F.desc("semantic"), key))
     return scored.withColumn("_r", place).where(F.col("_r") <= n).drop("_r")
+
+
+def checked(spark: SparkSession, path: str, questions: list[list[float]], found: DataFrame, key: str, n: int) -> DataFrame:
+    """(question, key, semantic): the ``n`` nearest of all vectors for each question, by similarity and key. ``found`` are
+    the results of ``semantic_graph`` for them: only what reaches the ``n``-th of a question is looked at any further, by
+    matrix products over blocks of vectors; of a block ``n`` rows a question leave the task at most, whatever is tied."""
+    asked = np.array(questions, float).reshape(len(questions), -1)
+    units, norms = unit(asked), np.sqrt((asked * asked).sum(1))
+    least = np.full(len(asked), -np.inf)
+    place = F.row_number().over(Window.partitionBy("question").orderBy(F.desc("semantic"), key))
+    for r in found.withColumn("_r", place).where(F.col("_r") == n).select("question", "semantic").collect():  # a row a question
+        least[r["question"]] = r["semantic"] - SLACK
+    rows = spark.read.parquet(f"{path}/vectors").select("key", "vector")
+    schema = T.StructType([T.StructField("question", T.IntegerType()), T.StructField(key, rows.schema["key"].dataType), T.StructField("semantic", T.DoubleType())])
+    step = max(1, HELD // max(1, len(asked)))
+
+    def run(batches):
+        names = to_arrow_schema(schema)
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                some = batch.slice(start, step)
+                x = some.column(1).flatten().to_numpy(zero_copy_only=False).reshape(some.num_rows, -1)
+                row, question = np.nonzero(unit(x) @ units.T >= least)
+                if not len(row):
+                    continue
+                # row by row, so that equal vectors are equally near wherever they are
+                near, q = x[row], asked[question]
+                score = (near * q).sum(1) / (np.sqrt((near * near).sum(1)) * norms[question])
+                keys = some.column(0).take(pa.array(row))
+                hits = pa.table([pa.array(question.astype(np.int32)), keys, pa.array(score)], schema=names)
+                hits = hits.sort_by([("question", "ascending"), ("semantic", "descending"), (key, "ascending")])
+                q = hits["question"].to_numpy()
+                best = np.arange(len(q)) - np.searchsorted(q, q, side="left") < n
+                yield from hits.filter(pa.array(best)).combine_chunks().to_batches()
+
+    all_ = rows.mapInArrow(run, schema)
+    return all_.withColumn("_r", place).where(F.col("_r") <= n).drop("_r")
