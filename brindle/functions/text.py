@@ -81,11 +81,11 @@ def trigrams(c: Column) -> Column:
     """Distinct trigrams of the lower-cased words, each with two blanks before and one behind."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))
 
-    def of(w: Column) -> Column:
-        padded = F.concat(F.lit("  "), w, F.lit(" "))
+    def of(padded: Column) -> Column:
         return F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3)))
 
-    return F.array_distinct(F.flatten(F.transform(words, of)))
+    padded = F.transform(words, lambda w: F.concat(F.lit("  "), w, F.lit(" ")))  # once a word, not once a trigram
+    return F.array_distinct(F.flatten(F.transform(padded, of)))
 
 
 def trigram_similarity(a: Column, b: Column) -> Column:

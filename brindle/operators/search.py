@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brindle.functions import shared
 from brindle.functions import text as t
 
 #: Weights, candidates of each branch, results, least trigram similarity, vector length.
@@ -100,7 +101,8 @@ def write_lexical_index(df: DataFrame, text: str, key: str, path: str) -> None:
     of trigram and number of trigrams, so that a search reads the pages of its trigrams and lengths only; and ``grams`` with
     the length of each list. A trigram that very many rows have is spread over files."""
     spark = df.sparkSession
-    found = df.select(F.col(key).alias("key"), F.coalesce(t.trigrams(F.col(text)), F.array().cast("array<string>")).alias("grams"))
+    texts = shared.spread(df.select(F.col(key).alias("key"), F.col(text).alias("text")))
+    found = texts.select("key", F.coalesce(t.trigrams(F.col("text")), F.array().cast("array<string>")).alias("grams"))
     found.withColumn("row", F.monotonically_increasing_id()).select("row", "key", F.size("grams").alias("n"), "grams").write.option("parquet.block.size", 1 << 22).parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows")
     postings = rows.select(F.explode("grams").alias("gram"), "n", "row").repartitionByRange("gram", "n", "row").sortWithinPartitions("gram", "n", "row")
