@@ -143,16 +143,17 @@ def normalize_field(df: DataFrame, column: str, rule: dict[str, Any]) -> DataFra
     return normalize_fields(df, {column: rule})
 
 
-def normalize(df: DataFrame, rules: dict[str, dict[str, Any]] | None = None) -> DataFrame:
+def normalize(df: DataFrame, rules: dict[str, dict[str, Any]] | None = None, working: bool = True) -> DataFrame:
     """All columns that have a rule; ``_quarantine_reason`` gets "column: reason" for each failure, after what it had.
-    Keeps ``_reason_*``, ``_steps_*`` and ``_before_*`` for ``audit``; ``drop_working`` removes them."""
+    Keeps ``_reason_*``, ``_steps_*`` and ``_before_*`` for ``audit``; ``drop_working`` removes them. Without ``working`` they are
+    not even computed: what is dropped behind ``bound`` is."""
     rules = rules or config.NORMALIZATION
     done = [c for c in df.columns if config.ROUTES.get(c) in rules]
     df = normalize_fields(df, {c: rules[config.ROUTES[c]] for c in done})
     found = [F.concat(F.lit(f"{c}: "), F.col(f"_reason_{c}")) for c in done]
     before = [F.col("_quarantine_reason")] if "_quarantine_reason" in df.columns else []
     df = df.withColumn("_quarantine_reason", F.nullif(F.concat_ws(";", *before, *found), F.lit("")))
-    return bound(df)
+    return bound(df if working else drop_working(df))
 
 
 def bound(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from brindle import config, operator_queries, queries
 from brindle.functions import text as t
 from brindle.operators import extract, graph, normalize
+from brindle.plans import warehouse
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,3 +62,27 @@ def test_checked_results_are_the_nearest_of_all(spark, tmp_path):
         for q, a in enumerate(asked):
             score = np.round((vectors * a).sum(1) / np.sqrt((vectors * vectors).sum(1)) / np.sqrt((a * a).sum()), 12)
             assert got[q] == sorted(range(600), key=lambda i: (-score[i], i))[:5]
+
+
+@pytest.mark.parametrize("name", ["store_counts", "store_events", "store_models", "store_ledger"])
+def test_two_loads_take_one_pass(spark, monkeypatch, name):
+    """Both runs' rows are computed in one pass, and a run is counted once."""
+    seen, real, verify, asked = spark.sparkContext.accumulator(0), operator_queries.processed, warehouse.Warehouse.verify, []
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    monkeypatch.setattr(operator_queries, "processed", lambda *a: normalize.bound(real(*a).withColumn("_quarantine_reason", counted("_quarantine_reason"))))
+    monkeypatch.setattr(warehouse.Warehouse, "verify", lambda self, run: (asked.append(run), verify(self, run))[1])
+    queries.QUERIES[name](spark, SF).collect()
+    assert seen.value == queries.read(spark, SF, "part").count()
+    assert asked == (["run_a", "run_b"] if name == "store_counts" else [])
+
+
+def test_rows_without_working_columns_are_the_same(spark):
+    whole, lean = queries.processed(spark, SF), queries.processed(spark, SF, False)
+    assert lean.columns == normalize.drop_working(whole).columns
+    assert lean.exceptAll(normalize.drop_working(whole)).count() == 0 == normalize.drop_working(whole).exceptAll(lean).count()
+    assert "_before_base_part_no" not in lean._jdf.queryExecution().optimizedPlan().toString()
