@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 import pandas as pd
@@ -12,13 +13,13 @@ from pyspark.sql import types as T
 from brindle import config
 
 
-#: Fixed value: the signs of Unicode's White_Space, those that ``(?U)\\s`` matches.
-WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+# The tests of white space name their argument once, so that expressions of several stay small, and look at a value's ends
+# only. Trimming by a list of signs goes through the list at each end. In these patterns white space is Unicode's.
 
 
 def ustrip(c: Column) -> Column:
-    """Without Unicode white space at both ends; trimmed by a list of signs, since a regular expression looks at every place."""
-    return F.trim(c, F.lit(WHITE_SPACE))
+    """Without Unicode white space at both ends."""
+    return F.regexp_extract(c, r"(?Us)^\s*(.*\S)?", 1)
 
 
 def collapse(c: Column) -> Column:
@@ -43,14 +44,16 @@ def unicode_normalize(c: Column, form: str = "NFKC") -> Column:
 
 def blank(c: Column) -> Column:
     """The mapping layer's null: none, NaN, or white space."""
-    s = c.cast("string")
-    return s.isNull() | (ustrip(s) == "") | (s == "NaN")
+    return ~F.coalesce(c.cast("string").rlike(r"(?U)^(?!NaN\z)\s*\S"), F.lit(False))
+
+
+#: A word for nothing between white space, in upper or lower case, or NaN as it stands.
+NULLISH = rf"(?U)^(?:\s*(?i:{'|'.join(map(re.escape, config.NULL_TOKENS))})\s*|NaN)\z"
 
 
 def nullish(c: Column) -> Column:
     """The normalising layer's null: also the usual words for nothing."""
-    s = c.cast("string")
-    return s.isNull() | F.lower(ustrip(s)).isin(*config.NULL_TOKENS) | (s == "NaN")
+    return F.coalesce(c.cast("string").rlike(NULLISH), F.lit(True))
 
 
 def missing(c: Column) -> Column:
@@ -61,9 +64,7 @@ def missing(c: Column) -> Column:
 
 def number(c: Column) -> Column:
     """As a double; null where it is no finite number in plain notation."""
-    s = ustrip(c.cast("string"))
-    plain = s.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z")
-    value = F.when(plain, s).try_cast("double")
+    value = F.regexp_extract(c.cast("string"), r"(?U)^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*\z", 1).try_cast("double")
     return F.when(F.abs(value) < float("inf"), value)
 
 

@@ -11,11 +11,15 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from brindle.operators import resolve, search
 
@@ -44,6 +48,12 @@ def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return new.unionByName(old.join(new.select(*keys), keys, "left_anti").select(*new.columns))
 
 
+def at_once(spark: SparkSession, *acts: Callable) -> list:
+    """What acts give that need nothing of each other: each is a row of small jobs, which alone would leave cores idle."""
+    with ThreadPoolExecutor(len(acts)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(act)) for act in acts]]
+
+
 def bucket(key: str, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
@@ -127,7 +137,7 @@ class Warehouse:
     # Tables
 
     def _read(self, name: str, paths: list[str]) -> DataFrame:
-        schema = self.spark.createDataFrame([], SCHEMAS[name]).schema
+        schema = StructType.fromDDL(SCHEMAS[name])
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def _buckets(self, name: str, pointers: dict[str, str]) -> DataFrame:
@@ -140,9 +150,17 @@ class Warehouse:
         if name in ("parts", "models"):
             now = self._buckets(name, self._state()["tables"].get(name, {}))
             return now.where(F.col("run_id") == run_id) if run_id else now
+        return self._read(name, self._folders(run_id)[name])
+
+    def _folders(self, run_id: str | None = None) -> dict[str, list[str]]:
+        """Where the tables by run have the rows of the runs that are loaded, or of one run."""
         loaded = self.runs().where("status = 'loaded'").where(F.col("run_id") == run_id if run_id else F.lit(True))
-        folders = [r["f"] for r in loaded.select(F.col("folders")[name].alias("f")).where("f is not null").collect()]  # a row a run
-        return self._read(name, [f"{self.root}/{name}/{f}" for f in sorted(folders)])
+        found = [r["folders"] or {} for r in loaded.select("folders").collect()]  # a row a run
+        return {name: sorted(f"{self.root}/{name}/{f[name]}" for f in found if f.get(name)) for name in BY_RUN}
+
+    def _counts(self, run_id: str) -> dict[str, int]:
+        """Rows that the tables by run have of one run; what has no folder has none."""
+        return {name: self._read(name, paths).count() if paths else 0 for name, paths in self._folders(run_id).items()}
 
     def lookup(self, name: str, value, run_id: str | None = None) -> DataFrame:
         """Rows by the table's key. Of parts and models one bucket is read, a file; of events the runs' files (or one run's)
@@ -162,9 +180,10 @@ class Warehouse:
     def _merged(self, name: str, new: DataFrame, pointers: dict[str, str], some: list[str], version: str) -> dict[str, str]:
         """Buckets ``some`` of a table with the rows of ``new``, as a version of their own."""
         key = KEYS[name]
-        mine = new.where(F.col("bucket").isin([int(b) for b in some]))
-        old = self._buckets(name, {b: pointers[b] for b in some if b in pointers}).withColumn("bucket", bucket(key))
-        done = upserted(old, mine, [key]).repartition("bucket").sortWithinPartitions("bucket", key)
+        done = new.where(F.col("bucket").isin([int(b) for b in some]))
+        if old := {b: pointers[b] for b in some if b in pointers}:
+            done = upserted(self._buckets(name, old).withColumn("bucket", bucket(key)), done, [key])
+        done = done.repartition("bucket").sortWithinPartitions("bucket", key)
         self._written(done, f"{self.root}/{name}/{version}", key, "bucket")
         return dict.fromkeys(some, version)
 
@@ -177,23 +196,24 @@ class Warehouse:
         state = self._state()
         self._refuse_known(run_id)
         version = f"{run_id}-{uuid.uuid4().hex[:8]}"
-        at = f"{self.root}/new/{version}/rows"
         untyped = {f.name: F.lit(None).cast("string") for f in rows.schema if f.dataType.simpleString() == "void"}
-        rows.where("_quarantine_reason is null").withColumns(untyped).write.parquet(at)  # computed once, whatever needs them
-        clean = self.spark.read.parquet(at)
+        clean = self._new(rows.where("_quarantine_reason is null").withColumns(untyped), "rows", version)  # whatever needs them
         if clean.isEmpty():
             fs, p = self._fs(f"{self.root}/new/{version}")
             fs.delete(p, True)
             raise Refused(f"run {run_id} has no rows")
         new, some, counts = {}, {}, {}
-        for name, made in (("parts", parts(clean, run_id)), ("models", models(clean, run_id))):
-            at = f"{self.root}/new/{version}/{name}"
-            made.withColumn("bucket", bucket(KEYS[name])).write.parquet(at)  # once, however often the merge is tried
-            new[name] = self.spark.read.parquet(at)
+
+        def keyed(name: str, rows: DataFrame) -> None:
+            new[name] = self._new(rows.withColumn("bucket", bucket(KEYS[name])), name, version)  # however often the merge is tried
             found = new[name].groupBy("bucket").agg(F.count("*").alias("n")).collect()  # a row a bucket
             some[name], counts[name] = sorted(str(r["bucket"]) for r in found), sum(r["n"] for r in found)
-        counts |= self._events(clean, run_id, version, new, embedder)
-        made = {name: self._merged(name, new[name], state["tables"].get(name, {}), some[name], version) for name in new}
+
+        merged = lambda name: self._merged(name, new[name], state["tables"].get(name, {}), some[name], version)
+        *_, events = at_once(self.spark, lambda: keyed("parts", parts(clean, run_id)), lambda: keyed("models", models(clean, run_id)), lambda: self._events(clean, run_id, version))
+        made: dict[str, dict[str, str]] = {}
+        made["parts"], made["models"], n = at_once(self.spark, lambda: merged("parts"), lambda: merged("models"), lambda: self._kept(events, run_id, version, new, embedder))
+        counts |= n
         for attempt in range(1, ATTEMPTS + 1):
             tables = {name: state["tables"].get(name, {}) | made[name] for name in made}
             if self._commit(state, run_id, "loaded", counts, {"change_events": version}, tables):
@@ -212,12 +232,20 @@ class Warehouse:
         if not self._ledger().where(F.col("run_id") == run_id).isEmpty():
             raise Refused(f"run {run_id} is loaded already")
 
-    def _events(self, clean: DataFrame, run_id: str, version: str, new: dict[str, DataFrame], embedder) -> dict[str, int]:
+    def _new(self, df: DataFrame, name: str, version: str) -> DataFrame:
+        """Rows of a load, computed once."""
+        at = f"{self.root}/new/{version}/{name}"
+        df.write.parquet(at)
+        return self.spark.read.schema(df.schema).parquet(at)
+
+    def _events(self, clean: DataFrame, run_id: str, version: str) -> DataFrame:
+        """The rows' events; ``_n`` numbers those of one id."""
         place = Window.partitionBy("event_id").orderBy("raw_data")
         made = change_events(clean, run_id).withColumn("run_id", F.lit(run_id)).withColumn("_n", F.row_number().over(place))
-        at = f"{self.root}/new/{version}/change_events"
-        made.write.parquet(at)
-        made = self.spark.read.schema(made.schema).parquet(at)
+        return self._new(made, "change_events", version)
+
+    def _kept(self, made: DataFrame, run_id: str, version: str, new: dict[str, DataFrame], embedder) -> dict[str, int]:
+        """Writes the events that keep the catalogue's rules, and apart those that break them; counts both."""
         bad = broken(made, new, self.table("change_events").select("event_id"))
         gone = f"{self.root}/rejected/{version}"
         bad.withColumn("run_id", F.lit(run_id)).write.parquet(gone)
@@ -257,7 +285,7 @@ class Warehouse:
 
     def rollback(self, run_id: str) -> dict[str, int]:
         """The run's rows are no longer in the tables by run; parts and models stay."""
-        counts = {name: self.table(name, run_id).count() for name in BY_RUN}
+        counts = self._counts(run_id)
         self._again(run_id, "rolled_back", counts, {})
         return counts
 
@@ -278,7 +306,7 @@ class Warehouse:
         return n
 
     def verify(self, run_id: str) -> dict[str, int]:
-        return {name: self.table(name, run_id).count() for name in ("parts", "models", *BY_RUN)}
+        return {name: self.table(name, run_id).count() for name in ("parts", "models")} | self._counts(run_id)
 
 
 def broken(events: DataFrame, new: dict[str, DataFrame], known: DataFrame) -> DataFrame:

@@ -1,10 +1,13 @@
 """What larger tables asked for: rows dealt to all cores and computed once, one header a sheet, exact graph results."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from brindle import config, operator_queries, queries
+from brindle.functions import shared
 from brindle.functions import text as t
 from brindle.operators import extract, graph, normalize
 from brindle.plans import warehouse
@@ -86,3 +89,34 @@ def test_rows_without_working_columns_are_the_same(spark):
     assert lean.columns == normalize.drop_working(whole).columns
     assert lean.exceptAll(normalize.drop_working(whole)).count() == 0 == normalize.drop_working(whole).exceptAll(lean).count()
     assert "_before_base_part_no" not in lean._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_load_makes_its_tables_at_once(spark, monkeypatch, tmp_path):
+    """Each of the three waits for the others, so one after the other none would come to an end."""
+    met, real = threading.Barrier(3, timeout=60), {name: getattr(warehouse, name) for name in ("parts", "models", "change_events")}
+    for name in real:
+        monkeypatch.setattr(warehouse, name, lambda *a, name=name: (met.wait(), real[name](*a))[1])
+    rows = queries.processed(spark, SF, False).withColumns({"source_file": F.lit("part"), "form_version": F.lit("96col")})
+    w = warehouse.Warehouse(spark, str(tmp_path))
+    counts = w.load(rows, "r")
+    assert counts == {k: n for k, n in w.verify("r").items() if n} and set(counts) == set(real)
+    assert w.rollback("r") == {"bom_edges": 0, "change_events": counts["change_events"], "event_details": 0}
+
+
+def test_staged_rows_come_from_methods_that_are_compiled(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before, seen = spark.conf.get(name), []
+    with shared.compiled(spark):
+        seen.append(int(spark.conf.get(name)))
+    with pytest.raises(ZeroDivisionError), shared.compiled(spark):
+        1 / 0
+    assert seen[0] <= 8000 and spark.conf.get(name) == before
+
+
+def test_text_tests_name_their_argument_once(spark):
+    times = {fn.__name__: str(fn(F.col("zz"))).count("zz") for fn in (t.ustrip, t.blank, t.nullish, t.number)}
+    assert times == {"ustrip": 1, "blank": 1, "nullish": 1, "number": 2}
+    odd = {"": (True, True, None), "\u3000\n": (True, True, None), "NaN": (True, True, None), " NaN": (False, False, None), "nan": (False, False, None), " N/a\u2003": (False, True, None), "—": (False, True, None), "none x": (False, False, None), "\x1c": (False, False, None), " 1.\n": (False, False, 1.0), "1e999": (False, False, None), "1 2": (False, False, None), "1d": (False, False, None), "\u0661": (False, False, None)}
+    df = spark.createDataFrame([(k,) for k in odd] + [(None,)], "c string")
+    got = {r[0]: tuple(r[1:]) for r in df.select("c", t.blank(F.col("c")), t.nullish(F.col("c")), t.number(F.col("c"))).collect()}
+    assert got == odd | {None: (True, True, None)}
