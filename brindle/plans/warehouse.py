@@ -123,7 +123,7 @@ class Warehouse:
 
     def _ledger(self) -> DataFrame:
         schema = SCHEMAS["preprocessing_runs"]
-        return self.spark.read.schema(schema).json(f"{self.root}/ledger") if self._names("ledger") else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).json(f"{self.root}/ledger") if self._names("ledger") else self._empty("preprocessing_runs")
 
     def runs(self) -> DataFrame:
         """A row a run: its last status and what its last act counted."""
@@ -137,8 +137,12 @@ class Warehouse:
     # Tables
 
     def _read(self, name: str, paths: list[str]) -> DataFrame:
-        schema = StructType.fromDDL(SCHEMAS[name])
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(SCHEMAS[name]).parquet(*paths) if paths else self._empty(name)
+
+    def _empty(self, name: str) -> DataFrame:
+        """No rows, which the optimizer knows: counting or joining them takes no job, and no Python worker."""
+        columns = (F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(SCHEMAS[name]))
+        return self.spark.range(1).select(*columns).where(F.lit(False))
 
     def _buckets(self, name: str, pointers: dict[str, str]) -> DataFrame:
         return self._read(name, [f"{self.root}/{name}/{v}/bucket={b}" for b, v in sorted(pointers.items())])
@@ -183,7 +187,7 @@ class Warehouse:
         done = new.where(F.col("bucket").isin([int(b) for b in some]))
         if old := {b: pointers[b] for b in some if b in pointers}:
             done = upserted(self._buckets(name, old).withColumn("bucket", bucket(key)), done, [key])
-        done = done.repartition("bucket").sortWithinPartitions("bucket", key)
+        done = done.repartition(len(some), "bucket").sortWithinPartitions("bucket", key)  # a file a bucket, however few rows
         self._written(done, f"{self.root}/{name}/{version}", key, "bucket")
         return dict.fromkeys(some, version)
 

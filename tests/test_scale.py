@@ -120,3 +120,11 @@ def test_text_tests_name_their_argument_once(spark):
     df = spark.createDataFrame([(k,) for k in odd] + [(None,)], "c string")
     got = {r[0]: tuple(r[1:]) for r in df.select("c", t.blank(F.col("c")), t.nullish(F.col("c")), t.number(F.col("c"))).collect()}
     assert got == odd | {None: (True, True, None)}
+
+
+def test_what_is_not_there_takes_no_job(spark, tmp_path):
+    w = warehouse.Warehouse(spark, str(tmp_path))
+    for name, schema in warehouse.SCHEMAS.items():
+        none = w.table(name)
+        assert none._jdf.queryExecution().optimizedPlan().toString().startswith("LocalRelation <empty>")
+        assert none.count() == 0 and none.dtypes == spark.createDataFrame([], schema).dtypes
