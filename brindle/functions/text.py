@@ -14,16 +14,17 @@ from brindle import config
 
 
 # The tests of white space name their argument once, so that expressions of several stay small, and look at a value's ends
-# only. Trimming by a list of signs goes through the list at each end. In these patterns white space is Unicode's.
+# only. Trimming by a list of signs goes through the list at each end. In these patterns white space is Unicode's, but where
+# ``space`` names other signs, as within the brackets of a regular expression.
 
 
-def ustrip(c: Column) -> Column:
+def ustrip(c: Column, space: str = r"\s") -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_extract(c, r"(?Us)^\s*(.*\S)?", 1)
+    return F.regexp_extract(c, rf"(?Us)^[{space}]*(.*[^{space}])?", 1)
 
 
-def collapse(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s+", " ")
+def collapse(c: Column, space: str = r"\s") -> Column:
+    return F.regexp_replace(c, rf"(?U)[{space}]+", " ")
 
 
 @F.pandas_udf(T.StringType())

@@ -30,8 +30,8 @@ def step(name: str):
 
 
 @step("strip")
-def _(c: Column, _spec: dict) -> tuple:
-    return t.ustrip(c.cast("string")), None, None, None
+def _(c: Column, spec: dict) -> tuple:
+    return t.ustrip(c.cast("string"), spec.get("space", r"\s")), None, None, None
 
 
 @step("upper")
@@ -50,8 +50,8 @@ def _(c: Column, spec: dict) -> tuple:
 
 
 @step("collapse_whitespace")
-def _(c: Column, _spec: dict) -> tuple:
-    return t.collapse(c.cast("string")), None, None, None
+def _(c: Column, spec: dict) -> tuple:
+    return t.collapse(c.cast("string"), spec.get("space", r"\s")), None, None, None
 
 
 @step("regex_remove")
@@ -105,12 +105,13 @@ def _round(column: str, spec: dict[str, Any], on_fail: str, stated: bool, label:
 
 
 def normalize_fields(df: DataFrame, rules: dict[str, dict[str, Any]]) -> DataFrame:
-    """``df`` with the columns of ``rules`` normalised, and ``_reason_``, ``_steps_`` and ``_before_<column>`` added."""
+    """``df`` with the columns of ``rules`` normalised, and ``_reason_``, ``_steps_`` and ``_before_<column>`` added. Words for
+    nothing and blank values are null, but where a rule has ``nullish`` false."""
     steps = {c: list(map(config.step, rule["steps"])) for c, rule in rules.items()}
     if unknown := [s["type"] for some in steps.values() for s in some if s["type"] not in STEPS]:
         raise ValueError(f"unknown step {unknown[0]!r}")
     names = df.columns
-    first = {c: F.when(~t.nullish(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in rules}
+    first = {c: F.when(~t.nullish(F.col(f"`{c}`")), F.col(f"`{c}`")) if rule.get("nullish", True) else F.col(f"`{c}`") for c, rule in rules.items()}
     df = df.withColumns({f"_v_{c}": v for c, v in first.items()} | {f"_before_{c}": v.cast("string") for c, v in first.items()})
     labels: dict[str, list[str]] = {c: [] for c in rules}
     stated: set[str] = set()

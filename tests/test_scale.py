@@ -2,6 +2,7 @@
 
 import threading
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -128,3 +129,15 @@ def test_what_is_not_there_takes_no_job(spark, tmp_path):
         none = w.table(name)
         assert none._jdf.queryExecution().optimizedPlan().toString().startswith("LocalRelation <empty>")
         assert none.count() == 0 and none.dtypes == spark.createDataFrame([], schema).dtypes
+
+
+def test_truncated_texts_are_those_of_sql(spark, tmp_path):
+    """Also without a text, of blanks or a word for nothing alone, with other white space or forms that NFKC would change."""
+    signs = [chr(i) for i in range(0x3100)] + ["\ufb03", "\uff21", "\U0001f600"]
+    texts = [None, "", " \n\t ", "N/A", " none ", "NaN", "-", "—", "e\u0301" * 1500, "\ufb03" * 1000, "x" * 2000 + "\n", "x" * 2001, "x" * 1999 + " y", " " * 3000 + "a\r\n b", *(f"{c}a{c}b{c}{c}" for c in signs)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(queries.ORACLE_SQL["normalize_text_truncate"]).fetchall()
+    got = queries.QUERIES["normalize_text_truncate"](spark, str(tmp_path)).collect()
+    assert len(got) == len(texts) and sorted(map(tuple, got)) == sorted(want)
